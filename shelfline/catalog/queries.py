@@ -13,7 +13,7 @@ from shelfline.operators import checks, relational, series
 from shelfline.plans import pricing, promo, quality, reports, staging
 from shelfline.session import configure, scratch_path, stage_table
 from shelfline.sources import ingest, sinks
-from shelfline.sources.tpch_sales import sales_rows, table
+from shelfline.sources.tpch_sales import sales_rows, sales_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,7 +53,7 @@ def query(build: Query) -> Query:
 
 
 def staged_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging.stage_sales(sales_rows(spark, sf_dir), CFG)
+    return staging.stage_sales(sales_table(spark, sf_dir), CFG)
 
 
 def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 def untidy_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales as a spreadsheet export might give them: text, line breaks, bad dates and numbers."""
     item = F.col("Item_Code").cast("int")
-    return sales_rows(spark, sf_dir).select(
+    return sales_table(spark, sf_dir).select(
         F.replace("Store_Name", F.lit("  "), F.lit("\r\n")).alias(" Store Name"),
         F.col("Item_Code").alias("Item-Code"),
         F.col("Item_Barcode"),
@@ -115,7 +115,7 @@ def ingest_sales(spark, sf_dir):
 
 @query
 def validate_load(spark, sf_dir):
-    return ingest.validate_load(sales_rows(spark, sf_dir))
+    return ingest.validate_load(sales_table(spark, sf_dir))
 
 
 @query
@@ -136,7 +136,7 @@ def reject_counts(spark, sf_dir):
 
 @query
 def load_profile(spark, sf_dir):
-    return ingest.load_profile(sales_rows(spark, sf_dir))
+    return ingest.load_profile(sales_table(spark, sf_dir))
 
 
 @query
@@ -170,7 +170,7 @@ def stg_sales(spark, sf_dir):
 @query
 def surrogate_keys(spark, sf_dir):
     """The sales key, and a key with NULLs read as empty text."""
-    sales = sales_rows(spark, sf_dir)
+    sales = sales_table(spark, sf_dir)
     fields = [F.col(c) for c in ("Item_Code", "Item_Barcode", "RRP")]
     return sales.select(
         "Item_Code",
@@ -215,7 +215,7 @@ def low_quality_rows(spark, sf_dir):
 
 
 def _outlier_query(spark, sf_dir, column):
-    sales = sales_rows(spark, sf_dir).select("Item_Code", "Date_Of_Sale", column)
+    sales = sales_table(spark, sf_dir).select("Item_Code", "Date_Of_Sale", column)
     return staging.outlier_flags(sales, column, CFG.outlier_sigmas).filter(F.col("is_outlier") == 1)
 
 
@@ -638,7 +638,7 @@ def blank_to_null_profile(spark, sf_dir):
 @query
 def safe_arithmetic_rollup(spark, sf_dir):
     quantity, rrp, paid = F.col("Quantity"), F.col("RRP"), F.col("Total_Sales")
-    return sales_rows(spark, sf_dir).groupBy("Category").agg(
+    return sales_table(spark, sf_dir).groupBy("Category").agg(
         F.sum(numeric.safe_add(quantity, rrp, paid)).alias("added"),
         F.sum(numeric.safe_subtract(paid, rrp, quantity)).alias("subtracted"),
         numeric.safe_divide(F.sum(paid).cast("double"), F.sum(quantity).cast("double")).alias("price_per_unit"),
@@ -748,7 +748,7 @@ def url_param_counts(spark, sf_dir):
 
 @query
 def check_not_null(spark, sf_dir):
-    return checks.not_null(sales_rows(spark, sf_dir), "Item_Barcode")
+    return checks.not_null(sales_table(spark, sf_dir), "Item_Barcode")
 
 
 @query
@@ -768,7 +768,7 @@ def check_accepted_range(spark, sf_dir):
 
 @query
 def check_at_least_one(spark, sf_dir):
-    return checks.at_least_one(sales_rows(spark, sf_dir), "RRP", ["Store_Name", "Item_Code"])
+    return checks.at_least_one(sales_table(spark, sf_dir), "RRP", ["Store_Name", "Item_Code"])
 
 
 @query
@@ -832,13 +832,13 @@ def check_not_constant(spark, sf_dir):
 
 @query
 def check_not_empty_string(spark, sf_dir):
-    rows = checks.not_empty_string(sales_rows(spark, sf_dir), "Item_Barcode")
+    rows = checks.not_empty_string(sales_table(spark, sf_dir), "Item_Barcode")
     return rows.select("Item_Code", "Item_Barcode", "Description", "Supplier", "Date_Of_Sale")
 
 
 @query
 def check_not_null_proportion(spark, sf_dir):
-    return checks.not_null_proportion(sales_rows(spark, sf_dir), "Item_Barcode", 0.9, group_by=["Supplier"])
+    return checks.not_null_proportion(sales_table(spark, sf_dir), "Item_Barcode", 0.9, group_by=["Supplier"])
 
 
 @query

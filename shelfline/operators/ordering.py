@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from shelfline.operators.skew import hot_groups, keyed_join, split_hot
+from shelfline.session import stage_table
 
 _SLICES = 256
 
@@ -52,7 +53,8 @@ def _slices(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     """Adds ``slice``, a number that never falls along the ordering column."""
     fractions = [i / _SLICES for i in range(1, _SLICES)]
     position = _position(df, column)
-    cuts = df.groupBy(*keys).agg(F.percentile_approx(position, fractions).alias("cuts"))
+    # One row per hot group; written, so that Spark knows how small it is.
+    cuts = stage_table(df.groupBy(*keys).agg(F.percentile_approx(position, fractions).alias("cuts")), "slice-cuts")
     # Rows without a position come last, in a slice of their own.
     number = F.when(position.isNull(), F.lit(_SLICES)).otherwise(
         F.size(F.filter(F.coalesce("cuts", F.array().cast("array<double>")), lambda cut: cut < position))

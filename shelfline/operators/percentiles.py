@@ -75,8 +75,11 @@ def _sliced(df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, fl
     long = df.select(*keys, values.alias("m")).select(*keys, "m.measure", "m.value").filter(F.col("value").isNotNull())
 
     around = sorted({min(max(f + side, 0.0), 1.0) for f in fractions for side in (-_MARGIN, _MARGIN)})
-    cuts = long.groupBy(*group).agg(
-        F.percentile_approx("value", [float(a) for a in around], _ACCURACY).alias("cuts")
+    # A few values per hot group. Written, so that Spark knows the size and need
+    # not shuffle the hot rows to find them.
+    cuts = stage_table(
+        long.groupBy(*group).agg(F.percentile_approx("value", [float(a) for a in around], _ACCURACY).alias("cuts")),
+        "percentile-cuts",
     )
     interval = sum((F.when(F.col("value") > F.col("cuts")[i], 1).otherwise(0) for i in range(len(around))), F.lit(0))
     cells = stage_table(
@@ -103,7 +106,7 @@ def _sliced(df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, fl
     holds_any = F.lit(False)
     for rank in ranks.values():
         holds_any = holds_any | holds(F.floor(rank)) | holds(F.ceil(rank))
-    chosen = intervals.filter(holds_any)
+    chosen = stage_table(intervals.filter(holds_any), "percentile-intervals")
 
     by_value = Window.partitionBy(*group, "interval").orderBy("value")
     ranked = keyed_join(cells, chosen, [*group, "interval"]).withColumn(

@@ -72,9 +72,11 @@ def price_index(prices: DataFrame) -> DataFrame:
 
     An aggregate and an equality join rather than a window: the benchmark is
     combined before the shuffle, so a section holding a large share of all SKUs
-    never has to pass through one task. A NULL section finds no benchmark.
+    never has to pass through one task. The benchmark is written out first; with
+    its size known, Spark broadcasts it if it can and leaves the SKUs in place.
+    A NULL section finds no benchmark.
     """
-    benchmark = competitor_section_prices(prices)
+    benchmark = stage_table(competitor_section_prices(prices), "section-benchmark")
     index = F.col("price_index_vs_competitors")
     return (
         prices.join(benchmark, SECTION_KEYS, "left")

@@ -43,9 +43,12 @@ def daily_sku_sales(staged: DataFrame) -> DataFrame:
 
 
 def sku_baselines(daily: DataFrame, cfg: Config) -> DataFrame:
-    """Typical price, discount and daily quantity per item, across stores and dates."""
+    """Typical price, discount and daily quantity per item, across stores and dates.
+
+    Written out, so that the join with the daily rows is planned by its real size.
+    """
     quantity = F.col("daily_quantity").cast("double")
-    return percentile_summary(
+    baselines = percentile_summary(
         daily,
         keys=["item_code", "is_focus"],
         percentiles={
@@ -62,13 +65,14 @@ def sku_baselines(daily: DataFrame, cfg: Config) -> DataFrame:
         ],
         hot_rows=cfg.hot_rows,
     )
+    return stage_table(baselines, "sku-baselines")
 
 
 def promo_classification(daily: DataFrame, baselines: DataFrame, cfg: Config) -> DataFrame:
     """Daily rows with their item's baseline, promo flags, uplift and z-score.
 
-    The baseline is one row per item. Whether it is broadcast follows from its
-    measured size; otherwise a hot item is split by the adaptive skew join.
+    The baseline is one row per item. Spark broadcasts it when its file size is
+    under the broadcast limit; beyond that the adaptive skew join splits hot items.
     """
     quantity = F.col("daily_quantity").cast("double")
     baseline, spread = F.col("baseline_daily_quantity"), F.col("stddev_daily_quantity")

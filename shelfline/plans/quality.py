@@ -277,9 +277,8 @@ def iqr_outliers(staged: DataFrame, group: str, measure: str, cfg: Config, reach
         ),
         "iqr-input",
     )
-    fences = percentile_summary(
-        rows, [group], {"q1": (measure, 0.25), "q3": (measure, 0.75)}, aggregates=[], hot_rows=cfg.hot_rows
-    )
+    quartiles = {"q1": (measure, 0.25), "q3": (measure, 0.75)}
+    fences = stage_table(percentile_summary(rows, [group], quartiles, [], cfg.hot_rows), "iqr-fences")
     spread = reach * (F.col("q3") - F.col("q1"))
     value = F.col(measure)
     return (

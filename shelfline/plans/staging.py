@@ -46,7 +46,7 @@ def quality_score(name: Column, code: Column, barcode: Column, text: Column, qua
 
 def checks_passed(score: Column) -> Column:
     """The whole number of checks behind a score, for exact sums."""
-    return F.round(score * _SCORED_FIELDS / 100).cast("bigint")
+    return F.rint(score * _SCORED_FIELDS / 100).cast("bigint")
 
 
 def score_from_checks(passed: Column, rows: Column) -> Column:

@@ -6,9 +6,12 @@ keys, so every quality rule and label has rows to work on.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfline.functions.numeric import MONEY, stable
+from shelfline.functions.numeric import MONEY, half_up
+from shelfline.session import stage_table
 
 
 # Column types of the given tables, so that opening one reads no file footer.
@@ -73,7 +76,7 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = F.col("l_quantity").cast(MONEY)
     paid = F.round(list_price * (1 - F.col("l_discount").cast("decimal(4,2)")), 2).cast(MONEY)
     taxed = (list_price * (1 + F.col("l_tax").cast("decimal(4,2)"))).cast("double")
-    shelf_price = F.round(stable(taxed / F.col("l_quantity")), 2).cast(MONEY)
+    shelf_price = half_up(taxed / F.col("l_quantity")).cast(MONEY)
 
     return joined.select(
         F.concat(F.lit("  "), F.replace("n_name", F.lit("_"), F.lit("  ")), F.lit(" ")).alias("Store_Name"),
@@ -98,3 +101,13 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("Supplier"),
         F.col("l_shipdate").cast("date").alias("Date_Of_Sale"),
     )
+
+
+@lru_cache(maxsize=None)
+def _loaded(spark: SparkSession, application: str, sf_dir: str) -> DataFrame:
+    return stage_table(sales_rows(spark, sf_dir), "retail-sales")
+
+
+def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base sales table, loaded once per application and read by every later query."""
+    return _loaded(spark, spark.sparkContext.applicationId, sf_dir)
