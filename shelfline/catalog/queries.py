@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -69,12 +70,23 @@ def promo_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return promo.build_promo_mart(staged_sales(spark, sf_dir), CFG)
 
 
+def price_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pricing.build_price_mart(staged_sales(spark, sf_dir))
+
+
+@lru_cache(maxsize=None)
+def _written_mart(spark: SparkSession, application: str, sf_dir: str, build: Query) -> DataFrame:
+    return stage_table(build(spark, sf_dir), "mart")
+
+
 def promo_mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage_table(promo_mart(spark, sf_dir), "promo-mart")
+    """The promotions mart as summaries and reports find it: built once per application and read from then on."""
+    return _written_mart(spark, spark.sparkContext.applicationId, sf_dir, promo_mart)
 
 
-def price_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pricing.build_price_mart(staged_sales(spark, sf_dir))
+def price_mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price mart, likewise."""
+    return _written_mart(spark, spark.sparkContext.applicationId, sf_dir, price_mart)
 
 
 def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,27 +288,27 @@ def promo_detection(spark, sf_dir):
 
 @query
 def promo_coverage(spark, sf_dir):
-    return promo.promo_coverage(promo_mart(spark, sf_dir))
+    return promo.promo_coverage(promo_mart_table(spark, sf_dir))
 
 
 @query
 def top_skus_by_uplift(spark, sf_dir):
-    return promo.top_skus_by_uplift(promo_mart(spark, sf_dir))
+    return promo.top_skus_by_uplift(promo_mart_table(spark, sf_dir))
 
 
 @query
 def top_skus_by_volume(spark, sf_dir):
-    return promo.top_skus_by_volume(promo_mart(spark, sf_dir))
+    return promo.top_skus_by_volume(promo_mart_table(spark, sf_dir))
 
 
 @query
 def store_promo_performance(spark, sf_dir):
-    return promo.store_promo_performance(promo_mart(spark, sf_dir))
+    return promo.store_promo_performance(promo_mart_table(spark, sf_dir))
 
 
 @query
 def category_promo_analysis(spark, sf_dir):
-    return promo.category_promo_analysis(promo_mart(spark, sf_dir))
+    return promo.category_promo_analysis(promo_mart_table(spark, sf_dir))
 
 
 @query
@@ -333,37 +345,37 @@ def _label_counts(mart, label):
 
 @query
 def price_positioning(spark, sf_dir):
-    return _label_counts(price_mart(spark, sf_dir), "price_positioning")
+    return _label_counts(price_mart_table(spark, sf_dir), "price_positioning")
 
 
 @query
 def price_tiers(spark, sf_dir):
-    return _label_counts(price_mart(spark, sf_dir), "price_tier")
+    return _label_counts(price_mart_table(spark, sf_dir), "price_tier")
 
 
 @query
 def pricing_overall(spark, sf_dir):
-    return pricing.positioning_by_level(price_mart(spark, sf_dir), ["Overall"])
+    return pricing.positioning_by_level(price_mart_table(spark, sf_dir), ["Overall"])
 
 
 @query
 def pricing_by_store(spark, sf_dir):
-    return pricing.positioning_by_level(price_mart(spark, sf_dir), ["Store"])
+    return pricing.positioning_by_level(price_mart_table(spark, sf_dir), ["Store"])
 
 
 @query
 def pricing_by_section(spark, sf_dir):
-    return pricing.positioning_by_level(price_mart(spark, sf_dir), ["Section"])
+    return pricing.positioning_by_level(price_mart_table(spark, sf_dir), ["Section"])
 
 
 @query
 def pricing_by_store_section(spark, sf_dir):
-    return pricing.positioning_by_level(price_mart(spark, sf_dir), ["Store + Section"])
+    return pricing.positioning_by_level(price_mart_table(spark, sf_dir), ["Store + Section"])
 
 
 @query
 def pricing_summary(spark, sf_dir):
-    return pricing.pricing_summary(price_mart(spark, sf_dir))
+    return pricing.pricing_summary(price_mart_table(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- data quality
@@ -437,7 +449,7 @@ def report_dq_issues(spark, sf_dir):
 
 @query
 def report_promo(spark, sf_dir):
-    return reports.report_promo(promo_mart(spark, sf_dir), focus_only=True, min_uplift=25.0, store="nation 1")
+    return reports.report_promo(promo_mart_table(spark, sf_dir), focus_only=True, min_uplift=25.0, store="nation 1")
 
 
 @query
@@ -458,21 +470,20 @@ def report_category_analysis(spark, sf_dir):
 @query
 def report_price_index(spark, sf_dir):
     return reports.report_price_index(
-        price_mart(spark, sf_dir), focus_only=True, store="nation 2", section="section", positioning="premium"
+        price_mart_table(spark, sf_dir), focus_only=True, store="nation 2", section="section", positioning="premium"
     )
 
 
 @query
 def report_pricing_summary(spark, sf_dir):
-    return reports.report_pricing_summary(pricing.pricing_summary(price_mart(spark, sf_dir)), store="nation 1")
+    return reports.report_pricing_summary(pricing.pricing_summary(price_mart_table(spark, sf_dir)), store="nation 1")
 
 
 def _insight_inputs(spark, sf_dir):
-    staged = staged_sales(spark, sf_dir)
     return (
-        quality.dq_summary(staged),
-        promo.build_promo_mart(staged, CFG),
-        pricing.pricing_summary(pricing.build_price_mart(staged)),
+        quality.dq_summary(staged_sales(spark, sf_dir)),
+        promo_mart_table(spark, sf_dir),
+        pricing.pricing_summary(price_mart_table(spark, sf_dir)),
     )
 
 
@@ -508,12 +519,12 @@ def dash_store_performance(spark, sf_dir):
 
 @query
 def discount_effectiveness(spark, sf_dir):
-    return reports.discount_effectiveness(promo_mart(spark, sf_dir))
+    return reports.discount_effectiveness(promo_mart_table(spark, sf_dir))
 
 
 @query
 def promo_roi(spark, sf_dir):
-    return reports.promo_roi(promo_mart(spark, sf_dir))
+    return reports.promo_roi(promo_mart_table(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- generic operators

@@ -18,7 +18,7 @@ class Config:
     min_quality_score: float = 70.0
     outlier_sigmas: float = 3.0
     # A group with more rows than this is never handed to one task whole.
-    hot_rows: int = 500_000
+    hot_rows: int = 1_000_000
 
     def __post_init__(self) -> None:
         if not 0 < self.promo_threshold < 1:

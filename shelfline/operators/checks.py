@@ -177,7 +177,7 @@ def relationships_where(
 
 def sequential_values(
     df: DataFrame, column: str, interval: int = 1, datepart: str | None = None, group_by: list[str] | None = None,
-    hot_rows: int = 500_000,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Rows whose value is not the previous one plus the interval; the first row passes."""
     keys = group_by or []
@@ -193,7 +193,7 @@ def sequential_values(
 
 def mutually_exclusive_ranges(
     df: DataFrame, lower: str, upper: str, partition_by: str | None = None, gaps: str = "allowed",
-    zero_length_allowed: bool = False, hot_rows: int = 500_000,
+    zero_length_allowed: bool = False, hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """Ranges that are empty, reversed, or in conflict with the next one."""
     if gaps not in ("allowed", "not_allowed", "required"):

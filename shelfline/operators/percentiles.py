@@ -31,18 +31,31 @@ def percentile_summary(
     ``percentiles`` maps output name to (numeric column, fraction). ``df`` is
     scanned several times and should be a table.
     """
-    grouping = keys or ["all_rows"]
-    source = df if keys else df.withColumn("all_rows", F.lit(1))
-    hot = hot_groups(source, grouping, hot_rows)
+    if not keys:
+        return _of_whole_table(df, percentiles, aggregates, hot_rows)
+    hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         return _built_in(df, keys, percentiles, aggregates)
-    cold_rows, hot_part = split_hot(source, hot, grouping)
-    cold = _built_in(cold_rows, grouping, percentiles, aggregates)
-    exact = _sliced(hot_part, grouping, percentiles)
-    if aggregates:
-        plain = hot_part.groupBy(*grouping).agg(*aggregates)
-        exact = keyed_join(exact, plain, grouping)
-    return cold.unionByName(exact).select(*[c for c in cold.columns if c != "all_rows" or keys])
+    cold_rows, hot_rows_only = split_hot(df, hot, keys)
+    cold = _built_in(cold_rows, keys, percentiles, aggregates)
+    return cold.unionByName(_hot_summary(hot_rows_only, keys, percentiles, aggregates))
+
+
+def _of_whole_table(
+    df: DataFrame, percentiles: dict[str, tuple[str, float]], aggregates: list[Column], hot_rows: int
+) -> DataFrame:
+    if df.count() <= hot_rows:
+        return _built_in(df, [], percentiles, aggregates)
+    one_group = df.withColumn("all_rows", F.lit(1))
+    return _hot_summary(one_group, ["all_rows"], percentiles, aggregates).drop("all_rows")
+
+
+def _hot_summary(
+    df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, float]], aggregates: list[Column]
+) -> DataFrame:
+    # A group whose values are all NULL has no ranks but keeps its row.
+    groups = df.groupBy(*keys).agg(*aggregates) if aggregates else df.select(*keys).distinct()
+    return keyed_join(groups, _sliced(df, keys, percentiles), keys, "left")
 
 
 def _built_in(

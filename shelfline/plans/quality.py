@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.config import Config
@@ -206,9 +208,14 @@ _RECORD = [
 
 
 def _issue_rows(staged: DataFrame, *issues: tuple[Column, Column]) -> DataFrame:
-    """One row per record and issue that applies, in a single pass over the sales."""
+    """One row per record and issue that applies, in a single pass over the sales.
+
+    The filter is redundant, but Spark moves it below the staging projection, so
+    that record ids and labels are only computed for the rows it keeps.
+    """
     applicable = F.array_compact(F.array(*[F.when(condition, issue) for condition, issue in issues]))
-    return staged.select(*_RECORD, F.explode(applicable).alias("issue")).select(*_RECORD, "issue.*")
+    affected = reduce(lambda a, b: a | b, [condition for condition, _ in issues])
+    return staged.filter(affected).select(*_RECORD, F.explode(applicable).alias("issue")).select(*_RECORD, "issue.*")
 
 
 def _quantity_issue(limits: _Outliers) -> tuple[Column, Column]:

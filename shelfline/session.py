@@ -15,9 +15,6 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Larger generated methods are never compiled by the JVM; Spark then falls
-    # back on one generated method per operator, which is.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
