@@ -42,7 +42,9 @@ class Scratch:
 
     def drop(self, *scans: DataFrame) -> None:
         for scan in scans:
-            path = self._paths.pop(id(scan))
+            path = self._paths.pop(id(scan), None)
+            if path is None:
+                continue
             target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
