@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm import decontaminate, language, licenses, mixing, near_dups, token_files
+from shelfline.llm import decontaminate, language, licenses, mixing, near_dups, private_data, quality, secrets, token_files
 from shelfline.llm.common import held_out_column, table
 from shelfline.session import scratch_path
 
@@ -35,6 +35,19 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held_out_column(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op5_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.find_private(table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = secrets.scan(table(spark, sf_dir, "documents"))
+    return documents
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def domain_of_source() -> Column:
     """The numbered sources of the given tables dealt to four domains."""
     number = F.regexp_extract("source", "([0-9]+)", 1).try_cast("int")
@@ -63,6 +76,9 @@ QUERIES: dict[str, Query] = {
     "op2_license_scan": op2_license_scan,
     "op3_token_files": op3_token_files,
     "op4_language": op4_language,
+    "op5_private_data": op5_private_data,
+    "op7_secret_scan": op7_secret_scan,
     "op8_mix_sources": op8_mix_sources,
+    "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
 }
