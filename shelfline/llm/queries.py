@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm import decontaminate, language, licenses, mixing, near_dups, private_data, quality, secrets, token_files
+from shelfline.llm import decontaminate, language, licenses, mixing, near_dups, private_data, quality, repeats, secrets, token_files
 from shelfline.llm.common import held_out_column, table
 from shelfline.session import scratch_path
 
@@ -39,6 +39,10 @@ def op5_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.find_private(table(spark, sf_dir, "documents"))
 
 
+def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = secrets.scan(table(spark, sf_dir, "documents"))
     return documents
@@ -77,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op4_language": op4_language,
     "op5_private_data": op5_private_data,
+    "op6_repeated_strings": op6_repeated_strings,
     "op7_secret_scan": op7_secret_scan,
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_rules": op9_quality_rules,
