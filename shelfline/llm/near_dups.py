@@ -9,14 +9,16 @@ at least ``need`` of their k values but for a chance below ``MISS``, so after or
 each sketch by how common its values are, rarest first, they share one of the first
 ``k - need + 1``; only those are listed. (Sets of k or fewer are complete, and the bound is exact.)
 
-A list of up to ``SHORT`` texts gives all its pairs. A longer one (copies of one text
+A short list (``SHORT``) gives all its pairs. A longer one (copies of one text
 with changes, or a very common passage) is never paired out. Its texts are compared
 with a leader, the text with the most common values. Let D be the largest symmetric
-difference two linked sets can have. A text that differs from the leader in more than
-D hashes can only be linked to texts that share more than half of *their* difference
-from the leader with it, so these texts are listed again by the rarest part of that
-difference, and the same step is applied to the new lists. Texts linked to the
-leader are in one group already and need no pairs among themselves. No link is lost.
+difference two linked sets can have. From their differences from the leader alone the similarity of any two of its texts
+follows exactly, so a family of up to ``FAMILY`` texts is settled in one task without
+making pairs. In a larger one, a text that differs from the leader in more than D hashes
+can only be linked to texts that share more than half of *their* difference with it, so
+the family is listed again by the rarest part of the differences, and the same steps are
+applied to these lists. Texts linked to the leader are in one group already and need
+nothing among themselves. No link is lost.
 
 Pairs are dropped if the union of their sketches contradicts the threshold, the rest
 is confirmed on the full sets, and groups are the connected components of the links.
@@ -38,7 +40,8 @@ from shelfline.llm.text import NON_BLANK, chunks, mix, texts_of, words_of
 
 K = 64
 MISS = 1e-9
-SHORT = 12
+#: Most texts of a first list that is paired out, and of a family that one task settles.
+SHORT, FAMILY = 12, 1024
 _COUNTER_BITS = 20
 _COUNTER_BLOCK = 1 << 12
 
@@ -178,9 +181,9 @@ def _short_pairs(members: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
-def _star_pairs(members: DataFrame) -> DataFrame:
+def _star_pairs(members: DataFrame, most: int) -> DataFrame:
     """(leader, other) for every text of a long list."""
-    long = members.where((F.col("size") > SHORT) & (F.col("node") != F.col("leader")))
+    long = members.where((F.col("size") > most) & (F.col("node") != F.col("leader")))
     return long.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
 
 
@@ -226,56 +229,108 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _against_leaders(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a (leader), b, linked, n, heat, added and removed: the exact differences of each text from its leader."""
+    """a (leader), b, linked, n, added and removed: the exact differences of each text from its leader."""
 
     def compare(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {k: [] for k in ("linked", "n", "heat", "added", "removed")}
+        out: dict[str, list] = {k: [] for k in ("linked", "n", "added", "removed")}
         for a, b in zip(_values(batch.column(2)), _values(batch.column(3)), strict=True):
             common = len(np.intersect1d(a, b, assume_unique=True))
             out["linked"].append(_linked(common, len(a), len(b), percent))
             out["n"].append(len(b))
-            out["heat"].append(common)
             out["added"].append(np.setdiff1d(b, a, assume_unique=True).tobytes())
             out["removed"].append(np.setdiff1d(a, b, assume_unique=True).tobytes())
         return {"a": batch.column(0), "b": batch.column(1)} | out
 
     return map_arrow(
-        _with_sets(pairs, sets), compare, "a long, b long, linked boolean, n long, heat long, added binary, removed binary"
+        _with_sets(pairs, sets), compare, "a long, b long, linked boolean, n long, added binary, removed binary"
     )
 
 
-def _next_lists(compared: DataFrame, threshold: float) -> DataFrame:
-    """Lists by (leader, hash of the difference) around leaders that have unlinked texts.
+def _families(compared: DataFrame) -> DataFrame:
+    """lead, node, n, open, delta, length, size: texts around leaders that have unlinked ones.
 
-    With c = (1 - t) / (1 + t), linked sets x, y differ in at most D = c (|x| + |y|) hashes, so their
-    differences dx, dy from the leader share at least (dx + dy - D) / 2 of them. An unlinked y has
-    dy > c (|y| + |leader|): a linked x shares more than (dx - c (|x| - |leader|)) / 2, an unlinked
-    one at least dy - D (and one at all). What must be shared sets how many rarest hashes are listed.
+    delta holds the hashes added to and removed from the leader's set (of different
+    kinds, so an added one never equals a removed one). With c = (1 - t) / (1 + t), linked
+    sets x, y differ in at most D = c (|x| + |y|) hashes, so their deltas share at least
+    (dx + dy - D) / 2. An unlinked y has dy > c (|y| + |leader|): a linked x shares more
+    than (dx - c (|x| - |leader|)) / 2 with it, an unlinked one at least dy - D and one at
+    all. ``length`` is how many of the rarest hashes of delta must be listed for that.
     """
-    c = (1 - threshold) / (1 + threshold)
 
-    def tokens(batch: pa.RecordBatch) -> dict:
+    def describe(batch: pa.RecordBatch) -> dict:
         columns = [batch.column(i).to_pylist() for i in range(7)]
-        out: dict[str, list] = {k: [] for k in ("lead", "value", "node", "n", "heat", "open", "length")}
-        for a, b, linked, n, heat, added, removed in zip(*columns, strict=True):
+        delta, length = [], []
+        for _, _, linked, n, added, removed, t in zip(*columns, strict=True):
             plus, minus = np.frombuffer(added, np.uint64), np.frombuffer(removed, np.uint64)
-            # A hash added by one text never equals a hash removed by another.
-            both = np.concatenate((plus, mix(minus ^ np.uint64(0x5555555555555555))))
+            both = np.sort(np.concatenate((plus, mix(minus ^ np.uint64(0x5555555555555555)))))
+            c = (1 - t) / (1 + t)
             if linked:
-                length = len(both) - floor((len(both) - c * max(0, len(plus) - len(minus))) / 2 - 1e-9)
+                length.append(len(both) - floor((len(both) - c * max(0, len(plus) - len(minus))) / 2 - 1e-9))
             else:
-                length = floor(c * (n + n / threshold) + 1e-9) + 1
-            for key, value in zip(out, (a, None, b, n, heat, not linked, length), strict=True):
-                out[key].append(both.view(np.int64) if value is None else np.full(len(both), value))
-        return {k: np.concatenate(v) for k, v in out.items()}
-
-    schema = "lead long, value long, node long, n long, heat long, open boolean, length long"
-    unsettled = compared.where(~F.col("linked")).select("a").distinct()
-    rows = map_arrow(compared.join(unsettled, "a", "left_semi"), tokens, schema)
+                length.append(floor(c * (n + n / t) + 1e-9) + 1)
+            delta.append(both.tobytes())
+        return {
+            "lead": batch.column(0), "node": batch.column(1), "n": batch.column(3),
+            "open": pa.compute.invert(batch.column(2)), "delta": delta, "length": length,
+        }
+
+    sizes = compared.groupBy("a").agg(F.count(F.lit(1)).alias("size"), F.max((~F.col("linked")).cast("int")).alias("any_open")).where("any_open = 1")
+    around = compared.join(sizes.drop("any_open"), "a")
+    described = map_arrow(around.drop("size"), describe, "lead long, node long, n long, open boolean, delta binary, length long")
+    return described.join(sizes.select(F.col("a").alias("lead"), "size"), "lead")
+
+
+def _lists(families: DataFrame) -> DataFrame:
+    """Large families listed by the rarest hashes of their differences; leaders are texts that differ by what many share."""
+
+    def explode(batch: pa.RecordBatch) -> dict:
+        deltas = _values(batch.column(4))
+        times = np.array([len(d) for d in deltas])
+        out = {k: batch.column(i).take(pa.array(np.repeat(np.arange(len(deltas)), times))) for i, k in enumerate(("lead", "node", "n", "open", "delta", "length"))}
+        return out | {"value": np.concatenate(deltas).view(np.int64)}
+
+    rows = map_arrow(
+        families.where(F.col("size") > FAMILY).drop("size"), explode, "lead long, node long, n long, open boolean, delta binary, length long, value long"
+    )
     common = F.count(F.lit(1)).over(Window.partitionBy("lead", "value"))
-    rank = F.row_number().over(Window.partitionBy("lead", "node").orderBy("common", "value"))
-    kept = rows.withColumn("common", common).withColumn("rank", rank).where("rank <= length and common > 1")
-    return kept.select("lead", "value", "node", "n", "heat", "open")
+    own = Window.partitionBy("lead", "node")
+    heat = (F.avg("common").over(own) * 1000).cast("long")
+    ranked = rows.withColumn("common", common).withColumn("heat", heat).withColumn("rank", F.row_number().over(own.orderBy("common", "value")))
+    return ranked.where("rank <= length and common > 1").select("lead", "value", "node", "n", "heat", "open", "delta")
+
+
+def _settle(groups: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Links of bounded groups (columns node, n, open, delta) with an open text; enough of them to join what is linked."""
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        node, n, is_open = (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts]) for c in ("node", "n", "open"))
+        deltas = [d for p in parts for d in _values(p.column("delta"))]
+        size = np.array([len(d) for d in deltas])
+        owner = np.repeat(np.arange(len(deltas)), size)
+        _, token = np.unique(np.concatenate(deltas), return_inverse=True)
+        order = np.argsort(token, kind="stable")
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(token))))
+        by_token, starts = owner[order], np.cumsum(size) - size
+        group = np.arange(len(deltas))  # texts joined so far share a number
+        group[~is_open] = -1  # those linked to the leader are one group already
+        found: list[tuple[int, int]] = []
+        for i in np.flatnonzero(is_open).tolist():
+            mine = token[starts[i] : starts[i] + size[i]]
+            shared = np.bincount(np.concatenate([by_token[bounds[t] : bounds[t + 1]] for t in mine]), minlength=len(deltas))
+            twice = n[i] + n - (size[i] + size - 2 * shared)  # twice the common hashes
+            linked = 100 * twice >= percent * (2 * (n[i] + n) - twice)
+            for j in np.flatnonzero(linked & (group != group[i])).tolist():
+                if group[j] != group[i]:
+                    found.append((int(node[i]), int(node[j])))
+                    group[group == group[j]] = group[i]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+    return groups.select(*keys, "node", "n", "open", "delta").groupBy(*keys).applyInArrow(lambda table: _whole(settle, table), "a long, b long")
+
+
+def _whole(function, table: pa.Table) -> pa.Table:
+    return pa.Table.from_batches(list(function(iter(table.combine_chunks().to_batches()))))
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -344,24 +399,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     usable = table.where("n > 0 and doc_id is not null")
     reps = _representatives(usable, scratch)
 
-    links, stars, sets = None, None, None
-    lists = _first_lists(reps, value_counters(reps), threshold)
-    while True:
-        members = scratch.write(_members(scratch.write(lists, "lists")), "members")
-        pairs = scratch.write(_sketches_agree(_short_pairs(members, threshold), reps, threshold), "pairs")
-        stars = scratch.write(_star_pairs(members), "stars")
-        scratch.drop(members)
-        if sets is None:
-            ends = reduce(DataFrame.union, [t.select(F.col(c).alias("node")) for t in (pairs, stars) for c in "ab"]).distinct()
-            wanted = scratch.write(reps.select("node", "doc_id", "set_id").join(ends, "node"), "wanted")
-            sets = scratch.write(_full_sets(docs, wanted, shingle), "sets")
-        confirmed = scratch.write(_confirm(pairs, sets, percent), "links")
-        links = confirmed if links is None else links.union(confirmed)
-        if not stars.limit(1).count():
-            break
+    members = scratch.write(_members(scratch.write(_first_lists(reps, value_counters(reps), threshold), "lists")), "members")
+    pairs = scratch.write(_sketches_agree(_short_pairs(members, threshold), reps, threshold), "pairs")
+    stars = scratch.write(_star_pairs(members, SHORT), "stars")
+    scratch.drop(members)
+    ends = reduce(DataFrame.union, [t.select(F.col(c).alias("node")) for t in (pairs, stars) for c in "ab"]).distinct()
+    wanted = scratch.write(reps.select("node", "doc_id", "set_id").join(ends, "node"), "wanted")
+    sets = scratch.write(_full_sets(docs, wanted, shingle), "sets")
+    links = scratch.write(_confirm(pairs, sets, percent), "links")
+    while stars.limit(1).count():
         compared = scratch.write(_against_leaders(stars, sets, percent), "compared")
         links = links.union(compared.where("linked").select("a", "b"))
-        lists = _next_lists(compared, threshold)
+        families = scratch.write(_families(compared.withColumn("t", F.lit(threshold))), "families")
+        links = links.union(scratch.write(_settle(families.where(F.col("size") <= FAMILY), ["lead"], percent), "links"))
+        members = scratch.write(_members(_lists(families)), "members")
+        links = links.union(scratch.write(_settle(members.where(F.col("size") <= FAMILY), ["lead", "value"], percent), "links"))
+        stars = scratch.write(_star_pairs(members, FAMILY), "stars")
+        scratch.drop(families, members)
     scratch.drop(sets)
     return _grouped(table, reps, links, scratch)
 
