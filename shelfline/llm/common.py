@@ -62,7 +62,7 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None],
 
 
 def _split_schema(schema: str) -> list[str]:
-    """Column definitions of a DDL string, commas inside brackets respected."""
+    """Column definitions of a DDL string; commas inside angle brackets do not end one."""
     parts, depth, start = [], 0, 0
     for i, c in enumerate(schema):
         depth += (c == "<") - (c == ">")

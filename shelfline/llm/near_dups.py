@@ -33,6 +33,7 @@ from math import ceil, comb, floor
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfline.llm.common import Scratch, map_arrow, prepare

@@ -6,19 +6,20 @@ dealt out by that hash: successive positions that share it form one piece of tex
 whose strings are exactly its windows. Within a batch of documents only the first of
 equal pieces is sent on; the others are repeats already.
 
-Each task collects the pieces of its hashes. Hashes with one piece hold no repeat. For
-the rest the Burrows-Wheeler transform of the whole collection is built column by
-column: in each round one symbol per piece is inserted, from the right end, at the
-place its predecessor's rank gives, and the common prefix lengths of the new suffixes
-and their successors follow from the range minima of the previous round. Rounds run over
-at most ``BLOCK`` bytes of pieces (whole hash groups, plus at most one group), in arrays
-read and written front to back. Suffixes that share LENGTH bytes stand together; all but the first
-occurrence are repeats.
+First only keys travel: the shared hash, a second 64-bit hash of the piece's bytes, and
+where it stands. They settle all equal pieces, and show which hashes are shared by pieces that
+differ; only those pieces are read from their texts. For them the Burrows-Wheeler transform of
+the whole collection is built column by column: in each round one symbol per piece is
+inserted, from the right end, at the place its predecessor's rank gives, and the common
+prefix lengths of the new suffixes and their successors follow from range minima of the
+previous round. Rounds run over blocks of ``BLOCK`` bytes of pieces (whole hash groups, so at
+most one group more), in arrays read and written front to back. Suffixes that share
+LENGTH bytes stand together; all but the first occurrence are repeats.
 
 A hash shared by very many different pieces (the edges of a passage that a large share
 of all documents holds) would fill one task. Such hashes are recognised in a sample of
-documents; their windows are dealt one by one by a hash of the whole window instead.
-The choice moves work only, the result is the same either way.
+documents; their windows are dealt one by one by a hash of the whole window instead, and
+are then equal pieces or different ones. The choice moves work only, the result is the same.
 """
 
 from __future__ import annotations
@@ -29,10 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from shelfline.llm.common import map_arrow, prepare
+from shelfline.llm.common import Scratch, map_arrow, prepare
 from shelfline.llm.text import chunks, mix, powers, texts_of
 
 LENGTH = 100
@@ -44,6 +46,8 @@ BLOCK = 1 << 19
 SAMPLE, HOT = 20_000, 20
 _LAST = np.int64((1 << 63) - 1)
 _HEAD = struct.Struct("<QQ")
+#: Added to the size of a piece that can hold equal windows.
+_INNER = 1 << 15
 #: Stands for the missing symbol before a whole string; UTF-8 has no such byte.
 _DONE = np.uint8(0xFF)
 
@@ -93,12 +97,11 @@ def _range_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)]))), down
 
 
-def window_minima(data: np.ndarray, sums: np.ndarray, down: np.ndarray) -> np.ndarray:
-    """The smallest hash of MER bytes inside the window from each position on."""
-    size = len(data) - MER + 1
-    if size < LENGTH - MER + 1:
+def window_minima(mers: np.ndarray) -> np.ndarray:
+    """The smallest of the MER hashes inside the window from each position on."""
+    if len(mers) < LENGTH - MER + 1:
         return np.zeros(0, np.uint64)
-    low = mix((sums[MER:] - sums[:-MER]) * down[:size])
+    low = mers
     span, width = LENGTH - MER + 1, 1
     while width * 2 <= span:
         low = np.minimum(low[:-width], low[width:])
@@ -107,13 +110,19 @@ def window_minima(data: np.ndarray, sums: np.ndarray, down: np.ndarray) -> np.nd
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
 
 
-def cut_pieces(texts: list[bytes], doc: np.ndarray, sub: np.ndarray) -> tuple[Pieces, np.ndarray, np.ndarray]:
-    """Pieces of some texts with the hash each shares and a hash of its bytes."""
+def cut_pieces(texts: list[bytes], doc: np.ndarray, sub: np.ndarray) -> tuple[Pieces, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of some texts, the hash each shares, a hash of its bytes, and whether windows of one piece can be equal.
+
+    Equal windows of a piece hold the shared hash at different places, so the piece goes on
+    behind a window that starts with it.
+    """
     data = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum([len(t) for t in texts])
     starts = ends - [len(t) for t in texts]
     sums, down = _range_hashes(data)
-    low = window_minima(data, sums, down)
+    size = max(0, len(data) - MER + 1)
+    mers = mix((sums[len(sums) - size :] - sums[:size]) * down[:size])
+    low = window_minima(mers)
     windows = np.maximum(0, ends - starts - LENGTH + 1)
     owner = np.repeat(np.arange(len(texts)), windows)
     place = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -130,7 +139,9 @@ def cut_pieces(texts: list[bytes], doc: np.ndarray, sub: np.ndarray) -> tuple[Pi
     start = at[begin]
     end = start + count + LENGTH - 1
     pieces = Pieces(data, start, end, doc[owner[begin]], sub[owner[begin]], place[begin])
-    return pieces, value[begin], mix((sums[end] - sums[start]) * down[start])
+    passed = np.concatenate(([0], np.cumsum(mers[: len(low)] == low)))
+    inner = passed[end - LENGTH] > passed[start]
+    return pieces, value[begin], mix((sums[end] - sums[start]) * down[start]), inner
 
 
 def earlier_exists(group: np.ndarray, doc: np.ndarray, sub: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -248,8 +259,9 @@ def merge(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first[heads], reach[np.append(heads[1:], len(first)) - 1]
 
 
-_SCHEMA = "bucket int, payload binary, doc long, sub long, cuts binary"
-_KINDS = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+_SCHEMA = "bucket int, payload binary, doc long, sub long, cuts binary, wanted binary"
+_KINDS = [pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+_KEY = [("value", "<u8"), ("content", "<u8"), ("size", "<u2"), ("place", "<u8"), ("doc", "<i8"), ("sub", "<i8")]
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -258,13 +270,30 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names)
 
 
-def _batch_pieces(batch: pa.RecordBatch) -> Iterator[tuple[Pieces, np.ndarray, np.ndarray]]:
+def _pack_keys(columns: dict[str, np.ndarray]) -> bytes:
+    body = struct.pack("<Q", len(columns["value"])) + b"".join(columns[k].astype(t).tobytes() for k, t in _KEY)
+    return zstandard.ZstdCompressor(level=1).compress(body)
+
+
+def _unpack_keys(payloads: list[bytes]) -> dict[str, np.ndarray]:
+    parts: dict[str, list[np.ndarray]] = {k: [] for k, _ in _KEY}
+    for payload in payloads:
+        body = zstandard.ZstdDecompressor().decompress(payload)
+        (n,), at = struct.unpack_from("<Q", body), 8
+        for k, t in _KEY:
+            parts[k].append(np.frombuffer(body, t, n, at))
+            at += n * np.dtype(t).itemsize
+    out = {k: np.concatenate(v) for k, v in parts.items()}
+    return out | {k: out[k].astype(np.int64) for k in ("size", "place")}
+
+
+def _batch_pieces(batch: pa.RecordBatch) -> Iterator[tuple[Pieces, np.ndarray, np.ndarray, np.ndarray]]:
     doc = np.array([_LAST if d is None else d for d in batch.column(0).to_pylist()], np.int64)
     sub = np.array(batch.column(1).to_pylist(), np.int64)
     for base, texts in chunks(texts_of(batch.column(2)), 4 << 20):
-        pieces, value, content = cut_pieces(texts, doc[base : base + len(texts)], sub[base : base + len(texts)])
-        if len(pieces):
-            yield pieces, value, content
+        found = cut_pieces(texts, doc[base : base + len(texts)], sub[base : base + len(texts)])
+        if len(found[0]):
+            yield found
 
 
 def hot_hashes(rows: DataFrame) -> np.ndarray:
@@ -278,20 +307,22 @@ def hot_hashes(rows: DataFrame) -> np.ndarray:
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, value, content in _batch_pieces(batch):
+            for _, value, content, _ in _batch_pieces(batch):
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(content.view(np.int64))], ["value", "content"])
 
     found = sample.mapInArrow(values, "value long, content long").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     return np.sort(np.array([r["value"] for r in found.where(F.col("n") >= HOT).collect()], np.int64).view(np.uint64))
 
 
-def _split_hot(pieces: Pieces, value: np.ndarray, content: np.ndarray, hot: np.ndarray) -> tuple[Pieces, np.ndarray, np.ndarray]:
-    """Pieces of hot hashes become single windows, dealt and told apart by their own hash."""
+def _split_hot(
+    pieces: Pieces, value: np.ndarray, content: np.ndarray, inner: np.ndarray, hot: np.ndarray
+) -> tuple[Pieces, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of hot hashes become single windows, dealt by their own hash and told apart by it and the shared one."""
     if not len(hot):
-        return pieces, value, content
+        return pieces, value, content, inner
     is_hot = hot[np.minimum(np.searchsorted(hot, value), len(hot) - 1)] == value
     if not is_hot.any():
-        return pieces, value, content
+        return pieces, value, content, inner
     long, cold = pieces.take(is_hot), ~is_hot
     count = long.end - long.start - LENGTH + 1
     offset = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
@@ -303,10 +334,10 @@ def _split_hot(pieces: Pieces, value: np.ndarray, content: np.ndarray, hot: np.n
         np.concatenate((a[cold], b))
         for a, b in (
             (pieces.start, start), (pieces.end, start + LENGTH), (pieces.doc, long.doc[source]),
-            (pieces.sub, long.sub[source]), (pieces.place, long.place[source] + offset), (value, own), (content, own),
+            (pieces.sub, long.sub[source]), (pieces.place, long.place[source] + offset), (value, own), (content, value[is_hot][source]),
         )
     ]
-    return Pieces(pieces.data, *joined[:5]), joined[5], joined[6]
+    return Pieces(pieces.data, *joined[:5]), joined[5], joined[6], np.append(inner[cold], np.zeros(len(source), bool))
 
 
 def _deal(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
@@ -315,21 +346,59 @@ def _deal(rows: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for found in _batch_pieces(batch):
-                pieces, value, content = _split_hot(*found, hot)
-                late = earlier_exists(_same(value, content, pieces.end - pieces.start), pieces.doc, pieces.sub, pieces.place)
-                gone, kept = pieces.take(late), pieces.take(~late)
-                reach = gone.place + gone.end - gone.start
-                out = [(d % buckets, None, d, s, c) for d, s, c in _cuts(gone.doc, gone.sub, gone.place, reach)]
-                bucket = (value[~late] % np.uint64(buckets)).astype(np.int64)
+                pieces, value, content, inner = _split_hot(*found, hot)
+                size = pieces.end - pieces.start
+                late = earlier_exists(_same(value, content, size), pieces.doc, pieces.sub, pieces.place)
+                gone = pieces.take(late)
+                out = [(d % buckets, None, d, s, c, None) for d, s, c in _cuts(gone.doc, gone.sub, gone.place, gone.place + size[late])]
+                keys = {"value": value, "content": content, "size": size + _INNER * inner, "place": pieces.place, "doc": pieces.doc, "sub": pieces.sub}
+                bucket = (value % np.uint64(buckets)).astype(np.int64)
+                bucket[late] = buckets
                 order = np.argsort(bucket, kind="stable")
                 edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
                 for b in np.flatnonzero(np.diff(edges)).tolist():
-                    out.append((b, kept.take(order[edges[b] : edges[b + 1]]).pack(), None, None, None))
+                    chosen = order[edges[b] : edges[b + 1]]
+                    out.append((b, _pack_keys({k: v[chosen] for k, v in keys.items()}), None, None, None, None))
                 yield _rows(out)
 
     return rows.mapInArrow(deal, _SCHEMA)
 
 
+def _compare_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """By document: ranges of pieces that equal an earlier one, and the (place, size) of pieces to be read.
+
+    Ranges that the batches found on their own pass through.
+    """
+    payloads: list[bytes] = []
+    for batch in batches:
+        column = batch.column(1)
+        payloads += [p for p in column.to_pylist() if p is not None]
+        known = batch.filter(pa.compute.is_null(column))
+        if known.num_rows:
+            yield known
+    if not payloads:
+        return
+    keys = _unpack_keys(payloads)
+    doc, sub, place, value = (keys[k] for k in ("doc", "sub", "place", "value"))
+    size, inner = keys["size"] % _INNER, keys["size"] >= _INNER
+    late = earlier_exists(_same(value, keys["content"], size), doc, sub, place)
+    rows = [(0, None, d, s, c, None) for d, s, c in _cuts(doc[late], sub[late], place[late], (place + size)[late])]
+    left = np.flatnonzero(~late)
+    order = left[np.argsort(value[left], kind="stable")]
+    # Rows of one piece that merely share an id do not make a hash worth reading, different pieces do.
+    again = np.zeros(len(order), bool)
+    again[1:] = value[order][1:] == value[order][:-1]
+    again[:-1] |= again[1:]
+    order = order[again | inner[order]]
+    order = order[np.lexsort((place[order], sub[order], doc[order]))]
+    new = np.ones(len(order), bool)
+    new[1:] = (doc[order][1:] != doc[order][:-1]) | (sub[order][1:] != sub[order][:-1])
+    bounds = np.append(np.flatnonzero(new), len(order)).tolist()
+    wanted = np.stack((place[order], size[order]), axis=1).astype("<u8")
+    rows += [(0, None, int(doc[order[a]]), int(sub[order[a]]), None, wanted[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    yield _rows(rows)
+
+
 def _shared_hashes(pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """The smallest MER hash and the content hash of each piece."""
     value, content = np.zeros(len(pieces), np.uint64), np.zeros(len(pieces), np.uint64)
@@ -346,34 +415,38 @@ def _shared_hashes(pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return value, content
 
 
-def _repeats(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Byte ranges that the pieces of one task show to be repeated; ranges already known pass through."""
-    payloads: list[bytes] = []
-    for batch in batches:
-        column = batch.column(1)
-        payloads += [p for p in column.to_pylist() if p is not None]
-        known = batch.filter(pa.compute.is_null(column)) if column.null_count else None
-        if known is not None and known.num_rows:
-            yield known
+def _read_pieces(batch: pa.RecordBatch, buckets: int) -> pa.RecordBatch:
+    """The wanted pieces of some texts (doc, sub, text, wanted), packed by the bucket of their hash."""
+    doc, sub = (np.array(batch.column(i).to_pylist(), np.int64) for i in (0, 1))
+    wanted = batch.column(3).to_pylist()
+    out = []
+    for base, texts in chunks(texts_of(batch.column(2)), 4 << 20):
+        starts = np.cumsum([0, *(len(t) for t in texts)])
+        ranges = [np.frombuffer(b"".join(wanted[base + i]), "<u8").reshape(-1, 2).astype(np.int64) for i in range(len(texts))]
+        ranges = [r[np.argsort(r[:, 0], kind="stable")] for r in ranges]
+        owner = np.repeat(np.arange(len(texts)), [len(r) for r in ranges])
+        place, size = np.concatenate(ranges).T
+        start = starts[owner] + place
+        pieces = Pieces(np.frombuffer(b"".join(texts), np.uint8), start, start + size, doc[base + owner], sub[base + owner], place)
+        bucket = (_shared_hashes(pieces)[0] % np.uint64(buckets)).astype(np.int64)
+        out += [(b, pieces.take(bucket == b).pack(), None, None, None, None) for b in np.unique(bucket).tolist()]
+    return _rows(out)
+
+
+def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Byte ranges that the pieces of one task show to be repeated."""
+    payloads = [p for batch in batches for p in batch.column(1).to_pylist()]
     if not payloads:
         return
     pieces = unpack(payloads)
     del payloads
     value, content = _shared_hashes(pieces)
-    if len(hot):
-        # Windows of hot hashes were dealt by their own hash, which is that of their content.
-        is_hot = hot[np.minimum(np.searchsorted(hot, value), len(hot) - 1)] == value
-        value = np.where(is_hot, content, value)
     late = earlier_exists(_same(value, content, pieces.end - pieces.start), pieces.doc, pieces.sub, pieces.place)
     gone = pieces.take(late)
     found = [(gone.doc, gone.sub, gone.place, gone.place + gone.end - gone.start)]
     kept, value = pieces.take(~late), value[~late]
     order = np.argsort(value, kind="stable")
     ordered = value[order]
-    again = np.zeros(len(order), bool)
-    again[1:] = ordered[1:] == ordered[:-1]
-    again[:-1] |= again[1:]
-    order, ordered = order[again], ordered[again]
     # Blocks of whole hash groups.
     size = np.cumsum((kept.end - kept.start)[order])
     group_end = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True)) + 1 if len(order) else []
@@ -386,7 +459,30 @@ def _repeats(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[pa.
             found.append((some.doc[owner], some.sub[owner], start, start + LENGTH))
             first = end
     doc, sub, start, end = (np.concatenate(x) for x in zip(*found, strict=True))
-    yield _rows([(0, None, d, s, c) for d, s, c in _cuts(doc, sub, start, end)])
+    yield _rows([(0, None, d, s, c, None) for d, s, c in _cuts(doc, sub, start, end)])
+
+
+_RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
+_RESULT_COLUMNS = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+
+
+def _removed(texts: list[bytes | None], cuts: list[list[bytes] | None]) -> dict:
+    """The columns of _RESULT for texts and the ranges to cut."""
+    out: dict[str, list] = {c: [] for c in _RESULT_COLUMNS}
+    for text, parts in zip(texts, cuts, strict=True):
+        text = text or b""
+        removed, spans, kept = 0, [], text
+        if parts:
+            ranges = np.frombuffer(b"".join(parts), "<u8").reshape(-1, 2).astype(np.int64)
+            ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
+            first, last = merge(ranges[:, 0], ranges[:, 1])
+            spans = [{"start": a, "end": b} for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+            removed = int((last - first).sum())
+            kept = b"".join(text[a:b] for a, b in zip([0, *last.tolist()], [*first.tolist(), len(text)], strict=True))
+        for key, item in zip(out, (len(text), removed, len(spans), hashlib.sha256(kept).hexdigest(), spans), strict=True):
+            out[key].append(item)
+    spans = pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+    return out | {"kept_sha256": pa.array(out["kept_sha256"], pa.string()), "spans": spans}
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -397,38 +493,46 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     documents of their own of which none comes before the other. Only doc_id and text are read.
     """
     spark = prepare(docs.sparkSession)
+    scratch = Scratch(spark, "repeats")
     docs = docs.select("doc_id", "text")
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(_LAST)))
     # Texts are only told apart by hash where ids do not do it.
     repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
     sub = F.xxhash64("text") if repeated else F.lit(0).cast("long")
-    rows = docs.select(number.alias("doc"), sub.alias("sub"), "text")
-    hot = hot_hashes(rows)
+    keyed = docs.select("doc_id", "text", number.alias("doc"), sub.alias("sub"))
+    hot = hot_hashes(keyed.select("doc", "sub", "text"))
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = _deal(rows, buckets, hot).repartitionById(buckets, "bucket")
-    ranges = dealt.mapInArrow(lambda batches: _repeats(batches, hot), _SCHEMA).select("doc", "sub", "cuts")
-    by_doc = ranges.groupBy("doc", "sub").agg(F.collect_list("cuts").alias("cuts"))
-
-    def finish(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")}
-        for text, cuts in zip(texts_of(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-            text = text or b""
-            removed, spans, kept = 0, [], text
-            if cuts:
-                ranges = np.frombuffer(b"".join(cuts), "<u8").reshape(-1, 2).astype(np.int64)
-                ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
-                first, last = merge(ranges[:, 0], ranges[:, 1])
-                spans = list(zip(first.tolist(), last.tolist(), strict=True))
-                removed = int((last - first).sum())
-                kept = b"".join(text[a:b] for a, b in zip([0, *last.tolist()], [*first.tolist(), len(text)], strict=True))
-            for key, item in zip(out, (len(text), removed, len(spans), hashlib.sha256(kept).hexdigest(), [{"start": a, "end": b} for a, b in spans]), strict=True):
-                out[key].append(item)
-        out["spans"] = pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-        return {"doc_id": batch.column(0)} | out
+    dealt = _deal(keyed.select("doc", "sub", "text"), buckets, hot).repartitionById(buckets, "bucket")
+    by_key = scratch.write(dealt.mapInArrow(_compare_keys, _SCHEMA).select("doc", "sub", "cuts", "wanted"), "keys")
+    by_doc = by_key.groupBy("doc", "sub").agg(F.collect_list("cuts").alias("cuts"), F.collect_list("wanted").alias("wanted"))
 
-    keyed = docs.select("doc_id", "text", number.alias("doc"), sub.alias("sub"))
-    joined = keyed.join(by_doc, ["doc", "sub"], "left").select("doc_id", "text", "cuts")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_arrow(
-        joined, finish, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
+    carried = "doc long, sub long, text string, cuts array<binary>, wanted array<binary>"
+
+    def part(batch: pa.RecordBatch) -> dict:
+        """Texts without pieces to be read are finished; the others are carried on."""
+        cuts, wanted = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+        goes_on = pa.array([bool(w) for w in wanted])
+        texts = texts_of(batch.column(1))
+        out = _removed([None if w else t for t, w in zip(texts, wanted, strict=True)], [None if w else c for c, w in zip(cuts, wanted, strict=True)])
+        rest = {n: pa.compute.if_else(goes_on, batch.column(i), None) for n, i in (("text", 1),)}
+        lists = pa.list_(pa.binary())
+        rest |= {"cuts": pa.array([c if w else None for c, w in zip(cuts, wanted, strict=True)], lists), "wanted": pa.array([w or None for w in wanted], lists)}
+        return {"doc_id": batch.column(0), "doc": batch.column(2), "sub": batch.column(3)} | rest | out
+
+    joined = keyed.join(by_doc, ["doc", "sub"], "left").select("doc_id", "text", "doc", "sub", "cuts", "wanted")
+    half = scratch.write(map_arrow(joined, part, f"doc_id {kind}, {carried}, {_RESULT}"), "half")
+    scratch.drop(by_key)
+    results = ["doc_id", *_RESULT_COLUMNS]
+    going_on = half.where("wanted is not null")
+    pieces = going_on.select("doc", "sub", "text", "wanted").mapInArrow(
+        lambda batches: (_read_pieces(b, buckets) for b in batches if b.num_rows), _SCHEMA
     )
+    found = pieces.repartitionById(buckets, "bucket").mapInArrow(_repeats, _SCHEMA)
+    more = found.groupBy("doc", "sub").agg(F.collect_list("cuts").alias("more"))
+    rest = going_on.join(more, ["doc", "sub"], "left").select("doc_id", "text", F.concat("cuts", F.coalesce("more", F.array().cast("array<binary>"))).alias("cuts"))
+
+    def finish(batch: pa.RecordBatch) -> dict:
+        return {"doc_id": batch.column(0)} | _removed(texts_of(batch.column(1)), batch.column(2).to_pylist())
+
+    return half.where("wanted is null").select(*results).unionByName(map_arrow(rest, finish, f"doc_id {kind}, {_RESULT}"))
