@@ -169,7 +169,11 @@ class Field:
 
 
 def train(graphs: list[Graph], rounds: int = 300, rate: float = 0.5, decay: float = 1e-4) -> Field:
-    """Maximise the pseudo-likelihood of the base labels by gradient ascent from zero."""
+    """Maximise the pseudo-likelihood of the base labels by gradient ascent from zero.
+
+    A node without a label that a skip edge joins to one with a label may be just what the
+    patterns miss: it is unknown, and teaches nothing.
+    """
     n = len(LABELS)
     field = Field(np.zeros((1 << FEATURE_BITS, n)), np.zeros((3, n, n)))
     row, column, label, one, two, kind = [], [], [], [], [], []
@@ -188,6 +192,9 @@ def train(graphs: list[Graph], rounds: int = 300, rate: float = 0.5, decay: floa
     row, column, label = np.array(row), np.array(column), np.concatenate(label)
     one, two, kind = (np.concatenate(x) for x in (one, two, kind))
     target = np.eye(n)[label]
+    known = np.ones((nodes, 1))
+    for a, b in ((one, two), (two, one)):
+        known[a[(kind != CHAIN) & (label[a] == 0) & (label[b] > 0)]] = 0
     # Step sizes follow each weight's own gradients, so rare features are learned too.
     seen_unary, seen_pairs = np.full(field.unary.shape, 1e-8), np.full(field.pairs.shape, 1e-8)
     for _ in range(rounds):
@@ -198,7 +205,7 @@ def train(graphs: list[Graph], rounds: int = 300, rate: float = 0.5, decay: floa
         logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits)
         p /= p.sum(axis=1, keepdims=True)
-        off = (target - p) / nodes
+        off = (target - p) * known / nodes
         step = -decay * field.unary
         np.add.at(step, column, off[row])
         pair_step = np.zeros_like(field.pairs)

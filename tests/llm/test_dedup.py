@@ -70,7 +70,8 @@ def test_repeats_equal_brute_force(monkeypatch, docs, texts, hot):
 
 
 def test_repeats_with_repeated_and_missing_ids(spark, no_docs):
-    text = "".join(random.Random(1).choice("abcdefgh") for _ in range(150))
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdefgh") for _ in range(150))
     docs = spark.createDataFrame([(1, text), (1, text + "!"), (2, text), (None, text), (None, None)], "doc_id long, text string")
     got = sorted(((r["doc_id"], r["n_removed"]) for r in repeats.remove_repeats(docs).collect()), key=str)
     # Rows that share an id are not before each other; all others repeat them.

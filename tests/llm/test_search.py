@@ -62,7 +62,7 @@ def test_license_scan(spark, no_docs):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r["doc_id"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], r["score"]) for r in licenses.scan_licenses(docs).collect()}
     assert got == {
-        (0, 2, 3, 7, "cc-by,reserved", "cc-by,cc-by-nc,reserved", 1.0),
+        (0, 2, 3, 8, "cc-by,reserved", "cc-by,cc-by-nc,reserved", 1.0),
         (1, 1, 1, 1, "gpl", "gpl", 1.0),
         (2, 0, None, None, "", "", 0.0), (3, 0, None, None, "", "", 0.0),
         (4, 0, None, None, "", "apache-2.0", 1.0),
