@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+import uuid
 from datetime import datetime, timedelta
 from functools import lru_cache
 
@@ -556,7 +557,7 @@ def deduplicate(spark, sf_dir):
 @query
 def pivot_counts(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    statuses = relational.column_value_list(orders, "o_orderstatus", max_records=10)
+    statuses = relational.column_value_list(orders, "o_orderstatus")
     return relational.pivot(
         orders, ["o_orderpriority"], "o_orderstatus", statuses, prefix="status ", as_identifier=True
     )
@@ -615,13 +616,15 @@ def date_spine(spark, sf_dir):
 
 @query
 def gap_filled_daily(spark, sf_dir):
-    """Large purchases per hour, quiet hours included."""
+    """Purchases per hour, quiet hours and the hour of the last event included."""
     events = table(spark, sf_dir, "events")
     first, last = _span(events, "ts")
-    purchases = events.filter((F.col("event_type") == "purchase") & (F.col("value") > 10))
+    purchases = events.filter(F.col("event_type") == "purchase")
     start = first.replace(minute=0, second=0, microsecond=0)
+    # The spine ends before its end.
+    end = last + timedelta(microseconds=1)
     return series.gap_filled(
-        purchases, "ts", "hour", {"purchases": F.count(F.lit(1)), "value": F.sum("value")}, start, last
+        purchases, "ts", "hour", {"purchases": F.count(F.lit(1)), "value": F.sum("value")}, start, end
     )
 
 
@@ -713,10 +716,17 @@ def scalar_from_query(spark, sf_dir):
 def union_by_pattern(spark, sf_dir):
     """Orders split into one view per status, found again by name."""
     orders = table(spark, sf_dir, "orders")
-    for status in relational.column_value_list(orders, "o_orderstatus", max_records=10):
+    # A prefix of this call's own, so that nothing else in the catalog matches.
+    own = f"v{uuid.uuid4().hex}"
+    views = []
+    for status in relational.column_value_list(orders, "o_orderstatus"):
         part = orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_custkey", "o_orderdate")
-        part.createOrReplaceTempView(f"orders_status_{status.lower()}")
-    return relational.union_by_pattern(spark, "ORDERS_STATUS_%", exclude="%_P")
+        views.append(f"{own}_orders_status_{status.lower()}")
+        part.createOrReplaceTempView(views[-1])
+    union = relational.union_by_pattern(spark, f"{own.upper()}_ORDERS_STATUS_%", exclude="%_P")
+    for view in views:
+        spark.catalog.dropTempView(view)
+    return union.withColumn(relational.SOURCE_COLUMN, F.replace(relational.SOURCE_COLUMN, F.lit(f"{own}_"), F.lit("")))
 
 
 @query

@@ -22,19 +22,27 @@ def stable(value: Column) -> Column:
     below 1e-8, so comparing or rounding this form gives the same answer on
     every run.
     """
-    return F.rint(value * _EIGHT_DECIMALS) / _EIGHT_DECIMALS
+    return F.when(_too_large(value), value).otherwise(F.rint(value * _EIGHT_DECIMALS) / _EIGHT_DECIMALS)
+
+
+def _too_large(value: Column) -> Column:
+    """Whether a double has no eight exact decimals; true for NaN and the infinities."""
+    return F.abs(value) >= float(1 << 53) / _EIGHT_DECIMALS
 
 
 def half_up(value: Column, digits: int = 2) -> Column:
     """Round a double half away from zero, to at most seven digits.
 
-    Plain double arithmetic: going through a decimal type, as ``round`` does,
-    costs a conversion to text and back for every value.
+    Plain double arithmetic where eight decimals are exact: going through a decimal
+    type, as ``round`` does, costs a conversion to text and back for every value.
+    Larger values go that way; NaN and the infinities stay what they are.
     """
+    if not 0 <= digits <= 7:
+        raise ValueError("digits must be between 0 and 7")
     units = F.abs(F.rint(value * _EIGHT_DECIMALS)) / float(10 ** (8 - digits))
     rounded = F.signum(value) * F.floor(units + 0.5) / float(10**digits)
     # Adding zero turns a negative zero into zero.
-    return rounded + 0.0
+    return F.when(_too_large(value), F.round(value, digits)).otherwise(rounded + 0.0)
 
 
 def percent_of(part: Column, whole: Column, digits: int = 2) -> Column:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from shelfline.functions.text import slug
 
 SOURCE_COLUMN = "source_relation"
+#: Most values that may become columns or tables of their own.
+MOST_VALUES = 5000
 
 
 def union_relations(
@@ -23,39 +25,53 @@ def union_relations(
 ) -> DataFrame:
     """UNION ALL over the superset of columns, in first-seen order.
 
-    A column absent from a relation is NULL there. ``where`` filters each
-    relation on its own columns, before the union.
+    Columns are matched without case, under their first spelling. A column absent
+    from a relation is NULL there; types that differ are widened to the one Spark's
+    UNION takes for them. ``where`` filters each relation on its own columns, before
+    the union.
     """
     if include and exclude:
         raise ValueError("give either include or exclude, not both")
     if not relations:
         raise ValueError("no relations to union")
-    override = column_override or {}
+    override = {c.lower(): t for c, t in (column_override or {}).items()}
     included = {c.lower() for c in include or []}
     excluded = {c.lower() for c in exclude or []}
 
     def wanted(name: str) -> bool:
         return name.lower() not in excluded and (not included or name.lower() in included)
 
+    names: dict[str, str] = {}
     types: dict[str, T.DataType | str] = {}
     for df in relations.values():
         for field in df.schema:
-            if wanted(field.name):
-                types.setdefault(field.name, override.get(field.name, field.dataType))
+            key = field.name.lower()
+            if not wanted(field.name):
+                continue
+            known = types.get(key, field.dataType)
+            names.setdefault(key, field.name)
+            types[key] = override[key] if key in override else _wider(df.sparkSession, known, field.dataType)
     if not types:
         raise ValueError("no columns left to union")
 
     def aligned(name: str, df: DataFrame) -> DataFrame:
         rows = df.filter(where) if where else df
         source = [F.lit(name).alias(source_column)] if source_column else []
-        values = [
-            (F.col(c) if c in df.columns else F.lit(None)).cast(dtype).alias(c) for c, dtype in types.items()
-        ]
+        present = {c.lower() for c in df.columns}
+        values = [(F.col(c) if c in present else F.lit(None)).cast(dtype).alias(names[c]) for c, dtype in types.items()]
         return rows.select(*source, *values)
 
     return reduce(DataFrame.unionAll, [aligned(name, df) for name, df in relations.items()])
 
 
+def _wider(spark: SparkSession, one: T.DataType, two: T.DataType) -> T.DataType:
+    """The type that holds values of both, as UNION decides it."""
+    if one == two:
+        return one
+    empty = spark.range(0)
+    return empty.select(F.lit(None).cast(one)).union(empty.select(F.lit(None).cast(two))).schema[0].dataType
+
+
 def deduplicate(df: DataFrame, partition_by: list[str], order_by: list[Column]) -> DataFrame:
     """The first row of every key; rows with NULL keys form groups too.
 
@@ -121,14 +137,20 @@ def column_values(
 
 
 def column_value_list(
-    df: DataFrame | None, column: str, max_records: int, default: list | None = None, where: str | None = None
+    df: DataFrame | None, column: str, max_records: int | None = None, default: list | None = None, where: str | None = None
 ) -> list:
-    """At most ``max_records`` values as a list, to name the columns of a pivot."""
+    """All values (or the ``max_records`` most frequent) as a list, to name the columns of a pivot.
+
+    More than ``MOST_VALUES`` are refused, never cut off.
+    """
     if df is None:
         if default is None:
             raise ValueError("the relation does not exist and no default was given")
         return default
-    found = [row["value"] for row in column_values(df, column, max_records=max_records, where=where).collect()]
+    bound = MOST_VALUES + 1 if max_records is None else max_records
+    found = [row["value"] for row in column_values(df, column, max_records=bound, where=where).collect()]
+    if max_records is None and len(found) > MOST_VALUES:
+        raise ValueError(f"{column} has more than {MOST_VALUES} values")
     return found or (default or [])
 
 

@@ -136,3 +136,12 @@ def test_url_parameter(spark):
     urls = ["http://a.com?utm_medium=organic&utm_source=github", "http://a.com/x", "a.com?utm_source=&x=1"]
     assert column_of(spark, urls, "string", lambda c: text.url_parameter(c, "utm_source")) == ["github", None, None]
     assert column_of(spark, urls, "string", lambda c: text.url_parameter(c, "utm_medium")) == ["organic", None, None]
+
+
+def test_half_up_of_large_and_special_values(spark):
+    values = [3333333333.125, -3333333333.125, 1e15, float("inf"), 90071993.125]
+    assert column_of(spark, values, "double", numeric.half_up) == [3333333333.13, -3333333333.13, 1e15, float("inf"), 90071993.13]
+    (found,) = column_of(spark, [float("nan")], "double", numeric.half_up)
+    assert found != found
+    with pytest.raises(ValueError):
+        numeric.half_up(F.lit(1.0), 8)

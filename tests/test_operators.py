@@ -213,3 +213,19 @@ def test_gap_filled(spark):
                                "ts timestamp_ntz, v double")
     found = series.gap_filled(df, "ts", "day", {"n": F.count(F.lit(1)), "v": F.sum("v")}, start, start + timedelta(days=4))
     assert [(r["n"], r["v"]) for r in found.orderBy("date_day").collect()] == [(1, 2.0), (0, 0.0), (1, 1.0), (0, 0.0)]
+
+
+def test_union_relations_widens_types_and_matches_without_case(spark):
+    one = spark.createDataFrame([(1, 2)], "Id int, amount int")
+    two = spark.createDataFrame([(5_000_000_000, 2.75)], "id bigint, AMOUNT double")
+    both = relational.union_relations({"one": one, "two": two}, source_column=None)
+    assert both.dtypes == [("Id", "bigint"), ("amount", "double")]
+    assert rows_of(both) == [(1, 2.0), (5_000_000_000, 2.75)]
+
+
+def test_column_value_list_has_no_limit_of_its_own(spark, monkeypatch):
+    df = spark.range(12).select(F.col("id").cast("string").alias("v"))
+    assert len(relational.column_value_list(df, "v")) == 12
+    monkeypatch.setattr(relational, "MOST_VALUES", 11)
+    with pytest.raises(ValueError):
+        relational.column_value_list(df, "v")

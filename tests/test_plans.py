@@ -308,8 +308,8 @@ def test_insights_survive_missing_values(spark, cfg, promo_rows, price_rows):
     summary = pricing.pricing_summary(pricing.build_price_mart(promo_rows.filter("is_focus = 1")))
     lines = {r["category"]: r["insight"] for r in reports.key_insights(dq, mart, summary, cfg.focus_pattern).collect()}
     assert set(lines) == {"Data Quality", "Pricing"}
-    assert "'Excellent' with 0.0% low-quality" in lines["Data Quality"]
-    assert lines["Pricing"].endswith("price index of n/a.")
+    assert lines["Data Quality"] == "0.0% of the own rows are flawed (health: Excellent)"
+    assert lines["Pricing"].startswith("Own prices stand at n/a of 100")
     topics = [r["topic"] for r in reports.run_insights(dq, mart, summary).collect()]
     assert topics == ["data_quality", "pricing_position"]
 
