@@ -1 +1,56 @@
-ORACLE_SQL: dict[str, str] = {}
+"""DuckDB SQL for the queries that SQL can express; the others are tested against brute force."""
+
+from __future__ import annotations
+
+_DECONTAMINATE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+places AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, item_id, i, n FROM places JOIN windows USING (n, s)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+def _level(name: str, parent: str, path: list[str], weight: str) -> str:
+    """One level of the budget tree: every parent's budget shared among its children by water-filling."""
+    family = f"PARTITION BY {', '.join(path[:-1])}" if path[:-1] else ""
+    line = f"({family} ORDER BY capacity / weight, {path[-1]})"
+    join = f"JOIN {parent} USING ({', '.join(path[:-1])})" if path[:-1] else f"CROSS JOIN {parent}"
+    keys = ", ".join(path)
+    return f"""
+{name}_c AS (SELECT {keys}, budget, CAST(2 * sum(tokens) AS BIGINT) AS capacity, {weight} AS weight
+    FROM leaves {join} GROUP BY {keys}, budget),
+{name}_f AS (SELECT *, capacity * (sum(weight) OVER ({family}) - sum(weight) OVER {line} + weight)
+    <= weight * (budget - sum(capacity) OVER {line} + capacity) AS filled FROM {name}_c),
+{name}_r AS (SELECT *, budget - sum(CASE WHEN filled THEN capacity ELSE 0 END) OVER ({family}) AS rest,
+    sum(CASE WHEN filled THEN 0 ELSE weight END) OVER ({family}) AS open_weight,
+    sum(CASE WHEN filled THEN 0 ELSE weight END) OVER {line} AS upto FROM {name}_f),
+{name} AS (SELECT {keys}, CAST(CASE WHEN filled THEN capacity
+    ELSE (rest * upto) // open_weight - (rest * (upto - weight)) // open_weight END AS BIGINT) AS budget FROM {name}_r)"""
+
+
+_MIX = f"""
+WITH d AS (SELECT doc_id, 'domain' || CAST(coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS INT), 0) % 4 AS VARCHAR) AS domain,
+    lang, source, CAST(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
+leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM d GROUP BY ALL),
+top AS (SELECT CAST(floor(sum(tokens) * 0.5) AS BIGINT) AS budget FROM leaves),
+{_level("l1", "top", ["domain"], "CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END")},
+{_level("l2", "l1", ["domain", "lang"], "CASE lang WHEN 'en' THEN 5 ELSE 2 END")},
+{_level("l3", "l2", ["domain", "lang", "source"], "1")},
+p AS (SELECT *, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS epochs,
+    CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS part FROM leaves JOIN l3 USING (domain, lang, source)),
+k AS (SELECT *, md5('7:' || epochs || ':' || doc_id) AS key FROM d JOIN p USING (domain, lang, source)),
+s AS (SELECT *, part - sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, doc_id, n_tokens
+    ROWS UNBOUNDED PRECEDING) + n_tokens AS still FROM k)
+SELECT doc_id, domain, lang, source, n_tokens, CAST(epochs + CASE WHEN still > 0 THEN 1 ELSE 0 END AS BIGINT) AS copies,
+    CAST(epochs * n_tokens + greatest(0, least(n_tokens, still)) AS BIGINT) AS tokens
+FROM s WHERE epochs + CASE WHEN still > 0 THEN 1 ELSE 0 END > 0"""
+
+ORACLE_SQL: dict[str, str] = {"op1_decontaminate": _DECONTAMINATE, "op8_mix_sources": _MIX}
