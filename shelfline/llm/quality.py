@@ -45,15 +45,16 @@ def _indexes(count: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words inside three-word windows that stand twice or more in the text.
 
-    Windows are sorted with their places, so equal ones are neighbours; the places of
-    repeated ones, in order, each cover as many new words as fit before the next.
+    Windows, as 96 bits of two hashes, are sorted with their places, so equal ones are
+    neighbours; the places of repeated ones, in order, each cover as many new words as fit before the next.
     """
 
     def window(i: Column) -> Column:
-        return F.struct(F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("s"), i.alias("i"))
+        three = [F.get(words, i + j) for j in range(3)]
+        return F.struct(F.xxhash64(*three).alias("s"), F.hash(*three).alias("t"), i.alias("i"))
 
     def same(a: Column, b: Column) -> Column:
-        return F.coalesce(a["s"] == b["s"], F.lit(False))
+        return F.coalesce((a["s"] == b["s"]) & (a["t"] == b["t"]), F.lit(False))
 
     def covered(places: Column) -> Column:
         following = F.transform(places, lambda p, j: F.least(F.lit(3), F.coalesce(F.get(places, j + 1) - p, F.lit(3))))
@@ -71,7 +72,7 @@ def repeated_lines(text: Column) -> Column:
 
 
 def _bucket(*words: Column) -> Column:
-    return F.pmod(F.xxhash64(F.concat_ws(" ", *words)), F.lit(BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(*words), F.lit(BUCKETS)).cast("int")
 
 
 def grams(words: Column) -> Column:

@@ -89,8 +89,9 @@ def test_quality(spark, docs, texts, no_docs):
     # The likelihood ratio, counted again in plain Python.
     def grams(text):
         words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-        hashed = lambda s: (lambda h: (h - (1 << 64) if h >> 63 else h) % quality.BUCKETS)(xxhash.xxh64_intdigest(s.encode(), 42))
-        return [hashed(w) for w in words] + [hashed(f"{a} {b}") for a, b in zip(words, words[1:], strict=False)]
+        one = lambda w, seed=42: xxhash.xxh64_intdigest(w.encode(), seed)
+        hashes = [one(w) for w in words] + [one(b, one(a)) for a, b in zip(words, words[1:], strict=False)]
+        return [h % quality.BUCKETS for h in hashes]
 
     raw, target = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
     for d, t in [*texts, *more]:
