@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shelfline.llm.common import Scratch, map_arrow, prepare
 from shelfline.llm.text import NON_BLANK, chunks, mix, texts_of, words_of
 
-K = 64
+#: Retained values per text. More of them would make fewer false candidates, but every one is shuffled.
+K = 32
 MISS = 1e-9
 #: Most texts of a first list that is paired out, and of a family that one task settles.
 SHORT, FAMILY = 12, 1024
@@ -209,41 +210,32 @@ def _sketches_agree(pairs: DataFrame, reps: DataFrame, threshold: float) -> Data
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
     two = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "sa", "sb")
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "star", "sa", "sb")
 
 
 def _linked(common: int, na: int, nb: int, percent: int) -> bool:
     return 100 * common >= percent * (na + nb - common)
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets meet the threshold."""
+def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b, star, linked, n, added, removed: exact verdict on each pair (a, b, star).
 
-    def confirm(batch: pa.RecordBatch) -> dict:
-        keep = [
-            _linked(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b), percent)
-            for a, b in zip(_values(batch.column(2)), _values(batch.column(3)), strict=True)
-        ]
-        return {"a": batch.column(0), "b": batch.column(1), "keep": keep}
-
-    return map_arrow(_with_sets(pairs, sets), confirm, "a long, b long, keep boolean").where("keep").drop("keep")
-
-
-def _against_leaders(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a (leader), b, linked, n, added and removed: the exact differences of each text from its leader."""
+    For a star (a is a leader) also b's size and its differences from a.
+    """
 
     def compare(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {k: [] for k in ("linked", "n", "added", "removed")}
-        for a, b in zip(_values(batch.column(2)), _values(batch.column(3)), strict=True):
+        for star, a, b in zip(batch.column(2).to_pylist(), _values(batch.column(3)), _values(batch.column(4)), strict=True):
             common = len(np.intersect1d(a, b, assume_unique=True))
             out["linked"].append(_linked(common, len(a), len(b), percent))
             out["n"].append(len(b))
-            out["added"].append(np.setdiff1d(b, a, assume_unique=True).tobytes())
-            out["removed"].append(np.setdiff1d(a, b, assume_unique=True).tobytes())
-        return {"a": batch.column(0), "b": batch.column(1)} | out
+            out["added"].append(np.setdiff1d(b, a, assume_unique=True).tobytes() if star else None)
+            out["removed"].append(np.setdiff1d(a, b, assume_unique=True).tobytes() if star else None)
+        out["added"], out["removed"] = (pa.array(out[k], pa.binary()) for k in ("added", "removed"))
+        return {"a": batch.column(0), "b": batch.column(1), "star": batch.column(2)} | out
 
     return map_arrow(
-        _with_sets(pairs, sets), compare, "a long, b long, linked boolean, n long, added binary, removed binary"
+        _with_sets(pairs, sets), compare, "a long, b long, star boolean, linked boolean, n long, added binary, removed binary"
     )
 
 
@@ -374,15 +366,26 @@ def _representatives(usable: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """node, set: the whole sets of the wanted representatives (node, doc_id, set_id)."""
+    """node, set: the whole sets of the wanted representatives (node, doc_id, set_id, again).
+
+    Only rows whose id stands again in another row are compared to keep one of each;
+    the texts of all others need no shuffle for that.
+    """
 
     def compute(batch: pa.RecordBatch) -> dict:
         sets = [s.tobytes() for s in sets_of(texts_of(batch.column(1)), shingle)]
         same = [hashlib.blake2b(s, digest_size=16).digest() == i for s, i in zip(sets, batch.column(2).to_pylist(), strict=True)]
         return {"node": batch.column(0), "set": pa.array(sets, pa.binary()), "same": same}
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("node", "text", "set_id")
-    return map_arrow(rows, compute, "node long, set binary, same boolean").where("same").drop("same").dropDuplicates(["node"])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    def sets(chosen: DataFrame, once: bool) -> DataFrame:
+        rows = texts.join(chosen.drop("again"), "doc_id").select("node", "text", "set_id")
+        found = map_arrow(rows if once else rows.dropDuplicates(), compute, "node long, set binary, same boolean").where("same").drop("same")
+        # Different texts with one set are left for the second pass.
+        return found if once else found.dropDuplicates(["node"])
+
+    return sets(wanted.where("not again"), True).union(sets(wanted.where("again"), False))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -400,23 +403,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     usable = table.where("n > 0 and doc_id is not null")
     reps = _representatives(usable, scratch)
 
-    members = scratch.write(_members(scratch.write(_first_lists(reps, value_counters(reps), threshold), "lists")), "members")
+    lists = scratch.write(_first_lists(reps, value_counters(reps), threshold), "lists")
+    members = scratch.write(_members(lists), "members")
+    scratch.drop(lists)
     pairs = scratch.write(_sketches_agree(_short_pairs(members, threshold), reps, threshold), "pairs")
     stars = scratch.write(_star_pairs(members, SHORT), "stars")
     scratch.drop(members)
     ends = reduce(DataFrame.union, [t.select(F.col(c).alias("node")) for t in (pairs, stars) for c in "ab"]).distinct()
-    wanted = scratch.write(reps.select("node", "doc_id", "set_id").join(ends, "node"), "wanted")
+    repeated = usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).select("doc_id", (F.col("rows") > 1).alias("again")).where("again")
+    found = reps.select("node", "doc_id", "set_id").join(ends, "node").join(scratch.write(repeated, "repeated"), "doc_id", "left")
+    wanted = scratch.write(found.withColumn("again", F.coalesce("again", F.lit(False))), "wanted")
     sets = scratch.write(_full_sets(docs, wanted, shingle), "sets")
-    links = scratch.write(_confirm(pairs, sets, percent), "links")
+    # Short pairs and stars are checked together, so that the sets are sent once.
+    unsure = pairs.withColumn("star", F.lit(False)).union(stars.withColumn("star", F.lit(True)))
+    compared = scratch.write(_compare(unsure, sets, percent), "compared")
+    links = compared.where("linked").select("a", "b")
     while stars.limit(1).count():
-        compared = scratch.write(_against_leaders(stars, sets, percent), "compared")
-        links = links.union(compared.where("linked").select("a", "b"))
-        families = scratch.write(_families(compared.withColumn("t", F.lit(threshold))), "families")
+        families = scratch.write(_families(compared.where("star").drop("star").withColumn("t", F.lit(threshold))), "families")
         links = links.union(scratch.write(_settle(families.where(F.col("size") <= FAMILY), ["lead"], percent), "links"))
         members = scratch.write(_members(_lists(families)), "members")
         links = links.union(scratch.write(_settle(members.where(F.col("size") <= FAMILY), ["lead", "value"], percent), "links"))
         stars = scratch.write(_star_pairs(members, FAMILY), "stars")
         scratch.drop(families, members)
+        compared = scratch.write(_compare(stars.withColumn("star", F.lit(True)), sets, percent), "compared")
+        links = links.union(compared.where("linked").select("a", "b"))
     scratch.drop(sets)
     return _grouped(table, reps, links, scratch)
 
