@@ -154,20 +154,16 @@ def _first_lists(reps: DataFrame, counters: np.ndarray, threshold: float) -> Dat
     return map_arrow(reps.select("node", "n", "sketch"), prefix, "lead long, value long, node long, n long, heat long, open boolean")
 
 
-def _members(lists: DataFrame) -> DataFrame:
-    """Rows of lists that can still hold a link between texts, with the list's size and leader."""
+def _members(lists: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows of lists that can still hold a link between texts, with the list's size and leader.
+
+    Most values stand in one text alone; those are told by a count, before anything else is sent.
+    """
     keys = ["lead", "value"]
-    found = (
-        lists.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("size"),
-            F.max(F.col("open").cast("int")).alias("any_open"),
-            F.max_by("node", F.struct("heat", "node")).alias("leader"),
-        )
-        .where("size > 1 and any_open = 1")
-        .drop("any_open")
-    )
-    return lists.join(found, keys)
+    sizes = lists.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.max(F.col("open").cast("int")).alias("any_open"))
+    shared = scratch.write(lists.join(sizes.where("size > 1 and any_open = 1").drop("any_open"), keys), "shared")
+    leaders = shared.groupBy(*keys).agg(F.max_by("node", F.struct("heat", "node")).alias("leader"))
+    return shared.join(leaders, keys)
 
 
 def _near_size(a: str, b: str, threshold: float) -> F.Column:
@@ -404,7 +400,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     reps = _representatives(usable, scratch)
 
     lists = scratch.write(_first_lists(reps, value_counters(reps), threshold), "lists")
-    members = scratch.write(_members(lists), "members")
+    members = scratch.write(_members(lists, scratch), "members")
     scratch.drop(lists)
     pairs = scratch.write(_sketches_agree(_short_pairs(members, threshold), reps, threshold), "pairs")
     stars = scratch.write(_star_pairs(members, SHORT), "stars")
@@ -418,15 +414,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     unsure = pairs.withColumn("star", F.lit(False)).union(stars.withColumn("star", F.lit(True)))
     compared = scratch.write(_compare(unsure, sets, percent), "compared")
     links = compared.where("linked").select("a", "b")
-    while stars.limit(1).count():
-        families = scratch.write(_families(compared.where("star").drop("star").withColumn("t", F.lit(threshold))), "families")
+    around = compared.where("star")
+    while not around.isEmpty():
+        families = scratch.write(_families(around.drop("star").withColumn("t", F.lit(threshold))), "families")
         links = links.union(scratch.write(_settle(families.where(F.col("size") <= FAMILY), ["lead"], percent), "links"))
-        members = scratch.write(_members(_lists(families)), "members")
+        members = scratch.write(_members(_lists(families), scratch), "members")
         links = links.union(scratch.write(_settle(members.where(F.col("size") <= FAMILY), ["lead", "value"], percent), "links"))
         stars = scratch.write(_star_pairs(members, FAMILY), "stars")
         scratch.drop(families, members)
-        compared = scratch.write(_compare(stars.withColumn("star", F.lit(True)), sets, percent), "compared")
-        links = links.union(compared.where("linked").select("a", "b"))
+        if stars.isEmpty():
+            break
+        around = scratch.write(_compare(stars.withColumn("star", F.lit(True)), sets, percent), "compared")
+        links = links.union(around.where("linked").select("a", "b"))
     scratch.drop(sets)
     return _grouped(table, reps, links, scratch)
 
