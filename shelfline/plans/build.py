@@ -17,13 +17,13 @@ def build_all(sales: DataFrame, cfg: Config, layers: Layers) -> dict[str, DataFr
     the two marts and both quality datasets read them, each with its own columns.
     """
     require_valid_load(sales)
-    staged = layers.write(staging.stage_sales(sales, cfg), STAGING, "sales", sort_by=["sale_date", "store_name"])
+    staged = layers.write(staging.stage_sales(sales, cfg), STAGING, "sales", sort_by=["sale_date", "store_name"], stamp="loaded_at")
 
     def mart(df: DataFrame, name: str) -> DataFrame:
-        return layers.write(df, MARTS, name, partition_by=["is_focus"], sort_by=["store_name"])
+        return layers.write(df, MARTS, name, partition_by=["is_focus"], sort_by=["store_name"], stamp="built_at")
 
     def summary(df: DataFrame, name: str) -> DataFrame:
-        return layers.write(df, ANALYTICS, name)
+        return layers.write(df, ANALYTICS, name, stamp="built_at")
 
     promo_mart = mart(promo.build_promo_mart(staged, cfg), "promo_detection")
     price_mart = mart(pricing.build_price_mart(staged), "price_index")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.functions.text import column_name, tidy
@@ -15,12 +17,12 @@ from shelfline.sources.schema import (
 )
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All columns as text under cleaned-up header names.
 
-    ``multi_line`` lets quoted fields hold line breaks; a file is then read by
-    one task, so keep files at block size or pass False for files known to be
-    free of such breaks, which Spark splits.
+    Files are split over tasks. ``multi_line`` lets quoted fields hold line breaks
+    (without it such a row stops the load); a file is then read by one task, so keep
+    files at block size.
     """
     header = spark.read.option("header", True).csv(path).columns
     names = [column_name(c) for c in header]
@@ -40,35 +42,53 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     return reader.csv(path).toDF(*names)
 
 
-def _parsed(name: str) -> Column:
-    """Typed value, NULL where the text does not parse."""
+def _parsed_date(name: str, date_formats: Sequence[str]) -> Column:
+    """The date of an ISO date or timestamp, or else by the first format that fits; a bare time is no date."""
+    text = F.trim(F.col(name).cast("string"))
+    iso = F.when(text.rlike("^[0-9]{4}-"), text.try_cast("timestamp"))
+    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)) for f in date_formats]).cast("date")
+
+
+def _parsed(name: str, date_formats: Sequence[str] = ()) -> Column:
+    """Typed value, NULL where the text does not parse or does not fit the column exactly."""
     dtype = SALES_SCHEMA[name].dataType
     if isinstance(dtype, T.StringType):
         return F.col(name)
     if isinstance(dtype, T.DateType):
-        return F.col(name).try_cast("timestamp").cast(dtype)
-    return F.trim(F.col(name)).try_cast(dtype)
+        return _parsed_date(name, date_formats)
+    return F.when(~_inexact(name), F.trim(F.col(name)).try_cast(dtype))
+
 
+def _inexact(name: str) -> Column:
+    """Whether a number has more decimals than its column keeps; false where the text is no number."""
+    text = F.trim(F.col(name))
+    return F.coalesce(text.try_cast(T.DecimalType(38, 18)) != text.try_cast(SALES_SCHEMA[name].dataType), F.lit(False))
 
-def _strict(name: str) -> Column:
-    """Typed value; text that does not parse stops the load."""
+
+def _strict(name: str, date_formats: Sequence[str]) -> Column:
+    """Typed value; text that does not parse, or would have to be rounded, stops the load."""
     complaint = F.concat(F.lit(f"{name}: cannot read "), F.col(name))
-    value = _parsed(name)
+    value = _parsed(name, date_formats)
     return F.when(F.col(name).isNotNull() & value.isNull(), F.raise_error(complaint)).otherwise(value)
 
 
-def read_sales(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """The sales table of a CSV file or folder; columns are matched by name."""
+def read_sales(spark: SparkSession, path: str, multi_line: bool = False, date_formats: Sequence[str] = ()) -> DataFrame:
+    """The sales table of a CSV file or folder; columns are matched by name.
+
+    ``date_formats`` are tried in order for dates that are not in ISO form.
+    """
     text = read_csv_text(spark, path, multi_line)
     missing = [f.name for f in SALES_SCHEMA if f.name not in text.columns]
     if missing:
         raise ValueError(f"CSV has no column {', '.join(missing)}")
-    return text.select(*[_strict(f.name).alias(f.name) for f in SALES_SCHEMA])
+    return text.select(*[_strict(f.name, date_formats).alias(f.name) for f in SALES_SCHEMA])
 
 
-def load_sales(spark: SparkSession, csv_path: str, table_path: str, multi_line: bool = True) -> int:
+def load_sales(
+    spark: SparkSession, csv_path: str, table_path: str, multi_line: bool = False, date_formats: Sequence[str] = ()
+) -> int:
     """Replace the base table with the content of the CSV; returns its row count."""
-    read_sales(spark, csv_path, multi_line).write.mode("overwrite").parquet(table_path)
+    read_sales(spark, csv_path, multi_line, date_formats).write.mode("overwrite").parquet(table_path)
     return spark.read.parquet(table_path).count()
 
 
@@ -101,31 +121,35 @@ def clean_text_columns(df: DataFrame) -> DataFrame:
     return named.withColumns({c: tidy(F.col(c)) for c in TEXT_COLUMNS if c in named.columns})
 
 
-def with_reject_reason(df: DataFrame) -> DataFrame:
+def with_reject_reason(df: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
     """Typed columns plus ``reject_reason``, NULL for rows worth keeping.
 
-    A number that does not parse counts as missing, as a missing one does.
+    A number that does not parse counts as missing, as a missing one does; one with more
+    decimals than the column keeps rejects its row. Without a date column no row is
+    rejected for its date.
     """
-    typed = df.withColumns({c: _parsed(c) for c in [*NUMERIC_COLUMNS, DATE_COLUMN] if c in df.columns})
-    reason = F.when(F.col(DATE_COLUMN).isNull(), "invalid date")
-    for name in CRITICAL_COLUMNS:
-        if name in typed.columns:
-            reason = reason.when(F.col(name).isNull(), f"missing {name}")
-    return typed.withColumn("reject_reason", reason)
+    numbers = [c for c in NUMERIC_COLUMNS if c in df.columns]
+    has_date = DATE_COLUMN in df.columns
+    reasons = [(_parsed(DATE_COLUMN, date_formats).isNull(), "invalid date")] if has_date else []
+    reasons += [(_inexact(c), f"inexact {c}") for c in numbers]
+    reasons += [((_parsed(c) if c in numbers else F.col(c)).isNull(), f"missing {c}") for c in CRITICAL_COLUMNS if c in df.columns]
+    reason = F.coalesce(*[F.when(wrong, text) for wrong, text in reasons], F.lit(None).cast("string"))
+    typed = {c: _parsed(c, date_formats) for c in [*numbers, *([DATE_COLUMN] if has_date else [])]}
+    return df.withColumns({"reject_reason": reason} | typed)
 
 
-def coerce_and_drop_invalid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def coerce_and_drop_invalid(df: DataFrame, date_formats: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(rows kept, rows rejected with their reason)."""
-    judged = with_reject_reason(df)
+    judged = with_reject_reason(df, date_formats)
     return (
         judged.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
         judged.filter(F.col("reject_reason").isNotNull()),
     )
 
 
-def reject_counts(df: DataFrame) -> DataFrame:
+def reject_counts(df: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
     """Number of rows removed per reason."""
-    _, rejected = coerce_and_drop_invalid(df)
+    _, rejected = coerce_and_drop_invalid(df, date_formats)
     return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows_removed"))
 
 

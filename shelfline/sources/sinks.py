@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -27,8 +28,13 @@ class Layers:
         name: str,
         partition_by: list[str] | None = None,
         sort_by: list[str] | None = None,
+        stamp: str | None = None,
     ) -> DataFrame:
-        """Write a table and return a scan of it.
+        """Write a table and return a scan of it (of the columns of ``df``).
+
+        The table is built beside the old one and takes its place when it is complete,
+        so a build that fails leaves the old table readable. ``stamp`` names a column
+        for the time of the build.
 
         The rebalance hint lets Spark split large partition values over several
         files and merge small ones; sorting inside files narrows the min/max
@@ -38,10 +44,14 @@ class Layers:
         laid_out = df.hint("rebalance", *[F.col(k) for k in keys])
         if keys or sort_by:
             laid_out = laid_out.sortWithinPartitions(*keys, *(sort_by or []))
-        writer = laid_out.write.mode("overwrite")
+        if stamp:
+            laid_out = laid_out.withColumn(stamp, F.current_timestamp())
+        writer = laid_out.write
         if keys:
             writer = writer.partitionBy(*keys)
-        writer.parquet(self.path(layer, name))
+        beside = f"{self.path(layer, name)}.{uuid.uuid4().hex}"
+        writer.parquet(beside)
+        _replace(df.sparkSession, beside, self.path(layer, name))
         return self.read(df.sparkSession, layer, name).select(*df.columns)
 
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
@@ -53,6 +63,15 @@ class Layers:
         return df.sparkSession.table(f"{layer}_{name}")
 
 
+def _replace(spark: SparkSession, new: str, old: str) -> None:
+    """Put a finished folder in the place of another."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (new, old))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"could not move {new} to {old}")
+
+
 def json_safe(df: DataFrame) -> DataFrame:
     """NULL for every NaN and infinity, so that the rows are valid JSON."""
     floating = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]

@@ -27,7 +27,7 @@ def changed(position, value):
 
 def test_read_sales(spark, tmp_path):
     path = write(tmp_path, GOOD, changed(2, ""), changed(3, '"two\nlines"'))
-    df = ingest.read_sales(spark, path)
+    df = ingest.read_sales(spark, path, multi_line=True)
     assert df.schema == SALES_SCHEMA
     row = df.filter("Item_Barcode = '000123' and Description like 'Tea%'").first()
     assert (row["Description"], float(row["Total_Sales"]), row["Date_Of_Sale"]) == ('Tea, "green"', 20.5, date(2025, 9, 22))
@@ -41,7 +41,7 @@ def test_columns_are_matched_by_name(spark, tmp_path):
     assert rows_of(ingest.read_sales(spark, path), "Store_Name", "Item_Code") == [("North", "10")]
 
 
-@pytest.mark.parametrize("position,value", [(8, "two"), (12, "yesterday")])
+@pytest.mark.parametrize("position,value", [(8, "two"), (12, "yesterday"), (12, "10:30"), (8, "0.455"), (10, "11.999")])
 def test_strict_load_refuses_unreadable_values(spark, tmp_path, position, value):
     with pytest.raises(Exception, match="cannot read"):
         ingest.read_sales(spark, write(tmp_path, GOOD, changed(position, value))).collect()
@@ -76,7 +76,7 @@ def test_cleaning_and_rejects(spark, tmp_path):
         tmp_path, changed(0, '"  North\r\n  Mall "'), changed(12, "soon"), changed(8, "many"), changed(3, ""),
         changed(10, "cheap"), changed(9, ""),
     )
-    clean = ingest.clean_text_columns(ingest.read_csv_text(spark, path))
+    clean = ingest.clean_text_columns(ingest.read_csv_text(spark, path, multi_line=True))
     kept, rejected = ingest.coerce_and_drop_invalid(clean)
     assert rows_of(kept, "Store_Name", "RRP") == [("North Mall", 11.0), ("North", None)]
     assert rejected.count() == 4
@@ -85,6 +85,35 @@ def test_cleaning_and_rejects(spark, tmp_path):
     ]
 
 
+def test_dates_in_several_formats(spark, tmp_path):
+    formats = ["d/M/yyyy", "dd-MMM-yyyy"]
+    days = ["24/09/2025", "4/9/2025", "24-Sep-2025", "2025-09-24 10:30:00"]
+    path = write(tmp_path, *[changed(12, d) for d in days])
+    found = ingest.read_sales(spark, path, date_formats=formats).select("Date_Of_Sale").collect()
+    assert [r[0] for r in found] == [date(2025, 9, 24), date(2025, 9, 4), date(2025, 9, 24), date(2025, 9, 24)]
+    rejected = ingest.reject_counts(ingest.clean_text_columns(ingest.read_csv_text(spark, path)), formats[:1])
+    assert rows_of(rejected) == [("invalid date", 1)]
+
+
+def test_cleaning_without_dates_and_with_too_many_decimals(spark, tmp_path):
+    path = write(tmp_path, GOOD[:12], changed(8, "0.455")[:12], changed(10, "11.999")[:12], header=HEADER[:12])
+    clean = ingest.clean_text_columns(ingest.read_csv_text(spark, path))
+    assert ingest.coerce_and_drop_invalid(clean)[0].count() == 1
+    assert rows_of(ingest.reject_counts(clean)) == [("inexact Quantity", 1), ("inexact RRP", 1)]
+
+
+def test_a_failing_build_leaves_the_old_table(spark, tmp_path):
+    layers = sinks.Layers(str(tmp_path))
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    assert layers.write(df, sinks.MARTS, "t", stamp="built_at").columns == ["id"]
+    assert layers.read(spark, sinks.MARTS, "t").where("built_at is not null").count() == 2
+    with pytest.raises(Exception, match="no good"):
+        layers.write(df.select(F.raise_error(F.lit("no good")).alias("id")), sinks.MARTS, "t")
+    assert layers.read(spark, sinks.MARTS, "t").count() == 2
+    # A table can be replaced by what was computed from it.
+    assert layers.write(layers.read(spark, sinks.MARTS, "t").where("id = 1").select("id"), sinks.MARTS, "t").count() == 1
+
+
 def test_load_profile(spark):
     rows = [sale(), sale(Supplier=None, Store_Name="B", Total_Sales=5, Date_Of_Sale=date(2025, 9, 28)), sale(Total_Sales=None)]
     assert first(ingest.load_profile(sales_frame(spark, rows))) == {
