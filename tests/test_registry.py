@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from shelfline.catalog.oracle import ORACLE_SQL as ORACLE
+from shelfline.catalog.queries import QUERIES
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = registry.queries(), registry.oracle_sql()
 UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
@@ -31,6 +32,7 @@ def canonical(rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(registry.queries()) and set(ORACLE) <= set(registry.oracle_sql()) <= set(registry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
