@@ -1,16 +1,19 @@
-"""License scan: exact set-similarity join of text blocks with license templates.
-
-A block is one line of a text, as its set of words. It is matched by a template if
-it holds at least ``containment`` of the template's distinct words. The templates'
-words are ordered by how many documents hold them; a matching block must hold one of
-the ``n - ceil(containment * n) + 1`` rarest (prefix), must have enough words
-(length) and, from the rank of the rarest word it shares, enough words of the
-template must be left (position). Candidates are then counted exactly.
+"""License scan: exact set-similarity join of word windows with license templates.
+
+A place in a text matches a template if a window of words, across line ends, holds at
+least ``containment`` of the template's distinct words and is at most 1 / ``containment``
+times as long as the template, so wrapped lines count and words scattered over a long
+text do not. The templates' words are ordered by how many documents hold them; a
+matching window must hold one of the ``n - ceil(containment * n) + 1`` rarest (prefix),
+so only windows around these are looked at (position) whose part up to the end of the
+text holds enough words of the template (length). The distinct words are then counted
+exactly.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -73,37 +76,74 @@ class Matcher:
             distinct = {int(h) for h in _hashes(text)}
             self.words.append(sorted(distinct, key=lambda h: (counts.get(h, 0), h)))
         self.need = [math.ceil(containment * len(w)) for w in self.words]
-        self.prefix: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for number, words in enumerate(self.words):
-            for rank, word in enumerate(words[: len(words) - self.need[number] + 1]):
-                self.prefix[word].append((number, rank))
         self.index = HashIndex(np.array(sorted({h for w in self.words for h in w}), np.uint64))
-        in_prefix = [int(v) in self.prefix for v in self.index.values]
-        self.in_prefix = np.array(in_prefix, bool)
+        #: By template, the rank of each indexed word, -1 for words of other templates.
+        self.rank = np.full((len(templates), len(self.index.values)), -1, np.int64)
+        for number, words in enumerate(self.words):
+            self.rank[number, np.searchsorted(self.index.values, np.array(words, np.uint64))] = np.arange(len(words))
+        self.reach = [math.ceil(len(_hashes(text)) / containment) for _, text in templates]
 
-    def blocks(self, words: Words, line: np.ndarray) -> list[tuple[int, int, float]]:
-        """(line, template, containment) of each block that meets the threshold; ``line`` of each word ascends."""
+    def windows(self, words: Words) -> list[tuple[int, int, int, float]]:
+        """(first word, last word, template, containment) of each matched place; those of one template do not overlap."""
         at, place = self.index.find(words.hash)
+        return [m for number in range(len(self.words)) for m in self._matches(words, at, self.rank[number, place], number)]
+
+    def _matches(self, words: Words, at: np.ndarray, rank: np.ndarray, number: int) -> list[tuple[int, int, int, float]]:
+        need, reach = self.need[number], self.reach[number]
+        in_prefix = at[(rank >= 0) & (rank <= len(self.words[number]) - need)]
+        if not len(in_prefix):
+            return []
+        hit, rank = at[rank >= 0], rank[rank >= 0]
+        # Position: a window that starts at a hit must reach a prefix word.
+        following = np.searchsorted(in_prefix, hit)
+        near = in_prefix[np.minimum(following, len(in_prefix) - 1)]
+        # Length: its words of the template, with repeats, up to the end of its text.
+        stop = np.searchsorted(hit, np.minimum(hit + reach, words.first[words.doc[hit] + 1]))
+        start = np.flatnonzero((near >= hit) & (near < hit + reach) & (stop - np.arange(len(hit)) >= need))
+        if not len(start):
+            return []
+        # A hit counts in the windows that start after the last hit of the same word.
+        order = np.lexsort((hit, rank))
+        before = np.full(len(hit), -1, np.int64)
+        same = rank[order[1:]] == rank[order[:-1]]
+        before[order[1:][same]] = order[:-1][same]
+        common, last = np.zeros(len(start), np.int64), start.copy()
+        for step in range(int((stop[start] - start).max())):
+            now = start + step
+            inside = now < stop[start]
+            now = np.minimum(now, len(hit) - 1)
+            new = inside & (before[now] < start)
+            common += new
+            last[new] = now[new]
+        enough = common >= need
+        start, common, last = start[enough], common[enough], last[enough]
+        first_word, last_word = hit[start], hit[last]
+        # The best windows first: most words held, then the shortest, then the first.
+        taken: list[int] = []
         found = []
-        with_prefix = np.unique(line[at[self.in_prefix[place]]])
-        first, last = (np.searchsorted(line[at], with_prefix, side) for side in ("left", "right"))
-        size = np.searchsorted(line, with_prefix, "right") - np.searchsorted(line, with_prefix, "left")
-        for block, a, b, n in zip(with_prefix.tolist(), first.tolist(), last.tolist(), size.tolist(), strict=True):
-            held = {int(self.index.values[p]) for p in set(place[a:b].tolist())}
-            first_shared: dict[int, int] = {}
-            for word in held:
-                for number, rank in self.prefix.get(word, ()):
-                    first_shared[number] = min(rank, first_shared.get(number, rank))
-            for number, rank in first_shared.items():
-                # Length: words of the block. Position: words of the template from the first shared on.
-                if min(n, len(self.words[number]) - rank) < self.need[number]:
-                    continue
-                common = sum(w in held for w in self.words[number])
-                if common >= self.need[number]:
-                    found.append((block, number, common / len(self.words[number])))
+        for i in np.lexsort((first_word, last_word - first_word, -common)).tolist():
+            one, two = int(first_word[i]), int(last_word[i])
+            k = bisect_left(taken, one)
+            # Ends of taken windows stand at odd places, so an even k lies between two of them.
+            if k % 2 == 0 and (k == len(taken) or taken[k] > two):
+                taken[k:k] = [one, two]
+                found.append((one, two, number, int(common[i]) / len(self.words[number])))
         return sorted(found)
 
 
+def best_labels(matches: list[tuple[int, int, str, float]]) -> set[str]:
+    """Labels of the matches (first word, last word, label, containment) that overlap none with a higher containment."""
+    matches = sorted(matches)
+    beaten = [False] * len(matches)
+    for i, (_, last, _, share) in enumerate(matches):
+        for j in range(i + 1, len(matches)):
+            if matches[j][0] > last:
+                break
+            beaten[i] |= matches[j][3] > share
+            beaten[j] |= matches[j][3] < share
+    return {label for (_, _, label, _), lost in zip(matches, beaten, strict=True) if not lost}
+
+
 def phrase_places(words: Words, phrases: dict[str, str]) -> list[tuple[int, int, str]]:
     """(first word, words, label) wherever a phrase's words stand consecutively in one text."""
     places = []
@@ -123,9 +163,9 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks.
 
-    The base is every place of a phrase. ``blocks`` lists the matched lines as
-    (line, label, containment), lines counted from 0; ``labels`` adds the labels of each
-    line's best templates to the base ones; ``score`` is 1 with a base place, else the best containment, else 0.
+    The base is every place of a phrase. ``blocks`` lists the matched windows as
+    (first_word, last_word, label, containment), words counted from 0; ``labels`` adds to the base ones the labels
+    of the windows that overlap no better one; ``score`` is 1 with a base place, else the best containment, else 0.
     A null text counts as empty; repeated rows are judged one by one.
     """
     prepare(docs.sparkSession)
@@ -140,36 +180,28 @@ def scan_licenses(
         out = {k: [None] * size for k in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks")}
         for base, texts in chunks(texts_of(batch.column(1))):
             words = words_of(texts, ALNUM, lower=True)
-            breaks = np.flatnonzero(words.data == ord("\n"))
-            # Lines ascend over all texts: a text's end also ends its last line.
-            bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
-            line = np.searchsorted(breaks, words.start) + words.doc
-            first_line = np.searchsorted(breaks, bounds[:-1]) + np.arange(len(texts))
             base_of, blocks_of = defaultdict(list), defaultdict(list)
             for at, _, label in phrase_places(words, phrases):
                 doc = int(words.doc[at])
                 base_of[doc].append((at - int(words.first[doc]), label))
-            for block, number, share in matcher.blocks(words, line):
-                doc = int(np.searchsorted(first_line, block, "right")) - 1
-                blocks_of[doc].append((block - int(first_line[doc]), matcher.labels[number], share))
+            for one, two, number, share in matcher.windows(words):
+                doc = int(words.doc[one])
+                skipped = int(words.first[doc])
+                blocks_of[doc].append((one - skipped, two - skipped, matcher.labels[number], share))
             counts = np.diff(words.first).tolist()
             for doc in range(len(texts)):
-                i, places, blocks = base + doc, base_of.get(doc, ()), blocks_of.get(doc, ())
+                i, places, blocks = base + doc, base_of.get(doc, ()), blocks_of.get(doc, [])
                 named = {label for _, label in places}
                 out["n_words"][i], out["n_base"][i] = counts[doc], len(places)
                 if places:
                     out["first_word"][i], out["last_word"][i] = min(places)[0], max(places)[0]
                 out["base_labels"][i] = ",".join(sorted(named))
-                best: dict[int, float] = {}
-                for at, _, share in blocks:
-                    best[at] = max(share, best.get(at, 0.0))
-                added = {label for at, label, share in blocks if share == best[at]}
-                out["labels"][i] = ",".join(sorted(named | added))
+                out["labels"][i] = ",".join(sorted(named | best_labels(blocks)))
                 out["score"][i] = 1.0 if places else max((share for *_, share in blocks), default=0.0)
-                out["blocks"][i] = [{"line": a, "label": b, "containment": c} for a, b, c in blocks]
+                out["blocks"][i] = [{"first_word": a, "last_word": b, "label": c, "containment": d} for a, b, c, d in sorted(blocks)]
         kinds = {k: pa.int64() for k in ("n_words", "n_base", "first_word", "last_word")}
         kinds |= {"base_labels": pa.string(), "labels": pa.string(), "score": pa.float64()}
-        kinds["blocks"] = pa.list_(pa.struct([("line", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))
+        kinds["blocks"] = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))
         return {"doc_id": batch.column(0)} | {k: pa.array(v, kinds[k]) for k, v in out.items()}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -177,5 +209,5 @@ def scan_licenses(
         docs,
         scan,
         f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
-        "score double, blocks array<struct<line:long,label:string,containment:double>>",
+        "score double, blocks array<struct<first_word:long,last_word:long,label:string,containment:double>>",
     )

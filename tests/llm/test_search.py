@@ -71,6 +71,51 @@ def test_license_scan(spark, no_docs):
     assert licenses.scan_licenses(no_docs).count() == 0
 
 
+def test_license_text_across_line_ends(spark):
+    filler = " ".join(f"word{i}" for i in range(60))
+    scattered = f" {filler} ".join("licensed under cc 4 0 by".split())
+    rows = [
+        (0, "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"),
+        (1, f"{filler}\nThis Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. {filler}"),
+        (2, f"{filler} Released under\n * the MIT\n * license {filler}"),
+        (3, scattered),
+        (4, f"{filler} released under the mit license {filler} redistribution and use in source and binary forms with or without modification are permitted"),
+        (5, "redistribution and use in source and binary forms with or"), (5, "without modification are permitted"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = [(r["doc_id"], r["labels"], r["score"]) for r in licenses.scan_licenses(docs).collect()]
+    assert got == [(0, "bsd", 1.0), (1, "mpl-2.0", 1.0), (2, "mit", 1.0), (3, "", 0.0), (4, "bsd,mit", 1.0), (5, "", 0.0), (5, "", 0.0)]
+
+
+def test_license_windows_equal_brute_force(spark):
+    import math
+    import random
+
+    rng = random.Random(8)
+    parts = [WORD.findall(text) for _, text in licenses.TEMPLATES]
+    rows = []
+    for i in range(200):
+        words = [rng.choice(["the", "and", "to", "aa", "bb", "license", "of"]) for _ in range(rng.randint(0, 30))]
+        for _ in range(rng.randint(0, 3)):
+            piece = [w for w in rng.choice(parts) for w in ([w, "zz"] if rng.random() < 0.15 else [w]) if rng.random() > 0.1]
+            words[(at := rng.randint(0, len(words))) : at] = piece
+        rows.append((i, "".join(w + rng.choice([" ", "\n", ", "]) for w in words)))
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), phrases={}).collect()}
+    for i, text in rows:
+        words, best = WORD.findall(text), {}
+        for label, part in zip((t[0] for t in licenses.TEMPLATES), parts, strict=True):
+            whole, reach = set(part), math.ceil(len(part) / 0.8)
+            held = max((len(whole & set(words[k : k + reach])) for k in range(len(words))), default=0)
+            if held >= math.ceil(0.8 * len(whole)):
+                best[label] = max(best.get(label, 0), held / len(whole))
+        assert got[i]["score"] == max(best.values(), default=0.0)
+        assert {b["label"] for b in got[i]["blocks"]} == set(best)
+        assert set(filter(None, got[i]["labels"].split(","))) <= set(best)
+        for b in got[i]["blocks"]:
+            held = set(words[b["first_word"] : b["last_word"] + 1])
+            assert any(b["containment"] == len(held & set(part)) / len(set(part)) for (label, _), part in zip(licenses.TEMPLATES, parts, strict=True) if label == b["label"])
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 PATTERNS = {"ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
