@@ -130,6 +130,33 @@ def test_secrets(spark, no_docs):
     assert only.agg(F.sum("n_secrets")).first()[0] == 59
 
 
+def test_secrets_of_one_word(spark):
+    aws, git = "AKIA" + "Z2" * 8, "ghp_" + "aB3" * 12
+    texts = [
+        f'{{"id":"{aws}","t":"{git}"}}', f"https://h/x?a=1&key={aws}", f"{aws},{git}", f"export:KEY={aws}", f"see https://u:{git}@h.example/{aws}/x.",
+        "password=CorrectHorseBattery", 'login {"user": "bob", "password": "abc"}', "db_password = pa:ss,author: Smith", f'{{\\"t\\":\\"{aws}\\"}}',
+        ":".join(["a1"] * 20_000), f'"{aws}"###', "token =, Abcdefgh1", "seen at: noon",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    documents, findings = secrets.scan(docs)
+    got = {i: [] for i in range(len(texts))}
+    for r in findings.orderBy("place", "part").collect():
+        got[r["doc_id"]].append((r["place"], r["key"], r["value"]))
+    assert got[0] == [(0, "id", aws), (0, "t", git)]
+    assert got[1] == [(0, "key", aws)]
+    assert got[2] == [(0, "", aws), (0, "", git)]
+    assert got[3] == [(0, "KEY", aws)]
+    assert {v for _, _, v in got[4]} >= {aws, git}
+    assert got[5] == [(0, "password", "CorrectHorseBattery")]
+    assert got[6] == [(4, "password", "abc")]
+    assert got[7] == [(2, "db_password", "pa"), (2, "db_password", "ss")]
+    assert [v for _, _, v in got[8]] == [aws] and got[10] == [(0, "", aws)]
+    assert got[9] == got[12] == [] and got[11] == [(2, "", "Abcdefgh1")]
+    by = {r["doc_id"]: r for r in documents.collect()}
+    assert [by[i]["n_secrets"] for i in (0, 1, 2, 3, 4, 8, 10)] == [2, 1, 2, 1, 2, 1, 1]
+    assert by[2]["places"] == "0,0" and by[2]["kinds"] == "aws_key,github_token"
+
+
 def plain_budgets(tree, budget):
     """Water-filling by repeated rounds on a tree {name: (weight, capacity or subtree)}."""
     def capacity(x):
