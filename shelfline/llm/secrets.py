@@ -11,8 +11,11 @@ words of the corpus (dictionary coverage), whether it is a path or address, and
 its key or a neighbouring word names a credential.
 
 The forest learns from labelled findings. Without labels of one's own the strict formats
-of ``KNOWN`` (true) and ``HARMLESS`` (false) label the findings they match; those
-patterns are not features, so the forest also judges findings of no known format.
+of ``KNOWN`` (true; hex only behind a key that names a credential) and ``HARMLESS``
+(false) label the findings they match; those patterns are not features, so the forest
+also judges findings of no known format. Hard negatives are hex values, UUIDs and
+identifiers behind neutral words (commit, md5, id), and each hex value labelled true
+once more without its key: a bare checksum looks the same.
 """
 
 from __future__ import annotations
@@ -26,22 +29,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfline.llm.common import Scratch, prepare
 from shelfline.llm.quality import let, words_of
 
-# Formats of issued credentials, by kind.
+# Formats of issued credentials, by kind; a hex value counts only behind a key that names a credential.
 KNOWN = {
     "aws_key": r"^(AKIA|ASIA)[0-9A-Z]{16}$",
     "github_token": r"^gh[pousr]_[0-9A-Za-z]{36}$",
     "slack_token": r"^xox[abprs]-[0-9A-Za-z-]{10,}$",
     "web_token": r"^eyJ[0-9A-Za-z_-]+\.[0-9A-Za-z_-]+\.[0-9A-Za-z_-]+$",
-    "hex_secret": r"^([0-9a-f]{18}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$",
+    "hex_secret": r"^([0-9a-f]{16,}|[0-9A-F]{16,})$",
 }
 # Words that name a credential.
 NAMING = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|credential|api[_-]?key|access[_-]?key|auth)"
 #: A key names a credential by its end ("db_password", "authToken2", not "author").
 NAMING_KEY = NAMING + r"s?([_-]?(key|value|string|hash))?[0-9_-]*$"
+# Words that name checksums and identifiers.
+NEUTRAL = r"(?i)(?<![a-z])(commit|revision|rev|sha[0-9_-]*|md5|crc(32)?|checksum|digest|hash|etag|(uu|gu)?id|part|sku|order|serial|version|build|model|isbn|ref)(?![a-z])"
+# Checksums and identifiers, false behind neutral words.
+IDENTIFIER = r"(?i)^([0-9a-f]{7,}|[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}|[0-9a-z]+([._/-][0-9a-z]+)*)$"
 # Shapes of values that are no secrets.
 HARMLESS = r"^([0-9 .()+-]+|[^@]+@[^@]+\.[a-z]{2,}|[0-9]{1,3}(\.[0-9]{1,3}){3}|(//|www\.).*|[0-9]{4}-[0-9]{2}-[0-9]{2}.*|v?[0-9]+(\.[0-9]+)+)$"
 
-FEATURES = ["length", "changes", "distinct", "upper", "lower", "digit", "sign", "coverage", "path", "address", "named", "named_near"]
+FEATURES = ["length", "changes", "distinct", "upper", "lower", "digit", "sign", "coverage", "path", "address", "named", "named_near", "neutral", "neutral_near"]
 #: Most labelled findings the forest learns from, by label.
 SAMPLE = 20_000
 MIN_LENGTH = 8
@@ -96,15 +103,18 @@ def _word_values(words: Column, w: Column, i: Column) -> Column:
 
 
 def _findings(words: Column) -> Column:
-    """Findings of one text: place, part, key, value and whether the two words before or the one after name a credential."""
+    """Findings of one text: place, part, key, value near and neutral_near: whether the two words before or the one after name a credential or an identifier."""
 
     def described(w: Column, i: Column) -> Column:
-        near = F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1), F.get(words, i + 1)).rlike(NAMING)
+        near = F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1), F.get(words, i + 1))
         return let(
-            near,
+            let(near, lambda t: F.struct(t.rlike(NAMING).alias("naming"), t.rlike(NEUTRAL).alias("neutral"))),
             lambda n: F.transform(
                 F.filter(_word_values(words, w, i), is_finding),
-                lambda x: F.struct(i.cast("long").alias("place"), x["part"].alias("part"), x["key"].alias("key"), x["value"].alias("value"), n.alias("near")),
+                lambda x: F.struct(
+                    i.cast("long").alias("place"), x["part"].alias("part"), x["key"].alias("key"), x["value"].alias("value"),
+                    n["naming"].alias("near"), n["neutral"].alias("neutral_near"),
+                ),
             ),
         )
 
@@ -141,7 +151,7 @@ def _covered(findings: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def features(findings: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Findings (row, doc_id, place, part, key, value, near) with the columns FEATURES."""
+    """Findings (row, doc_id, place, part, key, value, near, neutral_near) with the columns FEATURES."""
     value, size = F.col("value"), F.length("value")
 
     def share(pattern: str) -> Column:
@@ -165,6 +175,8 @@ def features(findings: DataFrame, dictionary: DataFrame) -> DataFrame:
             "address": as_number(value.rlike("@|^//")),
             "named": as_number(F.col("key").rlike(NAMING_KEY)),
             "named_near": as_number(F.col("near")),
+            "neutral": as_number(F.col("key").rlike(NEUTRAL)),
+            "neutral_near": as_number(F.col("neutral_near")),
         }
     ).drop("letters_known")
 
@@ -173,14 +185,19 @@ def kind_of(value: Column, key: Column) -> Column:
     """The known format a value behind a key has, else "other"."""
     found = F.lit("other")
     for kind, pattern in reversed(KNOWN.items()):
-        found = F.when(value.rlike(pattern), kind).otherwise(found)
+        matches = value.rlike(pattern) & key.rlike(NAMING_KEY) if kind == "hex_secret" else value.rlike(pattern)
+        found = F.when(matches, kind).otherwise(found)
     return found
 
 
 def labelled(findings: DataFrame) -> DataFrame:
-    """Findings that the strict formats settle, with label 1.0 or 0.0."""
-    settled = F.when(kind_of(F.col("value"), F.col("key")) != "other", 1.0).when(F.col("value").rlike(HARMLESS), 0.0)
-    return findings.withColumn("label", settled).where("label is not null")
+    """Findings (with FEATURES) that the strict formats settle, with label 1.0 or 0.0, and hex values again without what names them as 0.0."""
+    value, kind = F.col("value"), kind_of(F.col("value"), F.col("key"))
+    neutral = ((F.col("neutral") > 0) | (F.col("neutral_near") > 0)) & (F.col("named") == 0) & (F.col("named_near") == 0)
+    harmless = value.rlike(HARMLESS) | (neutral & value.rlike(IDENTIFIER))
+    told = findings.withColumn("label", F.when(kind != "other", 1.0).when(harmless, 0.0)).where("label is not null")
+    nameless = {"named": F.lit(0.0), "named_near": F.lit(0.0), "label": F.lit(0.0)}
+    return told.unionByName(told.where(kind == "hex_secret").withColumns(nameless))
 
 
 def train(rows: DataFrame, trees: int = 30, depth: int = 6, seed: int = 7) -> PipelineModel | None:

@@ -157,6 +157,31 @@ def test_secrets_of_one_word(spark):
     assert by[2]["places"] == "0,0" and by[2]["kinds"] == "aws_key,github_token"
 
 
+def test_checksums_are_no_secrets(spark):
+    rng = random.Random(9)
+    digits = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows, clean = [], set()
+    for i in range(60):
+        n = (17, 18, 20, 32, 40, 64)[i % 6]
+        rows.append((i, f"see token = \"{digits(n)}\" and AKIA{'Q7' * 7}{10 + i % 90}"))
+        uuid = "-".join(map(digits, (8, 4, 4, 4, 12)))
+        rows.append((100 + i, f"commit {digits(40)} with md5 {digits(32)} of id {uuid} and part 7{i}-AB-{digits(6)}x1"))
+        rows.append((200 + i, f"sha256:{digits(64)} etag={digits(32)} file {digits(32)} {digits(40)} at {digits(18)} done"))
+        clean |= {100 + i, 200 + i}
+    documents, findings = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r["doc_id"]: r for r in documents.collect()}
+    assert [found[i]["n_secrets"] for i in range(60)] == [2] * 60
+    assert {found[i]["kinds"] for i in range(60)} == {"aws_key,hex_secret"}
+    assert all(found[i]["n_findings"] >= 4 for i in clean)
+    assert sum(found[i]["n_secrets"] for i in clean) == 0
+
+
+def test_bare_hex_has_no_known_kind(spark):
+    rows = spark.createDataFrame([("", "ab" * 16), ("password", "ab" * 16), ("sha256", "ab" * 32), ("", "ab" * 9), ("api_key", "ab1" * 7)], "key string, value string")
+    kinds = [r[0] for r in rows.coalesce(1).select(secrets.kind_of(F.col("value"), F.col("key"))).collect()]
+    assert kinds == ["other", "hex_secret", "other", "other", "hex_secret"]
+
+
 def plain_budgets(tree, budget):
     """Water-filling by repeated rounds on a tree {name: (weight, capacity or subtree)}."""
     def capacity(x):
