@@ -2,14 +2,16 @@
 
 The base finds e-mail and IP addresses, card and phone numbers by pattern. The random
 field adds what the patterns miss. Its nodes are the words with a digit or "@"; nodes
-that follow each other in a text are joined by chain edges, and every node is joined to
-the last one before it with the same characters and to the last one of the same shape,
-however distant (skip edges). The edges of a text grow with its nodes, not their square.
+that follow each other in a text are joined by chain edges, nodes with the same
+characters are joined to one hub for all of them, and every node is joined to the last
+one before it of the same shape, however distant (skip edges). The edges of a text grow
+with its nodes, not their square.
 
 Weights (shape features, one table of label pairs per kind of edge) are trained by
 pseudo-likelihood on the base labels of a bounded sample of documents. In a text, nodes
-inside base spans keep their label, and loopy belief propagation carries it along the
-edges, so that a repeated or similar word gets the same label throughout.
+inside base spans keep their label, which their hub has too, and loopy belief propagation
+carries it along the edges until the messages settle, so that a repeated word gets the
+same evidence however often and far away it stands.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ LABELS = ("none", *KINDS)
 #: Documents the field is trained on, and the most nodes one of them may have.
 SAMPLE, SAMPLE_NODES = 2000, 200
 FEATURE_BITS = 12
-ROUNDS = 10
+#: Messages have settled when none changes by more; they stop after ROUNDS if they never do.
+SETTLED, ROUNDS = 1e-3, 200
 #: Least marginal probability of an added span.
 SURE = 0.9
 
@@ -94,7 +97,7 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 @dataclass
 class Graph:
-    """Nodes of some texts: span, owner, base label (-1: none known), hashed features; edges (one, two, kind)."""
+    """Nodes of some texts: span, owner, base label (-1: none known), hashed features; edges (one, two, kind). A hub has no features."""
 
     spans: list[tuple[int, int]]
     owner: list[int]
@@ -130,7 +133,7 @@ def graph_of(texts: list[tuple[str, dict[str, list[tuple[int, int]]]]]) -> Graph
     for number, (text, base) in enumerate(texts):
         known = sorted((a, b, 1 + k) for k, kind in enumerate(KINDS) for a, b in base[kind])
         at, last, last_place = 0, -1, 0
-        by_text: dict[str, int] = {}
+        by_text: dict[str, list[int]] = {}
         by_shape: dict[str, int] = {}
         previous = ""
         for place, m in enumerate(_WORD.finditer(text)):
@@ -152,11 +155,21 @@ def graph_of(texts: list[tuple[str, dict[str, list[tuple[int, int]]]]]) -> Graph
             features.append(_hashed("bias", f"shape:{shape}", f"digits:{min(digits, 24)}", f"both:{shape}:{min(digits, 24)}", f"length:{min(len(core), 40) // 4}", f"before:{_shape(previous)}"))
             if last >= 0 and place - last_place <= _REACH:
                 edges.append((last, node, CHAIN))
-            for seen, key, kind in ((by_text, core.lower(), SAME), (by_shape, f"{shape}:{digits}", SHAPE)):
-                if key in seen:
-                    edges.append((seen[key], node, kind))
-                seen[key] = node
+            by_text.setdefault(core.lower(), []).append(node)
+            alike = f"{shape}:{digits}"
+            if alike in by_shape:
+                edges.append((by_shape[alike], node, SHAPE))
+            by_shape[alike] = node
             last, last_place, previous = node, place, word
+        for same in by_text.values():
+            if len(same) > 1:
+                # The hub has the label of its nodes; it is unknown if they have none or several.
+                kinds = {label[node] for node in same} - {0}
+                edges += [(node, len(spans), SAME) for node in same]
+                spans.append((0, 0))
+                owner.append(number)
+                label.append(kinds.pop() if len(kinds) == 1 else 0)
+                features.append([])
     return Graph(spans, owner, np.array(label, np.int64), features, np.array(edges, np.int64).reshape(-1, 3))
 
 
@@ -172,7 +185,7 @@ def train(graphs: list[Graph], rounds: int = 300, rate: float = 0.5, decay: floa
     """Maximise the pseudo-likelihood of the base labels by gradient ascent from zero.
 
     A node without a label that a skip edge joins to one with a label may be just what the
-    patterns miss: it is unknown, and teaches nothing.
+    patterns miss: it is unknown, and teaches nothing. Hubs only lend their label to their nodes.
     """
     n = len(LABELS)
     field = Field(np.zeros((1 << FEATURE_BITS, n)), np.zeros((3, n, n)))
@@ -192,7 +205,8 @@ def train(graphs: list[Graph], rounds: int = 300, rate: float = 0.5, decay: floa
     row, column, label = np.array(row), np.array(column), np.concatenate(label)
     one, two, kind = (np.concatenate(x) for x in (one, two, kind))
     target = np.eye(n)[label]
-    known = np.ones((nodes, 1))
+    known = np.zeros((nodes, 1))
+    known[row] = 1
     for a, b in ((one, two), (two, one)):
         known[a[(kind != CHAIN) & (label[a] == 0) & (label[b] > 0)]] = 0
     # Step sizes follow each weight's own gradients, so rare features are learned too.
@@ -242,7 +256,10 @@ def marginals(field: Field, g: Graph, rounds: int = ROUNDS) -> np.ndarray:
         np.add.at(belief, target, message)
         out = _log_sum((belief[source] - message[back])[:, :, None] + table, axis=1)
         out -= out.max(axis=1, keepdims=True)
+        change = np.abs(out - message).max()
         message = 0.5 * message + 0.5 * out
+        if change < SETTLED:
+            break
     belief = own.copy()
     np.add.at(belief, target, message)
     belief -= belief.max(axis=1, keepdims=True)
@@ -305,6 +322,8 @@ def find_private(docs: DataFrame, field: Field | None = None) -> DataFrame:
             p = marginals(shared.value, g)
             best = p[:, 1:].argmax(axis=1)
             for node in np.flatnonzero((g.label == 0) & (p[:, 1:].max(axis=1) >= SURE)).tolist():
+                if not g.features[node]:
+                    continue
                 i = some[g.owner[node]]
                 whole[i][KINDS[best[node]]].append(g.spans[node])
                 added[i] += 1

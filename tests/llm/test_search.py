@@ -148,3 +148,14 @@ def test_private_data_spreads_labels_to_what_the_patterns_miss(spark, no_docs):
     # The number broken by a line end is no base match but has the same words as the next one.
     assert first["n_phone"] == 1 and first["n_added"] >= 1 and "phone:" in first["spans"]
     assert private_data.find_private(no_docs).count() == 0
+
+
+def test_a_word_repeated_often_gets_one_label(spark):
+    rows = [(i, f"call +1 (555) 010-{1000 + i} or again +1 (555) 010-{1000 + i} about order 77{i}, order 77{i}") for i in range(40)]
+    often = "call +1 (555) 010-7788 now. " + "Then ask for 010-7788 at the desk of the house. " * 50
+    rows += [(100, often), (101, often.replace("call +1 (555) 010-7788 now. ", "") + "or +1 (555) 010-7788")]
+    got = {r["doc_id"]: r for r in private_data.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc, text in rows[-2:]:
+        spans = {tuple(map(int, s.split(":")[1:])) for s in got[doc]["spans"].split(",") if s.startswith("phone:")}
+        missed = [m.span() for m in re.finditer("010-7788", text) if not any(a <= m.start() and m.end() <= b for a, b in spans)]
+        assert not missed and got[doc]["n_added"] >= 50
