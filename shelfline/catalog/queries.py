@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from shelfline.config import Config
 from shelfline.functions import numeric, text
-from shelfline.operators import checks, relational, series
+from shelfline.operators import check_summary as summary, checks, relational, series
 from shelfline.plans import pricing, promo, quality, reports, staging
 from shelfline.session import configure, scratch_path, stage_table
 from shelfline.sources import ingest, sinks
@@ -837,7 +837,7 @@ def check_mutually_exclusive_ranges(spark, sf_dir):
         "user_id", F.col("ts").alias("begins"), F.timestamp_add("SECOND", seconds, F.col("ts")).alias("ends")
     )
     return checks.mutually_exclusive_ranges(
-        stage_table(ranges, "event-ranges"), "begins", "ends", "user_id", hot_rows=CFG.hot_rows
+        stage_table(ranges, "event-ranges"), "begins", "ends", "user_id"
     )
 
 
@@ -878,7 +878,7 @@ def check_relationships_where(spark, sf_dir):
 @query
 def check_sequential_values(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    return checks.sequential_values(lines, "l_linenumber", 1, group_by=["l_orderkey"], hot_rows=CFG.hot_rows)
+    return checks.sequential_values(lines, "l_linenumber", 1, group_by=["l_orderkey"])
 
 
 @query
@@ -895,3 +895,35 @@ def check_values_equal(spark, sf_dir):
         "discount_depth_pct",
     )
     return checks.values_equal(judged, "is_potential_promo", "rounded_promo")
+
+
+@query
+def check_summary(spark, sf_dir):
+    """All checks of the sales in one scan, and two that look at other tables, each with its verdict."""
+    stores = [f"Section {i}" for i in range(4)]
+    wanted = [
+        summary.not_null("Store_Name"),
+        summary.not_null("Item_Barcode").limits(error_if="< 1"),
+        summary.accepted_values("Section", stores).limits(error_if="> 100000000000"),
+        summary.not_accepted_values("Category", ["TINY", "HUGE"]),
+        summary.accepted_range("Quantity", 0, 50),
+        summary.not_empty_string("Item_Barcode"),
+        summary.expression_is_true("paid_below_list", "Total_Sales <= RRP * Quantity").limits(warn_if="< 0"),
+        summary.at_least_one("RRP"),
+        summary.not_constant("Supplier"),
+        summary.not_null_proportion("Item_Barcode", 0.97),
+        summary.recency("Date_Of_Sale", datetime(2030, 1, 1)).limits(error_if="> 1"),
+        summary.unique("Item_Code", "Store_Name", "Date_Of_Sale", "Quantity", "Total_Sales").limits(error_if="> 10"),
+        summary.fewer_rows_than(table(spark, sf_dir, "orders").select(F.count(F.lit(1))).scalar()),
+    ]
+    rows = summary.check_summary(sales_table(spark, sf_dir), wanted)
+    orphans = checks.relationships_where(table(spark, sf_dir, "lineitem"), "l_partkey", table(spark, sf_dir, "part"), "p_partkey", parent_where="p_size > 25")
+    clicks, views = _events_of(spark, sf_dir, "click"), _events_of(spark, sf_dir, "view")
+    uneven = checks.equal_rowcount(clicks, views, ["user_id"])
+    others = [
+        summary.measured("lines_without_large_part", orphans, measure=F.count_distinct("from_id"), error_if="> 100000000000"),
+        summary.measured("clicks_equal_views", uneven, failures=F.sum("diff_count"), measure=F.max("diff_count")),
+    ]
+    for other in others:
+        rows = rows.unionByName(other)
+    return rows

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Config:
-    """Business thresholds and the one physical knob the library needs.
+    """Business thresholds.
 
     ``focus_pattern`` is a LIKE pattern; suppliers whose upper-cased raw name
     matches it are the "focus" side, everybody else is a competitor.
@@ -17,14 +17,10 @@ class Config:
     promo_threshold: float = 0.10
     min_quality_score: float = 70.0
     outlier_sigmas: float = 3.0
-    # A group with more rows than this is never handed to one task whole.
-    hot_rows: int = 1_000_000
 
     def __post_init__(self) -> None:
         if not 0 < self.promo_threshold < 1:
             raise ValueError("promo_threshold must lie strictly between 0 and 1")
-        if self.hot_rows < 1:
-            raise ValueError("hot_rows must be positive")
 
     @property
     def promo_threshold_pct(self) -> float:

@@ -39,11 +39,10 @@ def not_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
     return df.filter(F.col(column).isin(values)).select(column).distinct()
 
 
-def accepted_range(
-    df: DataFrame, column: str, minimum: Column | float | None = None, maximum: Column | float | None = None,
-    inclusive: bool = True,
-) -> DataFrame:
-    """Rows outside the range; a NULL passes."""
+def outside_range(
+    column: str, minimum: Column | float | None = None, maximum: Column | float | None = None, inclusive: bool = True
+) -> Column:
+    """Whether the value lies outside the range; NULL for a NULL value."""
     if minimum is None and maximum is None:
         raise ValueError("give a minimum or a maximum")
     value, outside = F.col(column), F.lit(False)
@@ -51,7 +50,15 @@ def accepted_range(
         outside = outside | ((value < minimum) if inclusive else (value <= minimum))
     if maximum is not None:
         outside = outside | ((value > maximum) if inclusive else (value >= maximum))
-    return df.filter(outside)
+    return outside
+
+
+def accepted_range(
+    df: DataFrame, column: str, minimum: Column | float | None = None, maximum: Column | float | None = None,
+    inclusive: bool = True,
+) -> DataFrame:
+    """Rows outside the range; a NULL passes."""
+    return df.filter(outside_range(column, minimum, maximum, inclusive))
 
 
 def at_least_one(df: DataFrame, column: str, group_by: list[str] | None = None) -> DataFrame:
@@ -176,13 +183,12 @@ def relationships_where(
 
 
 def sequential_values(
-    df: DataFrame, column: str, interval: int = 1, datepart: str | None = None, group_by: list[str] | None = None,
-    hot_rows: int = 1_000_000,
+    df: DataFrame, column: str, interval: int = 1, datepart: str | None = None, group_by: list[str] | None = None
 ) -> DataFrame:
     """Rows whose value is not the previous one plus the interval; the first row passes."""
     keys = group_by or []
     narrow = df.select(*keys, column)
-    found = with_neighbour(narrow, keys, [column], [column], hot_rows, following=False)
+    found = with_neighbour(narrow, keys, [column], [column], following=False)
     previous = F.col("neighbour").getField(column)
     value, expected = F.col(column), previous + interval
     if datepart:
@@ -193,14 +199,14 @@ def sequential_values(
 
 def mutually_exclusive_ranges(
     df: DataFrame, lower: str, upper: str, partition_by: str | None = None, gaps: str = "allowed",
-    zero_length_allowed: bool = False, hot_rows: int = 1_000_000,
+    zero_length_allowed: bool = False,
 ) -> DataFrame:
     """Ranges that are empty, reversed, or in conflict with the next one."""
     if gaps not in ("allowed", "not_allowed", "required"):
         raise ValueError("gaps must be 'allowed', 'not_allowed' or 'required'")
     keys = [partition_by] if partition_by else []
     narrow = df.select(*keys, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound"))
-    found = with_neighbour(narrow, keys, ["lower_bound", "upper_bound"], ["lower_bound"], hot_rows)
+    found = with_neighbour(narrow, keys, ["lower_bound", "upper_bound"], ["lower_bound"])
     low, high = F.col("lower_bound"), F.col("upper_bound")
     following = F.col("neighbour.lower_bound")
     well_formed = (low <= high) if zero_length_allowed else (low < high)

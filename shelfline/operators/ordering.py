@@ -1,99 +1,61 @@
-"""Neighbouring rows and ranks in a group's order, also where a group is hot.
+"""Neighbouring rows and ranks in a group's total order, for groups of any size.
 
-An ordinary group is one window partition. A hot group is cut into slices at
-approximate quantiles of its ordering column; each slice is a window partition
-of its own. The row at a slice's end looks up the edge row of the nearest slice
-that has one, and a rank adds the rows of the slices before.
+Equal rows are collapsed to one with a count and the distinct rows dealt out in slices of
+the total order. Inside a slice the neighbour is a window function; the row at a slice's
+end takes the edge row of the nearest slice that has rows of its group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfline.operators.skew import hot_groups, keyed_join, split_hot
+from shelfline.operators.skew import keyed_join
+from shelfline.operators.slices import counted, in_slices, repeated, starts, with_before
 from shelfline.session import stage_table
 
-_SLICES = 256
 
-
-def _position(df: DataFrame, column: str) -> Column:
-    """A double that grows with the ordering column."""
-    if isinstance(df.schema[column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.col(column).cast("timestamp").cast("double")
-    return F.col(column).cast("double")
-
-
-def with_neighbour(
-    df: DataFrame, keys: list[str], order: list[str], carry: list[str], hot_rows: int, following: bool = True
+def distinct_with_neighbour(
+    df: DataFrame, keys: list[str], order: list[str], carry: list[str], following: bool = True
 ) -> DataFrame:
-    """Adds ``neighbour``: a struct of the ``carry`` columns of the next (or previous)
-    row by ``order`` ascending, NULLs last; NULL where there is no such row.
+    """The distinct rows of ``df`` with ``copies`` and ``neighbour``: a struct of the ``carry`` columns
+    of the next (or previous) other row of the group by ``order`` ascending, NULLs last; NULL where there is none.
 
-    ``df`` should be a table; ``order[0]`` must be numeric, a date or a timestamp.
+    Rows equal in ``order`` follow each other by their other columns.
     """
-    grouping = keys or ["all_rows"]
-    source = df if keys else df.withColumn("all_rows", F.lit(1))
-    hot = hot_groups(source, grouping, hot_rows)
-    if hot is None:
-        found = _in_window(source, grouping, order, carry, following)
-    else:
-        cold_rows, hot_part = split_hot(source, hot, grouping)
-        cold = _in_window(cold_rows, grouping, order, carry, following)
-        found = cold.unionByName(_across_slices(hot_part, grouping, order, carry, following))
-    return found.select(*df.columns, "neighbour")
-
-
-def _in_window(df: DataFrame, keys: list[str], order: list[str], carry: list[str], following: bool) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    full = [F.col(c).asc_nulls_last() for c in (*order, *rest)]
+    sliced = in_slices(counted(df, df.columns), [*[F.col(c).asc_nulls_last() for c in keys], *full], "neighbour")
+    here = Window.partitionBy(*keys, "slice").orderBy(*full)
     step = F.lead if following else F.lag
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn("neighbour", step(F.struct(*carry)).over(window))
-
-
-def _slices(df: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """Adds ``slice``, a number that never falls along the ordering column."""
-    fractions = [i / _SLICES for i in range(1, _SLICES)]
-    position = _position(df, column)
-    # One row per hot group; written, so that Spark knows how small it is.
-    cuts = stage_table(df.groupBy(*keys).agg(F.percentile_approx(position, fractions).alias("cuts")), "slice-cuts")
-    # Rows without a position come last, in a slice of their own.
-    number = F.when(position.isNull(), F.lit(_SLICES)).otherwise(
-        F.size(F.filter(F.coalesce("cuts", F.array().cast("array<double>")), lambda cut: cut < position))
-    )
-    return keyed_join(df, cuts, keys).select(*df.columns, number.alias("slice"))
+    inside = sliced.withColumn("neighbour", step(F.struct(*carry)).over(here))
 
-
-def _across_slices(df: DataFrame, keys: list[str], order: list[str], carry: list[str], following: bool) -> DataFrame:
-    sliced = _slices(df, keys, order[0])
-    inside = _in_window(sliced, [*keys, "slice"], order, carry, following)
-
-    # NULLs last, as in the window order.
-    sort_key = F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))])
+    # One row per group and slice; NULLs last, as in the order.
+    sort_key = F.struct(*[part for c in (*order, *rest) for part in (F.col(c).isNull(), F.col(c))])
     edge = F.min_by if following else F.max_by
     edges = sliced.groupBy(*keys, "slice").agg(edge(F.struct(*carry), sort_key).alias("edge"))
-    # At most _SLICES + 1 rows per group.
-    slice_order = Window.partitionBy(*keys).orderBy("slice")
-    step = F.lead if following else F.lag
-    beyond = edges.select(*keys, "slice", step("edge").over(slice_order).alias("edge"))
-
+    along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("slice")
+    beyond = stage_table(edges.select(*keys, "slice", step("edge").over(along).alias("edge")), "slice-edges")
     joined = keyed_join(inside, beyond, [*keys, "slice"])
-    return joined.select(*df.columns, F.coalesce("neighbour", "edge").alias("neighbour"))
+    return joined.select(*df.columns, "copies", F.coalesce("neighbour", "edge").alias("neighbour"))
+
+
+def with_neighbour(
+    df: DataFrame, keys: list[str], order: list[str], carry: list[str], following: bool = True
+) -> DataFrame:
+    """Adds ``neighbour`` to every row, copies included: a copy's neighbour is the next copy, the last one's the next other row."""
+    found = distinct_with_neighbour(df, keys, order, carry, following)
+    columns = [*df.columns, "neighbour"]
+    edges = found.select(*columns)
+    copies = repeated(found.withColumn("neighbour", F.struct(*carry)).select(*columns, "copies"), F.col("copies") - 1)
+    return edges.unionByName(copies.select(*columns))
 
 
-def with_rank(df: DataFrame, column: str, name: str, hot_rows: int) -> DataFrame:
-    """Adds the rank of ``column`` over all rows, the largest first and NULLs last.
+def with_rank(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Adds the rank of ``column`` over all rows as a bigint, the largest first and NULLs last.
 
     ``df`` should be a table.
     """
-    everything = ["all_rows"]
-    source = df.withColumn("all_rows", F.lit(1)).withColumn("falling", -F.col(column))
-    rank = F.rank().over(Window.partitionBy("all_rows").orderBy(F.col("falling").asc_nulls_last()))
-    if hot_groups(source, everything, hot_rows) is None:
-        return source.select(*df.columns, rank.alias(name))
-    sliced = _slices(source, everything, "falling")
-    inside = F.rank().over(Window.partitionBy("all_rows", "slice").orderBy(F.col("falling").asc_nulls_last()))
-    # At most _SLICES + 1 rows.
-    sizes = sliced.groupBy("all_rows", "slice").agg(F.count(F.lit(1)).alias("size"))
-    slice_order = Window.partitionBy("all_rows").orderBy("slice")
-    offsets = sizes.select("all_rows", "slice", (F.sum("size").over(slice_order) - F.col("size")).alias("before"))
-    ranked = keyed_join(sliced.withColumn("inside", inside), offsets, ["all_rows", "slice"])
-    return ranked.select(*df.columns, (F.col("inside") + F.col("before")).cast("int").alias(name))
+    falling = [F.col(column).desc_nulls_last()]
+    sliced = in_slices(counted(df.select(column), [column]), falling, "rank")
+    ranks = with_before(sliced, starts(sliced, []), [], falling).select(column, (F.col("before") + 1).alias(name))
+    return keyed_join(df, ranks, [column])

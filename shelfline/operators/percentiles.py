@@ -1,83 +1,39 @@
-"""Exact interpolated percentiles that survive hot groups.
+"""Exact interpolated percentiles by distributed selection, for groups of any size.
 
-The built-in ``percentile`` keeps every distinct value of a group in one task.
-That is fine for ordinary groups. A hot group is handled in three steps that
-only ever aggregate with partial results: a mergeable sketch proposes cut points
-just below and above each wanted percentile, an exact count per interval tells
-which intervals hold the wanted ranks, and only those intervals are sorted. The
-sketch decides how much is sorted, never what comes out.
+The values of a group are counted, dealt out in slices of the total order (group,
+measure, value) and the counts summed per slice. The sums tell which slice holds a
+wanted rank; only those slices are ranked. No task holds more of a group than a slice,
+and there is one way for all sizes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfline.operators.skew import hot_groups, keyed_join, split_hot
+from shelfline.operators.skew import keyed_join
+from shelfline.operators.slices import counted, in_slices, starts, with_before
 from shelfline.session import stage_table
 
-_ACCURACY = 10_000
-_MARGIN = 0.001
-
 
 def percentile_summary(
-    df: DataFrame,
-    keys: list[str],
-    percentiles: dict[str, tuple[str, float]],
-    aggregates: list[Column],
-    hot_rows: int,
+    df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, float]], aggregates: list[Column]
 ) -> DataFrame:
     """Group by ``keys``: one column per percentile and per extra aggregate.
 
     ``percentiles`` maps output name to (numeric column, fraction). ``df`` is
-    scanned several times and should be a table.
+    scanned twice and should be a table. A group whose values are all NULL has NULL
+    percentiles; without keys there is always one row.
     """
-    if not keys:
-        return _of_whole_table(df, percentiles, aggregates, hot_rows)
-    hot = hot_groups(df, keys, hot_rows)
-    if hot is None:
-        return _built_in(df, keys, percentiles, aggregates)
-    cold_rows, hot_rows_only = split_hot(df, hot, keys)
-    cold = _built_in(cold_rows, keys, percentiles, aggregates)
-    return cold.unionByName(_hot_summary(hot_rows_only, keys, percentiles, aggregates))
-
-
-def _of_whole_table(
-    df: DataFrame, percentiles: dict[str, tuple[str, float]], aggregates: list[Column], hot_rows: int
-) -> DataFrame:
-    if df.count() <= hot_rows:
-        return _built_in(df, [], percentiles, aggregates)
-    one_group = df.withColumn("all_rows", F.lit(1))
-    return _hot_summary(one_group, ["all_rows"], percentiles, aggregates).drop("all_rows")
-
-
-def _hot_summary(
-    df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, float]], aggregates: list[Column]
-) -> DataFrame:
-    # A group whose values are all NULL has no ranks but keeps its row.
-    groups = df.groupBy(*keys).agg(*aggregates) if aggregates else df.select(*keys).distinct()
-    return keyed_join(groups, _sliced(df, keys, percentiles), keys, "left")
+    grouped = df.groupBy(*keys).agg(*(aggregates or [F.count(F.lit(1)).alias("group_rows")]))
+    found = _selected(df, keys, percentiles)
+    if keys:
+        joined = keyed_join(grouped, found, keys, "left")
+        return joined if aggregates else joined.drop("group_rows")
+    one = found.select(F.struct("*").alias("found")).scalar()
+    return (grouped if aggregates else grouped.drop("group_rows")).select("*", *[one.getField(name).alias(name) for name in percentiles])
 
 
-def _built_in(
-    df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, float]], aggregates: list[Column]
-) -> DataFrame:
-    """One aggregation; the fractions wanted of a column share its value map."""
-    wanted: dict[str, list[float]] = {}
-    for column, fraction in percentiles.values():
-        wanted.setdefault(column, []).append(fraction)
-    maps = [
-        F.percentile(F.col(column).cast("double"), F.array(*map(F.lit, fractions))).alias(f"__{column}")
-        for column, fractions in wanted.items()
-    ]
-    grouped = df.groupBy(*keys).agg(*maps, *aggregates)
-    picked = {
-        name: F.col(f"__{column}")[wanted[column].index(fraction)]
-        for name, (column, fraction) in percentiles.items()
-    }
-    return grouped.withColumns(picked).drop(*[f"__{c}" for c in wanted])
-
-
-def _sliced(df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, float]]) -> DataFrame:
+def _selected(df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, float]]) -> DataFrame:
     columns = sorted({column for column, _ in percentiles.values()})
     fractions = sorted({fraction for _, fraction in percentiles.values()})
     group = [*keys, "measure"]
@@ -86,48 +42,20 @@ def _sliced(df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, fl
         F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in columns])
     )
     long = df.select(*keys, values.alias("m")).select(*keys, "m.measure", "m.value").filter(F.col("value").isNotNull())
-
-    around = sorted({min(max(f + side, 0.0), 1.0) for f in fractions for side in (-_MARGIN, _MARGIN)})
-    # A few values per hot group. Written, so that Spark knows the size and need
-    # not shuffle the hot rows to find them.
-    cuts = stage_table(
-        long.groupBy(*group).agg(F.percentile_approx("value", [float(a) for a in around], _ACCURACY).alias("cuts")),
-        "percentile-cuts",
-    )
-    interval = sum((F.when(F.col("value") > F.col("cuts")[i], 1).otherwise(0) for i in range(len(around))), F.lit(0))
-    cells = stage_table(
-        keyed_join(long, cuts, group)
-        .select(*group, "value", interval.alias("interval"))
-        .groupBy(*group, "interval", "value")
-        .agg(F.count(F.lit(1)).alias("copies")),
-        "percentile-cells",
-    )
-
-    # At most len(around) + 1 intervals per group and measure.
-    in_order = Window.partitionBy(*group).orderBy("interval")
-    intervals = (
-        cells.groupBy(*group, "interval")
-        .agg(F.sum("copies").alias("size"))
-        .withColumn("before", F.sum("size").over(in_order) - F.col("size"))
-        .withColumn("total", F.sum("size").over(Window.partitionBy(*group)))
-    )
+    sliced = in_slices(counted(long, [*group, "value"]), [F.col(c).asc_nulls_last() for c in (*group, "value")], "percentile")
+    begins = starts(sliced, group)
+    totals = stage_table(begins.groupBy(*group).agg(F.sum("size").alias("total")), "percentile-totals")
     ranks = {f: F.lit(f) * (F.col("total") - 1) for f in fractions}
 
-    def holds(rank: Column) -> Column:
-        return (rank >= F.col("before")) & (rank < F.col("before") + F.col("size"))
-
     holds_any = F.lit(False)
     for rank in ranks.values():
-        holds_any = holds_any | holds(F.floor(rank)) | holds(F.ceil(rank))
-    chosen = stage_table(intervals.filter(holds_any), "percentile-intervals")
-
-    by_value = Window.partitionBy(*group, "interval").orderBy("value")
-    ranked = keyed_join(cells, chosen, [*group, "interval"]).withColumn(
-        "upto", F.col("before") + F.sum("copies").over(by_value)
-    )
+        for wanted in (F.floor(rank), F.ceil(rank)):
+            holds_any = holds_any | ((wanted >= F.col("start")) & (wanted < F.col("start") + F.col("size")))
+    chosen = stage_table(keyed_join(begins, totals, group).filter(holds_any).drop("total"), "percentile-chosen")
+    ranked = keyed_join(with_before(sliced, chosen, group, [F.col("value")]), totals, group)
 
     def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank < F.col("upto")) & (rank >= F.col("upto") - F.col("copies")), F.col("value")))
+        return F.max(F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("copies")), F.col("value")))
 
     low_high = [
         column
@@ -135,6 +63,7 @@ def _sliced(df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, fl
         for column in (value_at(F.floor(rank)).alias(f"low_{i}"), value_at(F.ceil(rank)).alias(f"high_{i}"))
     ]
     found = ranked.groupBy(*group).agg(F.max("total").alias("total"), *low_high)
+
     def interpolated(i: int, rank: Column) -> Column:
         low, high = F.col(f"low_{i}"), F.col(f"high_{i}")
         between = (F.ceil(rank) - rank) * low + (rank - F.floor(rank)) * high

@@ -1,4 +1,4 @@
-"""Finding groups too large for one task and cutting them into slices."""
+"""Joins of groups whose keys may be NULL."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfline.session import stage_table
-
 
 def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equality join on ``keys`` in which NULL matches NULL; keeps the left keys."""
@@ -15,21 +13,3 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     matches = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(other)) for k, other in renamed.items()])
     joined = left.join(right.withColumnsRenamed(renamed), matches, how)
     return joined.drop(*renamed.values())
-
-
-def hot_groups(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys of the groups with more than ``hot_rows`` rows, or None if there are none.
-
-    ``df`` should be cheap to scan (a table). The result has at most
-    rows / ``hot_rows`` rows.
-    """
-    if df.count() <= hot_rows:
-        return None
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
-    hot = stage_table(counted.filter(F.col("group_rows") > hot_rows).select(*keys), "hot-groups")
-    return None if hot.isEmpty() else hot
-
-
-def split_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary groups, rows of hot groups)."""
-    return keyed_join(df, hot, keys, "left_anti"), keyed_join(df, hot, keys, "left_semi")

@@ -63,7 +63,6 @@ def sku_baselines(daily: DataFrame, cfg: Config) -> DataFrame:
             F.avg(quantity).alias("avg_daily_quantity"),
             F.stddev_samp(quantity).alias("stddev_daily_quantity"),
         ],
-        hot_rows=cfg.hot_rows,
     )
     return stage_table(baselines, "sku-baselines")
 

@@ -144,7 +144,6 @@ def outlier_stats(staged: DataFrame, cfg: Config) -> DataFrame:
             F.avg("price").alias("avg_price"),
             F.stddev_samp("price").alias("stddev_price"),
         ],
-        hot_rows=cfg.hot_rows,
     )
     ordered = ["avg_quantity", "stddev_quantity", "q99_quantity", "avg_price", "stddev_price", "q99_price"]
     return stage_table(stats.select(*ordered), "outlier-stats")
@@ -285,7 +284,7 @@ def iqr_outliers(staged: DataFrame, group: str, measure: str, cfg: Config, reach
         "iqr-input",
     )
     quartiles = {"q1": (measure, 0.25), "q3": (measure, 0.75)}
-    fences = stage_table(percentile_summary(rows, [group], quartiles, [], cfg.hot_rows), "iqr-fences")
+    fences = stage_table(percentile_summary(rows, [group], quartiles, []), "iqr-fences")
     spread = reach * (F.col("q3") - F.col("q1"))
     value = F.col(measure)
     return (

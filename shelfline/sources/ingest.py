@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.functions.text import column_name, tidy
+from shelfline.operators.check_summary import Check, ChecksFailed, check_summary, not_null
 from shelfline.sources.schema import (
     CRITICAL_COLUMNS,
     DATE_COLUMN,
+    KEY_COLUMNS,
     NUMERIC_COLUMNS,
     REQUIRED_COLUMNS,
     SALES_SCHEMA,
@@ -104,14 +106,27 @@ def validate_load(sales: DataFrame) -> DataFrame:
     )
 
 
-def require_valid_load(sales: DataFrame) -> int:
-    """Raise when the table is empty or lacks a required column."""
+def source_checks() -> list[Check]:
+    """Checks that a loaded table must pass before anything is built from it."""
+    return [not_null(c) for c in KEY_COLUMNS]
+
+
+def require_valid_load(sales: DataFrame, wanted: Sequence[Check] | None = None) -> int:
+    """Raise when the table is empty, lacks a required column or fails a source check; returns its row count.
+
+    The rows are counted and checked in one scan.
+    """
     missing = sorted(set(REQUIRED_COLUMNS) - set(sales.columns))
     if missing:
         raise ValueError(f"missing required columns: {missing}")
-    rows = sales.count()
+    gate = list(source_checks() if wanted is None else wanted)
+    rows_of_table = Check("rows", F.lit(0), F.count(F.lit(1)))
+    found = check_summary(sales, [rows_of_table, *gate]).collect()
+    rows = next(int(r["measure"]) for r in found if r["check_name"] == "rows")
     if rows == 0:
         raise ValueError("the sales table is empty")
+    if failed := [(r["check_name"], r["failures"]) for r in found if r["verdict"] == "error"]:
+        raise ChecksFailed(failed)
     return rows
 
 

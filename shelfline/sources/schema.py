@@ -32,3 +32,5 @@ DATE_COLUMN = "Date_Of_Sale"
 REQUIRED_COLUMNS = ["Store_Name", "Item_Code", "Quantity", "Total_Sales", "Supplier", "Date_Of_Sale"]
 # A cleaned row without these values is rejected.
 CRITICAL_COLUMNS = ["Store_Name", "Description", "Quantity", "Total_Sales"]
+# A load in which one of these is missing anywhere is refused.
+KEY_COLUMNS = ["Store_Name", "Item_Code"]

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 
 from helpers import rows_of
-from shelfline.operators import checks
+from shelfline.operators import checks, slices
 
 DAY = [datetime(2021, 1, d) for d in range(1, 32)]
 
@@ -103,21 +103,27 @@ def test_relationships_where(spark):
     assert checks.relationships_where(child, "id", parent, "id", parent_where="id <> 4").count() == 3
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 1])
-def test_sequential_values(spark, hot_rows):
+@pytest.mark.parametrize("slice_rows", [10**6, 1])
+def test_sequential_values(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(slices, "SLICE_ROWS", slice_rows)
     df = frame(spark, [("a", 2), ("a", 4), ("a", 6), ("b", 8), ("b", 11)], "g string, v int")
-    assert rows_of(checks.sequential_values(df, "v", 2, group_by=["g"], hot_rows=hot_rows)) == [("b", 11, 8)]
-    assert rows_of(checks.sequential_values(df, "v", 2, hot_rows=hot_rows)) == [(11, 8)]
+    assert rows_of(checks.sequential_values(df, "v", 2, group_by=["g"])) == [("b", 11, 8)]
+    assert rows_of(checks.sequential_values(df, "v", 2)) == [(11, 8)]
     stamps = frame(spark, [(datetime(2021, 1, 1, h),) for h in (0, 1, 2, 4)], "ts timestamp_ntz")
-    found = checks.sequential_values(stamps, "ts", 1, datepart="hour", hot_rows=hot_rows)
+    found = checks.sequential_values(stamps, "ts", 1, datepart="hour")
     assert rows_of(found) == [(datetime(2021, 1, 1, 4), datetime(2021, 1, 1, 2))]
+    same = frame(spark, [("a", 2)] * 3 + [("a", 4)] * 2 + [("a", None)] * 2, "g string, v int")
+    assert rows_of(checks.sequential_values(same, "v", 2, group_by=["g"])) == [("a", 2, 2), ("a", 2, 2), ("a", 4, 4)]
+    assert checks.sequential_values(same, "v", 0, group_by=["g"]).count() == 1
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 1])
-def test_mutually_exclusive_ranges(spark, hot_rows):
+@pytest.mark.parametrize("slice_rows", [10**6, 1])
+def test_mutually_exclusive_ranges(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(slices, "SLICE_ROWS", slice_rows)
+
     def failing(rows, **options):
         df = frame(spark, rows, "sub int, lo int, hi int")
-        return rows_of(checks.mutually_exclusive_ranges(df, "lo", "hi", "sub", hot_rows=hot_rows, **options))
+        return rows_of(checks.mutually_exclusive_ranges(df, "lo", "hi", "sub", **options))
 
     no_gaps = [(1, 0, 1), (1, 1, 2), (1, 2, 4)]
     assert failing(no_gaps, gaps="not_allowed") == failing(no_gaps) == []
@@ -128,6 +134,9 @@ def test_mutually_exclusive_ranges(spark, hot_rows):
     zero = [(3, 0, 2), (3, 2, 2), (3, 2, 4), (3, 5, 5)]
     assert failing(zero, zero_length_allowed=True) == []
     assert failing(zero) == [(3, 2, 2, 2), (3, 5, 5, None)]
+    # A range that occurs twice conflicts with its own copy; so does one of a group without a name.
+    assert failing([(1, 0, 2), (1, 0, 2), (1, 2, 3)]) == [(1, 0, 2, 0)]
+    assert failing([(None, 0, 2), (None, 1, 3)]) == [(None, 0, 2, 1)]
     assert failing([(1, 3, 1), (1, None, 4), (1, 2, None)]) == [(1, 2, None, 3), (1, 3, 1, None), (1, None, 4, None)]
     with pytest.raises(ValueError):
         failing(zero, gaps="maybe")

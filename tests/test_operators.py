@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows_of
 from shelfline import stage_table
-from shelfline.operators import relational, series
+from shelfline.operators import relational, series, slices
 from shelfline.operators.ordering import with_neighbour, with_rank
 from shelfline.operators.percentiles import percentile_summary
 from shelfline.session import scratch_root
@@ -29,10 +29,15 @@ def skewed(spark):
     return stage_table(spark.createDataFrame(rows, "k string, a double, b double, i int"), "skewed"), rows
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 400, 1])
-def test_percentiles_match_numpy(skewed, hot_rows):
+@pytest.fixture(params=[10**6, 100, 7])
+def slice_rows(request, monkeypatch):
+    monkeypatch.setattr(slices, "SLICE_ROWS", request.param)
+    return request.param
+
+
+def test_percentiles_match_numpy(skewed, slice_rows):
     df, rows = skewed
-    found = percentile_summary(df, ["k"], WANTED, [F.count(F.lit(1)).alias("n"), F.avg("b").alias("mean")], hot_rows)
+    found = percentile_summary(df, ["k"], WANTED, [F.count(F.lit(1)).alias("n"), F.avg("b").alias("mean")])
     result = {r["k"]: r for r in found.collect()}
     assert set(result) == {r[0] for r in rows}
     for key, got in result.items():
@@ -44,30 +49,46 @@ def test_percentiles_match_numpy(skewed, hot_rows):
         assert got["n"] == len(mine)
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 50])
-def test_percentiles_of_the_whole_table(skewed, hot_rows):
+def test_percentiles_of_the_whole_table(skewed, slice_rows):
     df, rows = skewed
-    got = percentile_summary(df, [], WANTED, [F.max("b").alias("top")], hot_rows).collect()
-    assert len(got) == 1 and "all_rows" not in got[0].asDict()
+    got = percentile_summary(df, [], WANTED, [F.max("b").alias("top")]).collect()
+    assert len(got) == 1 and set(got[0].asDict()) == {*WANTED, "top"}
     assert got[0]["b99"] == pytest.approx(np.percentile([r[2] for r in rows if r[2] is not None], 99), abs=1e-9)
+    assert set(percentile_summary(df, [], WANTED, []).columns) == set(WANTED)
 
 
 def test_percentiles_of_nothing(spark):
     empty = spark.createDataFrame([], "k string, a double, b double")
-    assert percentile_summary(empty, ["k"], WANTED, [], 10).count() == 0
-    assert percentile_summary(empty, [], WANTED, [], 10).first()["a50"] is None
+    assert percentile_summary(empty, ["k"], WANTED, []).count() == 0
+    assert percentile_summary(empty, [], WANTED, []).first()["a50"] is None
+
+
+def test_a_group_of_all_rows_is_spread_over_slices(spark, monkeypatch):
+    """One key, one NULL key, few values with very many copies, and rows equal in all but the last column."""
+    monkeypatch.setattr(slices, "SLICE_ROWS", 500)
+    df = stage_table(spark.range(20_000).selectExpr("'k' as k", "cast(null as int) as g", "cast(id % 7 as int) as few", "id as many"), "one-group")
+    few = slices.in_slices(slices.counted(df, ["k", "few"]), [F.col("k"), F.col("few")], "few")
+    assert rows_of(few, "few", "copies") == [(i, 2858 if i < 1 else 2857) for i in range(7)]
+    many = slices.in_slices(slices.counted(df, ["g", "few", "many"]), [F.col(c).asc_nulls_last() for c in ("g", "few", "many")], "many")
+    sizes = [r["count"] for r in many.groupBy("slice").count().collect()]
+    assert len(sizes) >= 30 and max(sizes) <= 3 * 500
+    begins = slices.starts(many, ["g"])
+    assert begins.count() == len(sizes)
+    placed = slices.with_before(many, begins, ["g"], [F.col("few"), F.col("many")])
+    assert [r["before"] for r in placed.orderBy("few", "many").select("before").collect()] == list(range(20_000))
+
+
+def test_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(slices, "_COPIES", 10)
+    df = spark.createDataFrame([("a", 25), ("b", 1), ("c", 0), (None, 10)], "v string, n int")
+    assert rows_of(slices.repeated(df, F.col("n")).groupBy("v").count()) == sorted([("a", 25), ("b", 1), (None, 10)], key=str)
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
 @pytest.mark.parametrize("following", [True, False])
-def test_neighbours_do_not_depend_on_slicing(skewed, keys, following):
+def test_neighbours_equal_brute_force(skewed, slice_rows, keys, following):
     df, rows = skewed
-    results = []
-    for hot_rows in (10**6, 20):
-        found = with_neighbour(df, keys, ["a", "i"], ["i"], hot_rows, following)
-        results.append(rows_of(found, "i", "neighbour.i"))
-    assert results[0] == results[1]
-
+    found = rows_of(with_neighbour(df, keys, ["a", "i"], ["i"], following), "i", "neighbour.i")
     groups = {}
     for r in rows:
         groups.setdefault(r[0] if keys else None, []).append((r[1] is None, r[1] or 0, r[3]))
@@ -78,13 +99,14 @@ def test_neighbours_do_not_depend_on_slicing(skewed, keys, following):
         for place, i in enumerate(ordered):
             other = place + step
             wanted.append((i, ordered[other] if 0 <= other < len(ordered) else None))
-    assert results[1] == sorted(wanted, key=str)
+    assert found == sorted(wanted, key=str)
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 20])
-def test_rank(skewed, hot_rows):
+def test_rank(skewed, slice_rows):
     df, rows = skewed
-    found = dict(rows_of(with_rank(df, "a", "place", hot_rows), "i", "place"))
+    ranked = with_rank(df, "a", "place")
+    assert dict(ranked.dtypes)["place"] == "bigint"
+    found = dict(rows_of(ranked, "i", "place"))
     values = [r[1] for r in rows if r[1] is not None]
     for _, a, _, i in rows:
         assert found[i] == (1 + sum(v > a for v in values) if a is not None else len(values) + 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import first, rows_of, sale, sales_frame
 from shelfline import Config, stage_table
+from shelfline.operators import slices
 from shelfline.plans import pricing, promo, quality, reports, staging
 from shelfline.plans.build import build_all
 from shelfline.sources.sinks import Layers
@@ -124,10 +125,11 @@ def test_promo_mart(promo_rows, cfg):
     assert [r["is_focus"] for r in promo.promo_order(mart).collect()] == [1, 0, 0]
 
 
-def test_hot_items_give_the_same_mart(promo_rows):
-    marts = [
-        rows_of(promo.build_promo_mart(promo_rows, Config("%ACME%", hot_rows=n))) for n in (10**6, 2)
-    ]
+def test_slices_of_any_size_give_the_same_mart(promo_rows, cfg, monkeypatch):
+    marts = []
+    for rows in (10**6, 2):
+        monkeypatch.setattr(slices, "SLICE_ROWS", rows)
+        marts.append(rows_of(promo.build_promo_mart(promo_rows, cfg)))
     assert marts[0] == marts[1]
 
 
@@ -342,7 +344,7 @@ def test_build_all(spark, cfg, tmp_path):
 
 
 def test_config_is_validated():
-    for bad in ({"promo_threshold": 0}, {"promo_threshold": 1.5}, {"hot_rows": 0}):
+    for bad in ({"promo_threshold": 0}, {"promo_threshold": 1.5}):
         with pytest.raises(ValueError):
             Config(focus_pattern="%X%", **bad)
     assert Config("%X%", promo_threshold=0.07).promo_threshold_pct == 7.0

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import first, rows_of, sale, sales_frame
+from shelfline.operators.check_summary import ChecksFailed, not_null
 from shelfline.sources import ingest, sinks
 from shelfline.sources.schema import SALES_SCHEMA
 
@@ -114,6 +115,75 @@ def test_a_failing_build_leaves_the_old_table(spark, tmp_path):
     assert layers.write(layers.read(spark, sinks.MARTS, "t").where("id = 1").select("id"), sinks.MARTS, "t").count() == 1
 
 
+@pytest.mark.parametrize("step", ["write", "manifest", "rename"])
+def test_a_build_that_dies_at_any_step_leaves_the_old_table(spark, tmp_path, monkeypatch, step):
+    layers = sinks.Layers(str(tmp_path))
+    df = spark.createDataFrame([(1, 0), (2, 1)], "id int, is_focus int")
+    old = layers.write(df, sinks.MARTS, "t", partition_by=["is_focus"])
+
+    class Killed(BaseException):
+        pass
+
+    def die(*_):
+        raise Killed
+
+    if step == "write":  # the rows are there, nothing names them
+        monkeypatch.setattr(sinks, "_commit", die)
+    elif step == "manifest":  # the manifest is begun, but not moved
+        real = sinks._hadoop_path
+
+        def begun(session, path):
+            if f"{sinks.MANIFEST}." in path:
+                found, files = real(session, path)
+                files.create(found, True).close()
+                raise Killed
+            return real(session, path)
+
+        monkeypatch.setattr(sinks, "_hadoop_path", begun)
+    else:  # the manifest is moved, the old version not yet removed
+        monkeypatch.setattr(sinks, "_delete", die)
+        layers.write(df.filter("id = 1"), sinks.MARTS, "t", partition_by=["is_focus"])
+    with pytest.raises(Killed):
+        layers.write(df.filter("id < 0"), sinks.MARTS, "t", partition_by=["is_focus"])
+    monkeypatch.undo()
+    assert layers.read(spark, sinks.MARTS, "t").count() == {"write": 2, "manifest": 2, "rename": 0}[step]
+    assert rows_of(old) == [(1, 0), (2, 1)]
+    # The next build goes on as if nothing had happened, also with other columns.
+    again = layers.write(spark.createDataFrame([("x", 3)], "name string, id long"), sinks.MARTS, "t")
+    assert rows_of(again) == [("x", 3)] and layers.read(spark, sinks.MARTS, "t").columns == ["name", "id"]
+
+
+def test_readers_keep_their_version_for_one_more_write(spark, tmp_path):
+    layers = sinks.Layers(str(tmp_path))
+    opened = layers.write(spark.range(3).toDF("id"), sinks.MARTS, "t")
+    layers.write(spark.range(5).toDF("id"), sinks.MARTS, "t")
+    assert opened.count() == 3 and layers.read(spark, sinks.MARTS, "t").count() == 5
+    layers.write(spark.range(6).toDF("id"), sinks.MARTS, "t")
+    layers.write(spark.range(7).toDF("id"), sinks.MARTS, "t")
+    assert len(list((tmp_path / "retail_marts" / "t").glob("v-*"))) == 2
+    with pytest.raises(FileNotFoundError):
+        layers.read(spark, sinks.MARTS, "never_built")
+
+
+def test_checks_decide_whether_a_write_is_committed(spark, tmp_path):
+    layers = sinks.Layers(str(tmp_path))
+    wanted = [not_null("id"), not_null("name").limits(error_if="> 1")]
+    good = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string")
+    layers.write(good, sinks.MARTS, "t", checks=wanted)
+    with pytest.raises(ChecksFailed) as failed:
+        layers.write(good.unionAll(spark.createDataFrame([(None, None)], good.schema)), sinks.MARTS, "t", checks=wanted)
+    assert failed.value.failed == [("not_null_id", 1), ("not_null_name", 2)]
+    assert rows_of(layers.read(spark, sinks.MARTS, "t")) == [(1, "a"), (2, None)]
+    assert len(list((tmp_path / "retail_marts" / "t").glob("v-*"))) == 1
+
+
+def test_source_checks_stop_a_build(spark):
+    for column in ("Store_Name", "Item_Code"):
+        with pytest.raises(ChecksFailed, match=f"not_null_{column} \\(1\\)"):
+            ingest.require_valid_load(sales_frame(spark, [sale(), sale(**{column: None})]))
+    assert ingest.require_valid_load(sales_frame(spark, [sale(), sale(Item_Code=None)]), []) == 2
+
+
 def test_load_profile(spark):
     rows = [sale(), sale(Supplier=None, Store_Name="B", Total_Sales=5, Date_Of_Sale=date(2025, 9, 28)), sale(Total_Sales=None)]
     assert first(ingest.load_profile(sales_frame(spark, rows))) == {
@@ -134,7 +204,8 @@ def test_layers(spark, tmp_path):
     df = spark.createDataFrame([(1, "b", 0), (2, "a", 1)], "id int, name string, is_focus int")
     back = layers.write(df, sinks.MARTS, "t", partition_by=["is_focus"], sort_by=["name"])
     assert back.columns == df.columns and rows_of(back) == rows_of(df)
-    assert (tmp_path / "retail_marts" / "t" / "is_focus=1").is_dir()
+    version = layers.current(spark, sinks.MARTS, "t")["version"]
+    assert (tmp_path / "retail_marts" / "t" / version / "is_focus=1").is_dir()
     layers.write(df.limit(1), sinks.MARTS, "t")
     assert layers.read(spark, sinks.MARTS, "t").count() == 1
     assert layers.publish_view(df, sinks.STAGING, "v").count() == spark.table("retail_staging_v").count() == 2
