@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shelfline.llm import byte_bpe, decontaminate, language, licenses, mixing, near_dups, private_data, quality, repeats, secrets, token_files
+from shelfline.llm import byte_bpe, decontaminate, language, licenses, manifest, mixing, near_dups, private_data, quality, repeats, secrets, spelling, token_files
 from shelfline.llm.common import held_out_column, table
 from shelfline.session import scratch_path
 
@@ -21,12 +22,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("n_words", "blocks")
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("blocks")
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    token_files.write_token_files(table(spark, sf_dir, "documents"), path, token_files.tokenizer_path(TOKENIZER))
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, TOKENIZER)
     return token_files.read_token_files(spark, path)
 
 
@@ -76,6 +77,22 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def tampered(values: dict[str, Column]) -> tuple[Column, dict[str, Column]]:
+        lowered = F.translate(values["text"], ascii_uppercase, ascii_lowercase)
+        return F.crc32(values["doc_id"].cast("string").cast("binary")) % 5 == 0, {"text": lowered}
+
+    found = manifest.manifest(table(spark, sf_dir, "documents"), tampered)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = byte_bpe.round_trip(table(spark, sf_dir, "documents"), RANKS)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
@@ -92,5 +109,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_rules": op9_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_manifest": op12_manifest,
     "op13_byte_bpe": op13_byte_bpe,
 }
