@@ -14,6 +14,7 @@ block a u64 offset in words, one more for the end, and the words.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,8 +33,14 @@ COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 15
 SEGMENT_IDS = 1 << 20
-#: Most pieces of text whose ids a Python worker remembers.
-MEMORY = 300_000
+#: Most pieces of text whose ids a Python worker remembers, and pieces coded as one text.
+MEMORY, JOINED = 500_000, 500
+#: Pieces of more characters are not remembered.
+LONG_PIECE = 100
+#: A blank that starts a new match, whatever follows; and texts in which some blank may not. A character that any Unicode version calls white space is taken for it.
+_WHITE = r"\s\u180E\u200B\uFEFF"
+_BORDER = re.compile(f"(?<=[^{_WHITE}]) ")
+_DOUBTFUL = re.compile(f"(?:^|[{_WHITE}]) ")
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -115,9 +122,10 @@ def decode(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
 class Tokens:
     """Ids of texts by a tokenizers file, remembering the ids of pieces between blanks.
 
-    A single blank between two other characters always starts a new piece in the
-    byte-level pre-tokenizer, so the pieces can be coded one by one. Texts with
-    neighbouring blanks or special tokens are coded whole.
+    The byte-level pre-tokenizer starts a new match at every blank that follows a character other than white space, so
+    the pieces between such blanks can be coded one by one. The pieces of a batch of texts that are not
+    remembered are coded together, parted by a special token, before which and after which the tokenizer
+    codes separately. Texts that hold a special token themselves are coded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -125,36 +133,56 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [t.content for t in added.values()]
+        self.part_id, self.part = next(((i, t.content) for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word)), (None, None))
         self.known: dict[str, bytes] = {}
 
     def _code(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def ids(self, text: str) -> np.ndarray:
-        pieces = text.split(" ")
-        if "" in pieces or any(s in text for s in self.special):
-            return np.frombuffer(self._code([text])[0], "<u4")
-        head = self._code([pieces[0]])[0]
-        try:
-            return np.frombuffer(head + b"".join(map(self.known.__getitem__, pieces[1:])), "<u4")
-        except KeyError:
-            new = list({p for p in pieces[1:] if p not in self.known})
-            if len(self.known) + len(new) > MEMORY:
-                self.known = {}
-                new = list(set(pieces[1:]))
-            known = dict(zip(new, self._code([" " + p for p in new]), strict=True))
-            self.known |= known
-            return np.frombuffer(head + b"".join(map(self.known.__getitem__, pieces[1:])), "<u4")
+    def _code_pieces(self, pieces: list[str]) -> list[bytes]:
+        if self.part is None:
+            return self._code(pieces)
+        out = []
+        for runs in self._code([self.part.join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]):
+            ids = np.frombuffer(runs, "<u4")
+            out += [run.tobytes() if i == 0 else run[1:].tobytes() for i, run in enumerate(np.split(ids, np.flatnonzero(ids == self.part_id)))]
+        return out
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        cut: list[list[str] | None] = []
+        for text in texts:
+            if any(s in text for s in self.special):
+                cut.append(None)
+            else:
+                first, *rest = _BORDER.split(text) if _DOUBTFUL.search(text) else text.split(" ")
+                cut.append([first, *map(" ".__add__, rest)])
+        missing = {p for pieces in cut if pieces for p in pieces if p not in self.known}
+        if len(self.known) + len(missing) > MEMORY:
+            self.known = {}
+            missing = {p for pieces in cut if pieces for p in pieces}
+        new = list(missing)
+        known = self.known
+        known.update(zip(new, self._code_pieces(new), strict=True))
+        whole = iter(self._code([text for text, pieces in zip(texts, cut, strict=True) if pieces is None]))
+        out = [np.frombuffer(next(whole) if pieces is None else b"".join(map(known.__getitem__, pieces)), "<u4") for pieces in cut]
+        for piece in new:
+            if len(piece) > LONG_PIECE:
+                del known[piece]
+        return out
 
 
 @lru_cache(maxsize=1)
 def _tokens(path: str) -> Tokens:
-    return Tokens(path)
+    return Tokens(tokenizer_path(path))
 
 
 def tokenizer_path(name: str) -> str:
+    """The file itself, or where this machine has the public tokenizer of that name."""
+    if os.path.isabs(name):
+        return name
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -182,8 +210,9 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iter
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids = np.append(_tokens(path).ids(text or ""), np.uint32(end_id))
+        coded = _tokens(path).ids([text or "" for text in batch.column(1).to_pylist()])
+        for doc, run in zip(batch.column(0).to_pylist(), coded, strict=True):
+            ids = np.append(run, np.uint32(end_id))
             docs.append(doc)
             runs.append(ids)
             size += len(ids)
