@@ -49,6 +49,34 @@ class Scratch:
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Bits of the map that may_be_among broadcasts: 4 MB at any size of its tables.
+MAP_BITS = 1 << 25
+_MAP_PART = 1 << 15
+
+
+def may_be_among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose ``column`` (a bigint) may be in the one column of ``ids``: all that are, and few others while ``ids`` has far fewer than ``MAP_BITS`` rows.
+
+    A bitmap of hashed ids goes to the executors, so that a join that follows need not shuffle the texts of rows it does not want.
+    """
+
+    def place(value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(MAP_BITS))
+
+    def part(value: Column) -> Column:
+        return F.floor(place(value) / _MAP_PART).cast("int")
+
+    def bit(value: Column) -> Column:
+        return F.pmod(place(value), F.lit(_MAP_PART))
+
+    name = ids.columns[0]
+    marked = ids.groupBy(part(F.col(name)).alias("map_part")).agg(F.bitmap_construct_agg(bit(F.col(name))).alias("map_bits"))
+    own = bit(F.col(column))
+    byte = F.conv(F.hex(F.substring("map_bits", F.floor(own / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, F.pmod(own, F.lit(8)).cast("int")) == 1
+    return rows.join(F.broadcast(marked), part(F.col(column)) == F.col("map_part")).where(is_set).select(*rows.columns)
+
+
 def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """Apply ``function`` to each Arrow batch; it returns columns by name or nothing."""
     names = [part.split()[0] for part in _split_schema(schema)]

@@ -17,7 +17,7 @@ follows exactly, so a family of up to ``FAMILY`` texts is settled in one task wi
 making pairs. In a larger one, a text that differs from the leader in more than D hashes
 can only be linked to texts that share more than half of *their* difference with it, so
 the family is listed again by the rarest part of the differences, and the same steps are
-applied to these lists. Texts linked to the leader are in one group already and need
+applied to these lists (of lists with the same members to one). Texts linked to the leader are in one group already and need
 nothing among themselves. No link is lost.
 
 Pairs are dropped if the union of their sketches contradicts the threshold, the rest
@@ -34,9 +34,9 @@ from math import ceil, comb, floor
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from shelfline.llm.common import Scratch, map_arrow, prepare
+from shelfline.llm.common import Scratch, map_arrow, may_be_among, prepare
 from shelfline.llm.text import NON_BLANK, chunks, mix, texts_of, words_of
 
 #: Retained values per text. More of them would make fewer false candidates, but every one is shuffled.
@@ -157,11 +157,14 @@ def _first_lists(reps: DataFrame, counters: np.ndarray, threshold: float) -> Dat
 def _members(lists: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows of lists that can still hold a link between texts, with the list's size and leader.
 
-    Most values stand in one text alone; those are told by a count, before anything else is sent.
+    Most values stand in one text alone; those are told by a count, before anything else is sent. Of lists with the
+    same members (told by 128 bits of their hashes) one is kept: what texts share comes with many values.
     """
     keys = ["lead", "value"]
-    sizes = lists.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.max(F.col("open").cast("int")).alias("any_open"))
-    shared = scratch.write(lists.join(sizes.where("size > 1 and any_open = 1").drop("any_open"), keys), "shared")
+    names = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"name_{i}") for i in range(2)]
+    sizes = lists.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.max(F.col("open").cast("int")).alias("any_open"), *names)
+    told = sizes.where("size > 1 and any_open = 1").groupBy("lead", "size", "name_0", "name_1").agg(F.min("value").alias("value"))
+    shared = scratch.write(lists.join(told.select(*keys, "size"), keys), "shared")
     leaders = shared.groupBy(*keys).agg(F.max_by("node", F.struct("heat", "node")).alias("leader"))
     return shared.join(leaders, keys)
 
@@ -270,52 +273,65 @@ def _families(compared: DataFrame) -> DataFrame:
 
 
 def _lists(families: DataFrame) -> DataFrame:
-    """Large families listed by the rarest hashes of their differences; leaders are texts that differ by what many share."""
+    """Large families listed by the rarest hashes of their differences; leaders are texts that differ by what many share.
 
-    def explode(batch: pa.RecordBatch) -> dict:
-        deltas = _values(batch.column(4))
-        times = np.array([len(d) for d in deltas])
-        out = {k: batch.column(i).take(pa.array(np.repeat(np.arange(len(deltas)), times))) for i, k in enumerate(("lead", "node", "n", "open", "delta", "length"))}
-        return out | {"value": np.concatenate(deltas).view(np.int64)}
+    As for the first lists, counters of fixed number say how common a hash is, and only the hashes listed leave a task, without the differences.
+    """
+    large = families.where(F.col("size") > FAMILY)
+    shared = families.sparkSession.sparkContext.broadcast(value_counters(large.select("delta")))
+
+    def rarest(batch: pa.RecordBatch) -> dict:
+        value, times, heat = [], [], []
+        for delta, length in zip(_values(batch.column(4)), batch.column(5).to_pylist(), strict=True):
+            common = shared.value[(delta & np.uint64(len(shared.value) - 1)).astype(np.int64)]
+            chosen = delta[np.lexsort((delta, common))[:length]]
+            value.append(chosen)
+            times.append(len(chosen))
+            heat.append(int(1000 * common.mean()) if len(common) else 0)
+        rows = pa.array(np.repeat(np.arange(len(times)), times))
+        out = {k: batch.column(i).take(rows) for i, k in enumerate(("lead", "node", "n", "open"))}
+        return out | {"heat": np.repeat(heat, times), "value": np.concatenate(value).view(np.int64)}
 
-    rows = map_arrow(
-        families.where(F.col("size") > FAMILY).drop("size"), explode, "lead long, node long, n long, open boolean, delta binary, length long, value long"
-    )
-    common = F.count(F.lit(1)).over(Window.partitionBy("lead", "value"))
-    own = Window.partitionBy("lead", "node")
-    heat = (F.avg("common").over(own) * 1000).cast("long")
-    ranked = rows.withColumn("common", common).withColumn("heat", heat).withColumn("rank", F.row_number().over(own.orderBy("common", "value")))
-    return ranked.where("rank <= length and common > 1").select("lead", "value", "node", "n", "heat", "open", "delta")
+    return map_arrow(large.select("lead", "node", "n", "open", "delta", "length"), rarest, "lead long, value long, node long, n long, heat long, open boolean")
 
 
 def _settle(groups: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """Links of bounded groups (columns node, n, open, delta) with an open text; enough of them to join what is linked."""
+    """Links of bounded groups (columns node, n, open, delta, length) with an open text; enough of them to join what is linked.
+
+    An open text is compared with those that hold one of the ``length`` rarest hashes of its difference, which all texts linked with it do.
+    """
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
-        node, n, is_open = (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts]) for c in ("node", "n", "open"))
+        node, n, is_open, length = (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts]) for c in ("node", "n", "open", "length"))
         deltas = [d for p in parts for d in _values(p.column("delta"))]
         size = np.array([len(d) for d in deltas])
-        owner = np.repeat(np.arange(len(deltas)), size)
-        _, token = np.unique(np.concatenate(deltas), return_inverse=True)
+        starts = np.cumsum(size) - size
+        _, token, copies = np.unique(np.concatenate(deltas), return_inverse=True, return_counts=True)
         order = np.argsort(token, kind="stable")
-        bounds = np.concatenate(([0], np.cumsum(np.bincount(token))))
-        by_token, starts = owner[order], np.cumsum(size) - size
+        bounds = np.concatenate(([0], np.cumsum(copies)))
+        by_token = np.repeat(np.arange(len(deltas)), size)[order]
         group = np.arange(len(deltas))  # texts joined so far share a number
         group[~is_open] = -1  # those linked to the leader are one group already
         found: list[tuple[int, int]] = []
         for i in np.flatnonzero(is_open).tolist():
             mine = token[starts[i] : starts[i] + size[i]]
-            shared = np.bincount(np.concatenate([by_token[bounds[t] : bounds[t + 1]] for t in mine]), minlength=len(deltas))
-            twice = n[i] + n - (size[i] + size - 2 * shared)  # twice the common hashes
-            linked = 100 * twice >= percent * (2 * (n[i] + n) - twice)
-            for j in np.flatnonzero(linked & (group != group[i])).tolist():
-                if group[j] != group[i]:
+            rare = mine[np.lexsort((mine, copies[mine]))[: length[i]]]
+            rare = rare[copies[rare] > 1]
+            if not len(rare):
+                continue
+            near = np.unique(np.concatenate([by_token[bounds[t] : bounds[t + 1]] for t in rare]))
+            for j in near[group[near] != group[i]].tolist():
+                if group[j] == group[i]:
+                    continue
+                both = len(np.intersect1d(deltas[i], deltas[j], assume_unique=True))
+                twice = n[i] + n[j] - (size[i] + size[j] - 2 * both)  # twice the common hashes
+                if 100 * twice >= percent * (2 * (n[i] + n[j]) - twice):
                     found.append((int(node[i]), int(node[j])))
                     group[group == group[j]] = group[i]
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    return groups.select(*keys, "node", "n", "open", "delta").groupBy(*keys).applyInArrow(lambda table: _whole(settle, table), "a long, b long")
+    return groups.select(*keys, "node", "n", "open", "delta", "length").groupBy(*keys).applyInArrow(lambda table: _whole(settle, table), "a long, b long")
 
 
 def _whole(function, table: pa.Table) -> pa.Table:
@@ -373,7 +389,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
         same = [hashlib.blake2b(s, digest_size=16).digest() == i for s, i in zip(sets, batch.column(2).to_pylist(), strict=True)]
         return {"node": batch.column(0), "set": pa.array(sets, pa.binary()), "same": same}
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = may_be_among(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", wanted.select("doc_id"))
 
     def sets(chosen: DataFrame, once: bool) -> DataFrame:
         rows = texts.join(chosen.drop("again"), "doc_id").select("node", "text", "set_id")
@@ -419,7 +435,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         families = scratch.write(_families(around.drop("star").withColumn("t", F.lit(threshold))), "families")
         links = links.union(scratch.write(_settle(families.where(F.col("size") <= FAMILY), ["lead"], percent), "links"))
         members = scratch.write(_members(_lists(families), scratch), "members")
-        links = links.union(scratch.write(_settle(members.where(F.col("size") <= FAMILY), ["lead", "value"], percent), "links"))
+        inner = members.where(F.col("size") <= FAMILY).select("lead", "value", "node", "n", "open").join(families.select("lead", "node", "delta", "length"), ["lead", "node"])
+        links = links.union(scratch.write(_settle(inner, ["lead", "value"], percent), "links"))
         stars = scratch.write(_star_pairs(members, FAMILY), "stars")
         scratch.drop(families, members)
         if stars.isEmpty():
