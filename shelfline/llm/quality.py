@@ -1,10 +1,11 @@
 """Quality rules and a hashed n-gram likelihood ratio, in DataFrame functions only.
 
 Words are runs of characters other than x20 and x09-x0D. Two multinomials over
-``BUCKETS`` hashed n-grams (one and two words) are counted: the trusted target
-(documents with quality 1) and the raw corpus (all documents), both smoothed by
-``SMOOTHING``. A document's score is the mean log ratio of its n-grams, in whole
-millionths per n-gram, so that sums do not depend on their order; documents below
+``BUCKETS`` hashed n-grams (one and two words) are counted in one pass: the raw corpus (all documents)
+and the trusted target (documents with quality 1; of more than ``SAMPLE`` ids, those with the smallest hashes).
+The target is smoothed with ``PRIOR`` n-grams dealt out by the raw shares, so a bucket of which the target
+knows nothing has a ratio near 0 and few labels judge mildly. A document's score is the mean log ratio of its
+n-grams, in whole millionths per n-gram, so that sums do not depend on their order; documents below
 ``min_score`` fail, as do those that break a rule.
 """
 
@@ -17,7 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelfline.llm.common import Scratch, prepare
 
 BUCKETS = 1 << 14
-SMOOTHING = 1.0
+PRIOR = float(BUCKETS)
+#: Most trusted documents that the target is counted from.
+SAMPLE = 20_000
 MIN_SCORE = -0.12
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
@@ -81,28 +84,34 @@ def grams(words: Column) -> Column:
     return F.concat(F.transform(words, lambda w: _bucket(w)), pairs)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, scratch: Scratch) -> DataFrame:
-    """bucket, ratio: the log of target over raw share of each bucket, in millionths.
+def trusted_ids(trusted: DataFrame) -> DataFrame:
+    """trusted_id: the distinct ids of ``trusted``, of more than ``SAMPLE`` those with the smallest hashes.
 
-    Both counts are combined before they are shuffled; ``BUCKETS`` rows are left at any size.
+    They are counted first, so that only little more than the ids wanted are ordered.
     """
-
-    def counts(rows: DataFrame) -> DataFrame:
-        buckets = rows.select(F.explode(let(words_of(F.coalesce("text", F.lit(""))), grams)).alias("bucket"))
-        return scratch.write(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "counts")
-
     ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct()
-    target = counts(docs.join(ids, docs["doc_id"] == ids["trusted_id"], "left_semi")).withColumnRenamed("n", "t")
-    raw = counts(docs).withColumnRenamed("n", "r")
-    raw_all = raw.agg(F.coalesce(F.sum("r"), F.lit(0)).alias("n")).first()["n"]
-    target_all = target.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("n")).first()["n"]
+    whole = ids.count()
+    if whole <= SAMPLE:
+        return ids
+    place = F.pmod(F.xxhash64("trusted_id"), F.lit(1 << 40))
+    wanted = SAMPLE + 8 * int(SAMPLE**0.5)
+    return ids.where(place < int((1 << 40) * min(1.0, wanted / whole))).orderBy(place, "trusted_id").limit(SAMPLE)
 
-    def share(n: Column, whole: int) -> Column:
-        return (F.coalesce(n, F.lit(0)) + SMOOTHING) / F.lit(whole + SMOOTHING * BUCKETS)
 
-    both = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(raw, "bucket", "left").join(target, "bucket", "left")
-    ratio = F.log(share(F.col("t"), target_all)) - F.log(share(F.col("r"), raw_all))
-    return scratch.write(both.select("bucket", F.round(ratio * 1_000_000).cast("long").alias("ratio")), "ratios")
+def log_ratios(docs: DataFrame, trusted: DataFrame, scratch: Scratch) -> DataFrame:
+    """bucket, ratio: the log of target over raw share of each bucket, in millionths.
+
+    Counts are combined before they are shuffled; ``BUCKETS`` rows are left at any size. At most ``SAMPLE`` ids are broadcast, so no text is shuffled.
+    """
+    ids = F.broadcast(scratch.write(trusted_ids(trusted), "trusted"))
+    marked = docs.join(ids, docs["doc_id"] == ids["trusted_id"], "left").select("text", F.col("trusted_id").isNotNull().cast("int").alias("trusted"))
+    buckets = marked.select("trusted", F.explode(let(words_of(F.coalesce("text", F.lit(""))), grams)).alias("bucket"))
+    counts = scratch.write(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("r"), F.sum("trusted").alias("t")), "counts")
+    whole = counts.agg(F.coalesce(F.sum("r"), F.lit(0)).alias("r"), F.coalesce(F.sum("t"), F.lit(0)).alias("t")).first()
+    both = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left")
+    raw = (F.coalesce("r", F.lit(0)) + 1.0) / F.lit(whole["r"] + float(BUCKETS))
+    target = (F.coalesce("t", F.lit(0)) + PRIOR * raw) / F.lit(whole["t"] + PRIOR)
+    return scratch.write(both.select("bucket", F.round(F.log(target / raw) * 1_000_000).cast("long").alias("ratio")), "ratios")
 
 
 def judge(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -110,7 +119,7 @@ def judge(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCORE) -> D
 
     A null text has no words and fails. ``score`` is null without n-grams, which counts
     as passing the likelihood test (the rules then decide). Without trusted documents
-    the target is uniform. Repeated rows are judged one by one; a repeated label counts
+    all scores are 0. Repeated rows are judged one by one; a repeated label counts
     once. Only doc_id, text and the labels' doc_id and quality are read.
     """
     spark = prepare(docs.sparkSession)
