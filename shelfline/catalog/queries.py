@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from shelfline.config import Config
 from shelfline.functions import numeric, text
 from shelfline.operators import check_summary as summary, checks, relational, series
+from shelfline.operators.nearest import nearest_site
+from shelfline.operators.table_diff import table_diff
 from shelfline.plans import pricing, promo, quality, reports, staging
 from shelfline.session import configure, scratch_path, stage_table
 from shelfline.sources import ingest, sinks
@@ -736,6 +738,25 @@ def column_slugs(spark, sf_dir):
     return slugs.groupBy("slug").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def nearest_site_grid(spark, sf_dir):
+    """The nearest supplier of every customer, by made positions; a third of the customers live in one city."""
+    def placed(key: str, factor: int) -> tuple[Column, Column]:
+        return (F.col(key) * factor % 17001) / 100 - 85, (F.col(key) * (factor + 4) % 36001) / 100 - 180
+
+    in_city = F.col("c_custkey") % 3 == 0
+    latitude, longitude = placed("c_custkey", 7919)
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(in_city, -1.3 + F.col("c_custkey") % 40 / 1000).otherwise(latitude).alias("latitude"),
+        F.when(in_city, 36.8 + F.col("c_custkey") % 70 / 1000).otherwise(longitude).alias("longitude"),
+    )
+    latitude, longitude = placed("s_suppkey", 104729)
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", latitude.alias("latitude"), longitude.alias("longitude"))
+    found = nearest_site(customers, "c_custkey", suppliers, "s_suppkey")
+    return found.select("c_custkey", "s_suppkey", F.col("distance").alias("distance_km"))
+
+
 # ---------------------------------------------------------------- web
 
 
@@ -927,3 +948,25 @@ def check_summary(spark, sf_dir):
     for other in others:
         rows = rows.unionByName(other)
     return rows
+
+
+@query
+def check_table_diff(spark, sf_dir):
+    """The sales against a copy with rows left out, rows doubled and prices lost."""
+    columns = ["Store_Name", "Item_Code", "Item_Barcode", "Quantity", "RRP", "Date_Of_Sale"]
+    ours = sales_table(spark, sf_dir).select(*columns)
+    item = F.col("Item_Code").cast("int")
+    times = F.when(item % 97 == 0, 0).when(item % 101 == 0, 2).otherwise(1)
+    theirs = ours.withColumn("RRP", F.when(item % 89 != 0, F.col("RRP"))).withColumn("copy", F.explode(F.array_repeat(F.lit(1), times))).drop("copy")
+    return table_diff(ours, theirs)
+
+
+@query
+def promo_duration_by_category(spark, sf_dir):
+    """Promo days of a store's item up to 400 days apart count as one promotion: sales are that sparse here."""
+    return promo.promo_duration_by_category(classified(spark, sf_dir), max_gap_days=400)
+
+
+@query
+def uplift_by_depth_regression(spark, sf_dir):
+    return promo.uplift_by_depth(promo_mart_table(spark, sf_dir))

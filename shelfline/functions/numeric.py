@@ -95,5 +95,6 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column, unit: str
         F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2)
         + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
     )
-    miles = F.asin(F.sqrt(half_chord)) * EARTH_DIAMETER_MI
+    # Rounding can lift the term of opposite points above 1.
+    miles = F.asin(F.sqrt(F.least(half_chord, F.lit(1.0)))) * EARTH_DIAMETER_MI
     return miles * KM_PER_MI if unit == "km" else miles

@@ -37,6 +37,11 @@ def is_focus_supplier(value: Column, pattern: str) -> Column:
     return F.when(F.upper(value).like(pattern), 1).otherwise(0)
 
 
+def key_text(value: Column) -> Column:
+    """A number as it stands in keys: two decimals, and more only where they are not zero."""
+    return F.regexp_replace(value.cast("string"), r"(\.[0-9]{2}[0-9]*?)0+$", "$1")
+
+
 def surrogate_key(*parts: Column, null_as_empty: bool = False) -> Column:
     """MD5 over the text of the parts, joined by a hyphen."""
     missing = F.lit("" if null_as_empty else NULL_KEY_TOKEN)

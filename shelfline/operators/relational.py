@@ -207,21 +207,51 @@ def _like_to_regex(pattern: str) -> re.Pattern:
     return re.compile("".join(wildcards.get(c, re.escape(c)) for c in pattern), re.IGNORECASE | re.DOTALL)
 
 
-def relations_like(spark: SparkSession, pattern: str, exclude: str = "", database: str | None = None) -> dict[str, str]:
-    """Name -> type of the catalog's tables and views whose name is LIKE the pattern, without case."""
-    tables = spark.catalog.listTables(database) if database else spark.catalog.listTables()
+def relations_like(
+    spark: SparkSession, pattern: str, exclude: str = "", database: str | None = None, types: list[str] | None = None
+) -> dict[str, str]:
+    """Name -> type of the tables and views whose name is LIKE the pattern, without case.
+
+    ``database`` is a LIKE pattern over the databases of the current catalog; names of tables found that
+    way are qualified and quoted as needed, so that they can be read from anywhere. Without it the current database and temporary views are
+    searched. ``types`` (TABLE, EXTERNAL, VIEW, TEMPORARY ...) limits the result; MANAGED tables also count as TABLE.
+    """
     wanted, unwanted = _like_to_regex(pattern), _like_to_regex(exclude)
-    found = {t.name: t.tableType for t in tables if wanted.fullmatch(t.name) and not unwanted.fullmatch(t.name)}
+    kinds = {t.upper() for t in types or []}
+    kinds |= {"MANAGED"} if "TABLE" in kinds else set()
+
+    def fits(name: str, kind: str) -> bool:
+        return bool(wanted.fullmatch(name)) and not unwanted.fullmatch(name) and (not kinds or kind.upper() in kinds)
+
+    if database is None:
+        found = {t.name: t.tableType for t in spark.catalog.listTables() if fits(t.name, t.tableType)}
+        return dict(sorted(found.items()))
+    schemas = _like_to_regex(database)
+    found = {}
+    for schema in sorted(d.name for d in spark.catalog.listDatabases() if schemas.fullmatch(d.name)):
+        # Temporary views belong to no database, though every one lists them.
+        for t in spark.catalog.listTables(_quoted(schema)):
+            if not t.isTemporary and fits(t.name, t.tableType):
+                found[f"{_quoted(schema)}.{_quoted(t.name)}"] = t.tableType
     return dict(sorted(found.items()))
 
 
+def _quoted(name: str) -> str:
+    return name if re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", name) else "`" + name.replace("`", "``") + "`"
+
+
 def relations_with_prefix(
-    spark: SparkSession, prefix: str, exclude: str = "", database: str | None = None
+    spark: SparkSession, prefix: str, exclude: str = "", database: str | None = None, types: list[str] | None = None
 ) -> dict[str, str]:
-    return relations_like(spark, f"{prefix}%", exclude, database)
+    """As ``relations_like``, for a beginning of the name."""
+    return relations_like(spark, f"{prefix}%", exclude, database, types)
 
 
-def union_by_pattern(spark: SparkSession, pattern: str, exclude: str = "", **options) -> DataFrame:
-    """Union of all catalog relations whose name matches."""
-    names = relations_like(spark, pattern, exclude)
+def union_by_pattern(
+    spark: SparkSession, pattern: str, exclude: str = "", database: str | None = None, types: list[str] | None = None, **options
+) -> DataFrame:
+    """Union of all catalog relations whose name matches, in all databases that match; each row names its relation."""
+    names = relations_like(spark, pattern, exclude, database, types)
+    if not names:
+        raise ValueError(f"no relation is like {pattern!r}" + (f" in databases like {database!r}" if database else ""))
     return union_relations({name: spark.table(name) for name in names}, **options)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfline.config import Config
 from shelfline.functions.numeric import flag, half_up, percent_of, stable
 from shelfline.operators.percentiles import percentile_summary
+from shelfline.operators.regression import MOMENTS, merged, moments, solved
 from shelfline.session import stage_table
 
 SKU_KEYS = ["store_name", "item_code", "product_description", "supplier", "is_focus", "sub_department", "section"]
@@ -321,3 +322,78 @@ def promo_summary(mart: DataFrame) -> DataFrame:
         ["focus_skus", "competitor_skus", "focus_avg_uplift", "competitor_avg_uplift"],
     )
     return coverage.unionByName(stores).unionByName(categories)
+
+
+# ---------------------------------------------------------------- duration and depth
+
+# Upper bound in days and label of each duration; longer ones are the last.
+DURATIONS = [(1, "1 day"), (7, "2-7 days"), (14, "8-14 days"), (28, "15-28 days")]
+LONGEST_DURATION = "29+ days"
+
+
+def promo_runs(classified: DataFrame, max_gap_days: int = 1) -> DataFrame:
+    """Promotions as unbroken runs of promo days of a store's item, with their uplift.
+
+    Promo days at most ``max_gap_days`` apart belong to one run. Sales per promo day are set against the
+    store's other days, or against the item's baseline where there are none. A window holds the days
+    of one item in one store, of which there are no more than days in the data.
+    """
+    if max_gap_days < 1:
+        raise ValueError("max_gap_days must be at least 1")
+    quantity, promo = F.col("daily_quantity").cast("double"), F.col("is_on_promo") == 1
+    of_item = Window.partitionBy(*SKU_KEYS)
+    in_order = of_item.orderBy("sale_date")
+    usual = F.coalesce(F.avg(F.when(~promo, quantity)).over(of_item), F.col("baseline_daily_quantity"))
+    days = classified.filter(F.col("sale_date").isNotNull()).withColumn("usual_quantity", usual).filter(promo)
+    previous = F.lag("sale_date").over(in_order)
+    begins = F.when(F.datediff("sale_date", previous) <= max_gap_days, 0).otherwise(1)
+    numbered = days.withColumn("begins", begins).withColumn("run", F.sum("begins").over(in_order))
+    runs = numbered.groupBy(*SKU_KEYS, "run").agg(
+        F.min("sale_date").alias("first_day"),
+        F.max("sale_date").alias("last_day"),
+        F.count(F.lit(1)).alias("promo_days"),
+        F.sum("daily_quantity").alias("units"),
+        F.max("usual_quantity").alias("usual_quantity"),
+    )
+    rate = F.col("units").cast("double") / F.col("promo_days")
+    return runs.withColumn("duration_days", F.datediff("last_day", "first_day") + 1).withColumn(
+        "uplift_pct", F.when(F.col("usual_quantity") > 0, half_up((rate - F.col("usual_quantity")) / F.col("usual_quantity") * 100))
+    )
+
+
+def duration_label(days: Column) -> Column:
+    label = F.when(days <= DURATIONS[0][0], DURATIONS[0][1])
+    for most, name in DURATIONS[1:]:
+        label = label.when(days <= most, name)
+    return label.otherwise(LONGEST_DURATION)
+
+
+def promo_duration_by_category(classified: DataFrame, max_gap_days: int = 1) -> DataFrame:
+    """Runs and their uplift by category and duration; ``is_best`` marks each category's duration of highest average uplift.
+
+    Of durations with the same uplift the shorter one is best; without any uplift none is.
+    """
+    category = ["sub_department", "section"]
+    grouped = promo_runs(classified, max_gap_days).groupBy(*category, duration_label(F.col("duration_days")).alias("duration")).agg(
+        F.count(F.lit(1)).alias("promotions"),
+        half_up(F.avg("duration_days")).alias("avg_days"),
+        half_up(F.avg("uplift_pct")).alias("avg_uplift_pct"),
+        F.sum("units").alias("units"),
+    )
+    # At most one row per duration.
+    best_first = Window.partitionBy(*category).orderBy(F.col("avg_uplift_pct").desc_nulls_last(), F.col("avg_days"))
+    return grouped.withColumn("is_best", flag((F.row_number().over(best_first) == 1) & F.col("avg_uplift_pct").isNotNull()))
+
+
+def uplift_by_depth(mart: DataFrame) -> DataFrame:
+    """How uplift answers to discount depth: a straight line per category, and over all categories.
+
+    One aggregation gives the moments of the categories; those of the whole are their sums.
+    """
+    category = ["sub_department", "section"]
+    sums = stage_table(moments(on_promo(mart), category, "promo_discount_depth_pct", "promo_uplift_pct"), "uplift-moments")
+    whole = merged(sums.withColumn("level", F.lit("overall")), ["level"]).select(
+        "level", *[F.lit(None).cast("string").alias(c) for c in category], *MOMENTS
+    )
+    by_category = sums.select(F.lit("category").alias("level"), *category, *MOMENTS)
+    return solved(by_category.unionByName(whole))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfline.config import Config
-from shelfline.functions.numeric import flag, half_up, stable
-from shelfline.functions.text import is_focus_supplier, level_label, store_label, supplier_label, surrogate_key
+from shelfline.functions.numeric import MONEY, flag, half_up, stable
+from shelfline.functions.text import is_focus_supplier, key_text, level_label, store_label, supplier_label, surrogate_key
 
 _KEY_FIELDS = ["Store_Name", "Item_Code", "Date_Of_Sale", "Quantity", "Total_Sales"]
 _SCORED_FIELDS = 9
@@ -53,6 +53,12 @@ def score_from_checks(passed: Column, rows: Column) -> Column:
     return F.try_divide(passed.cast("double"), rows * _SCORED_FIELDS) * 100
 
 
+def _key_part(sales: DataFrame, name: str) -> Column:
+    """Numbers of more than two decimals enter the key without trailing zeros, so a table's scale does not change its keys."""
+    kind = sales.schema[name].dataType
+    return key_text(F.col(name)) if isinstance(kind, T.DecimalType) and kind.scale > MONEY.scale else F.col(name)
+
+
 def stage_sales(sales: DataFrame, cfg: Config) -> DataFrame:
     """The staging projection."""
     quantity, paid, rrp = F.col("Quantity"), F.col("Total_Sales"), F.col("RRP")
@@ -60,7 +66,7 @@ def stage_sales(sales: DataFrame, cfg: Config) -> DataFrame:
     price = _any_unit_price(paid, quantity)
 
     staged = sales.select(
-        surrogate_key(*[F.col(c) for c in _KEY_FIELDS]).alias("sales_record_id"),
+        surrogate_key(*[_key_part(sales, c) for c in _KEY_FIELDS]).alias("sales_record_id"),
         store_label(F.col("Store_Name")).alias("store_name"),
         F.trim("Item_Code").alias("item_code"),
         F.trim("Item_Barcode").alias("item_barcode"),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from shelfline.functions.numeric import MONEY
 from shelfline.functions.text import column_name, tidy
 from shelfline.operators.check_summary import Check, ChecksFailed, check_summary, not_null
 from shelfline.sources.schema import (
@@ -51,39 +52,75 @@ def _parsed_date(name: str, date_formats: Sequence[str]) -> Column:
     return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)) for f in date_formats]).cast("date")
 
 
-def _parsed(name: str, date_formats: Sequence[str] = ()) -> Column:
+#: What any number is read as to find out the type its column needs.
+_WIDEST = T.DecimalType(38, 18)
+
+
+def number_types(df: DataFrame) -> dict[str, T.DecimalType]:
+    """The type that holds every number of each numeric column exactly, found by one aggregate over the text.
+
+    Columns of at most two decimals are decimal(18,2); others get as many decimals as they need, up to 18, and 28 digits
+    or, with more, 38. Text that is no number, or none that 38 digits with 18 decimals hold, does not count.
+    """
+    names = [c for c in NUMERIC_COLUMNS if c in df.columns]
+    if not names:
+        return {}
+    found = []
+    for c in names:
+        digits = F.split_part(F.abs(F.trim(F.col(c)).try_cast(_WIDEST)).cast("string"), F.lit("."), F.lit(2))
+        decimals = F.length(F.rtrim(digits, F.lit("0")))
+        whole = F.length(F.split_part(F.abs(F.trim(F.col(c)).try_cast(_WIDEST)).cast("string"), F.lit("."), F.lit(1)))
+        found += [F.max(decimals).alias(f"decimals_{c}"), F.max(whole).alias(f"whole_{c}")]
+    most = df.agg(*found).first()
+    types = {}
+    for c in names:
+        scale, whole = most[f"decimals_{c}"] or 0, most[f"whole_{c}"] or 0
+        if scale <= MONEY.scale and whole <= MONEY.precision - MONEY.scale:
+            types[c] = MONEY
+        else:
+            scale = max(scale, MONEY.scale)
+            types[c] = T.DecimalType(28 if whole + scale <= 28 else 38, scale)
+    return types
+
+
+def _parsed(name: str, date_formats: Sequence[str] = (), numbers: dict[str, T.DecimalType] | None = None) -> Column:
     """Typed value, NULL where the text does not parse or does not fit the column exactly."""
     dtype = SALES_SCHEMA[name].dataType
     if isinstance(dtype, T.StringType):
         return F.col(name)
     if isinstance(dtype, T.DateType):
         return _parsed_date(name, date_formats)
-    return F.when(~_inexact(name), F.trim(F.col(name)).try_cast(dtype))
+    return F.when(~_inexact(name), F.trim(F.col(name)).try_cast((numbers or {}).get(name, dtype)))
 
 
 def _inexact(name: str) -> Column:
-    """Whether a number has more decimals than its column keeps; false where the text is no number."""
+    """Whether a number has more than 18 decimals that are not zero; false where the text is no number."""
     text = F.trim(F.col(name))
-    return F.coalesce(text.try_cast(T.DecimalType(38, 18)) != text.try_cast(SALES_SCHEMA[name].dataType), F.lit(False))
+    value = text.try_cast(_WIDEST)
+    beyond = F.regexp_extract(text, r"\.[0-9]{18}([0-9]+)$", 1).rlike("[1-9]")
+    small = text.rlike("[eE]") & (text.try_cast("double") != value.cast("double"))
+    return F.coalesce(value.isNotNull() & (beyond | small), F.lit(False))
 
 
-def _strict(name: str, date_formats: Sequence[str]) -> Column:
+def _strict(name: str, date_formats: Sequence[str], numbers: dict[str, T.DecimalType]) -> Column:
     """Typed value; text that does not parse, or would have to be rounded, stops the load."""
     complaint = F.concat(F.lit(f"{name}: cannot read "), F.col(name))
-    value = _parsed(name, date_formats)
+    value = _parsed(name, date_formats, numbers)
     return F.when(F.col(name).isNotNull() & value.isNull(), F.raise_error(complaint)).otherwise(value)
 
 
 def read_sales(spark: SparkSession, path: str, multi_line: bool = False, date_formats: Sequence[str] = ()) -> DataFrame:
     """The sales table of a CSV file or folder; columns are matched by name.
 
-    ``date_formats`` are tried in order for dates that are not in ISO form.
+    ``date_formats`` are tried in order for dates that are not in ISO form. The file is read twice: the first time
+    to find the number of decimals that keeps all its numbers unchanged, which the table's schema then has.
     """
     text = read_csv_text(spark, path, multi_line)
     missing = [f.name for f in SALES_SCHEMA if f.name not in text.columns]
     if missing:
         raise ValueError(f"CSV has no column {', '.join(missing)}")
-    return text.select(*[_strict(f.name, date_formats).alias(f.name) for f in SALES_SCHEMA])
+    numbers = number_types(text)
+    return text.select(*[_strict(f.name, date_formats, numbers).alias(f.name) for f in SALES_SCHEMA])
 
 
 def load_sales(
@@ -139,17 +176,17 @@ def clean_text_columns(df: DataFrame) -> DataFrame:
 def with_reject_reason(df: DataFrame, date_formats: Sequence[str] = ()) -> DataFrame:
     """Typed columns plus ``reject_reason``, NULL for rows worth keeping.
 
-    A number that does not parse counts as missing, as a missing one does; one with more
-    decimals than the column keeps rejects its row. Without a date column no row is
-    rejected for its date.
+    A number that does not parse counts as missing, as a missing one does; numbers keep all their decimals (see
+    ``number_types``), and one of more than 18 rejects its row. Without a date column no row is rejected for its date.
     """
-    numbers = [c for c in NUMERIC_COLUMNS if c in df.columns]
+    types = number_types(df)
+    numbers = list(types)
     has_date = DATE_COLUMN in df.columns
     reasons = [(_parsed(DATE_COLUMN, date_formats).isNull(), "invalid date")] if has_date else []
     reasons += [(_inexact(c), f"inexact {c}") for c in numbers]
-    reasons += [((_parsed(c) if c in numbers else F.col(c)).isNull(), f"missing {c}") for c in CRITICAL_COLUMNS if c in df.columns]
+    reasons += [((_parsed(c, numbers=types) if c in numbers else F.col(c)).isNull(), f"missing {c}") for c in CRITICAL_COLUMNS if c in df.columns]
     reason = F.coalesce(*[F.when(wrong, text) for wrong, text in reasons], F.lit(None).cast("string"))
-    typed = {c: _parsed(c, date_formats) for c in [*numbers, *([DATE_COLUMN] if has_date else [])]}
+    typed = {c: _parsed(c, date_formats, types) for c in [*numbers, *([DATE_COLUMN] if has_date else [])]}
     return df.withColumns({"reject_reason": reason} | typed)
 
 

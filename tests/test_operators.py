@@ -200,6 +200,29 @@ def test_union_by_pattern(spark):
     assert list(relational.relations_with_prefix(spark, "ev_201801")) == ["ev_20180101", "ev_20180102", "ev_20180103"]
 
 
+def test_relations_of_several_databases(spark):
+    """Two databases with tables and a view, and one that does not match."""
+    for schema in ("shop_north", "shop_south", "depot"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    try:
+        for i, name in enumerate(("shop_north.till_1", "shop_north.till_2", "shop_south.till_1", "depot.till_1", "shop_north.stock")):
+            spark.range(i, i + 1).write.mode("overwrite").saveAsTable(name)
+        spark.sql("CREATE OR REPLACE VIEW shop_north.till_view AS SELECT id + 100 AS id FROM shop_north.till_1")
+        spark.range(1).createOrReplaceTempView("till_temporary")
+        found = relational.relations_like(spark, "TILL%", database="shop%")
+        assert list(found) == ["shop_north.till_1", "shop_north.till_2", "shop_north.till_view", "shop_south.till_1"]
+        assert found["shop_north.till_view"] == "VIEW"
+        assert list(relational.relations_with_prefix(spark, "till", "%2", "shop_north", ["table"])) == ["shop_north.till_1"]
+        union = relational.union_by_pattern(spark, "till%", database="SHOP%", types=["TABLE"])
+        assert rows_of(union) == [("shop_north.till_1", 0), ("shop_north.till_2", 1), ("shop_south.till_1", 2)]
+        assert "till_temporary" in relational.relations_like(spark, "till%")
+        with pytest.raises(ValueError, match="no relation"):
+            relational.union_by_pattern(spark, "till%", database="nowhere")
+    finally:
+        for schema in ("shop_north", "shop_south", "depot"):
+            spark.sql(f"DROP DATABASE IF EXISTS {schema} CASCADE")
+
+
 def test_generate_series(spark):
     assert rows_of(series.generate_series(spark, 10)) == sorted([(i,) for i in range(1, 11)], key=str)
     with pytest.raises(ValueError):

@@ -1,6 +1,7 @@
 """Staging, marts, summaries and reports on hand-computed rows."""
 
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -343,6 +344,54 @@ def test_build_all(spark, cfg, tmp_path):
     assert again["sales"].count() == 3
 
 
+def days_of(*offsets):
+    return [date(2025, 1, 1) + timedelta(days=d) for d in offsets]
+
+
+def classified_rows(spark, rows):
+    """(store, item, day, on promo, quantity, baseline) as classified daily rows."""
+    schema = (
+        "store_name string, item_code string, product_description string, supplier string, is_focus int, sub_department string, section string,"
+        "sale_date date, is_on_promo int, daily_quantity decimal(18,2), baseline_daily_quantity double"
+    )
+    full = [(store, item, "d", "x", 0, "dept", item[:1] if item else None, day, on, Decimal(quantity), base) for store, item, day, on, quantity, base in rows]
+    return spark.createDataFrame(full, schema)
+
+
+def test_promo_runs(spark):
+    d = days_of(0, 1, 2, 5, 9, 20)
+    rows = [("s", "A1", d[0], 1, 8, 3.0), ("s", "A1", d[1], 1, 4, 3.0), ("s", "A1", d[2], 0, 2, 3.0), ("s", "A1", d[3], 1, 4, 3.0)]
+    rows += [("t", "A1", d[0], 1, 6, 3.0), ("s", None, d[0], 1, 6, None), ("s", None, d[1], 1, 6, None), ("s", "A1", None, 1, 6, 3.0)]
+    runs = promo.promo_runs(classified_rows(spark, rows))
+    shown = rows_of(runs, "store_name", "item_code", "first_day", "duration_days", "promo_days", "uplift_pct")
+    assert shown == sorted([("s", "A1", d[0], 2, 2, 200.0), ("s", "A1", d[3], 1, 1, 100.0), ("t", "A1", d[0], 1, 1, 100.0), ("s", None, d[0], 2, 2, None)], key=str)
+    wide = promo.promo_runs(classified_rows(spark, rows), max_gap_days=4)
+    assert ("s", "A1", 6, 3) in rows_of(wide, "store_name", "item_code", "duration_days", "promo_days")
+    with pytest.raises(ValueError):
+        promo.promo_runs(classified_rows(spark, rows), 0)
+
+
+def test_promo_duration_of_a_hot_item(spark):
+    """One item holds nearly all rows: every second week of three years in many stores, beside a few others."""
+    rows = [(f"s{store}", "H1", day, int(n % 14 < 7), 10 if n % 14 < 7 else 5, 5.0) for store in range(12) for n, day in enumerate(days_of(*range(1096)))]
+    rows += [("s0", "B1", day, 1, 9, 3.0) for day in days_of(0, 10)] + [("s0", "C1", days_of(0)[0], 1, 9, None)]
+    found = rows_of(promo.promo_duration_by_category(classified_rows(spark, rows).repartition(4)))
+    per_store = 79  # 78 whole fortnights and a last promotion of four days
+    assert found == sorted(
+        [
+            ("dept", "H", "2-7 days", 12 * per_store, round((78 * 7 + 4) / 79, 2), 100.0, 12.0 * (78 * 70 + 40), 1),
+            ("dept", "B", "1 day", 2, 1.0, 200.0, 18.0, 1),
+            ("dept", "C", "1 day", 1, 1.0, None, 9.0, 0),
+        ],
+        key=str,
+    )
+
+
+def test_duration_labels(spark):
+    df = spark.createDataFrame([(1,), (2,), (7,), (8,), (14,), (28,), (29,)], "days int").select(promo.duration_label(F.col("days")))
+    assert [r[0] for r in df.collect()] == ["1 day", "2-7 days", "2-7 days", "8-14 days", "8-14 days", "15-28 days", "29+ days"]
+
+
 def test_config_is_validated():
     for bad in ({"promo_threshold": 0}, {"promo_threshold": 1.5}):
         with pytest.raises(ValueError):

@@ -1,14 +1,17 @@
 """CSV loading, cleaning, layers and JSON."""
 
+import hashlib
 import json
 import math
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import first, rows_of, sale, sales_frame
 from shelfline.operators.check_summary import ChecksFailed, not_null
+from shelfline.plans import staging
 from shelfline.sources import ingest, sinks
 from shelfline.sources.schema import SALES_SCHEMA
 
@@ -42,7 +45,7 @@ def test_columns_are_matched_by_name(spark, tmp_path):
     assert rows_of(ingest.read_sales(spark, path), "Store_Name", "Item_Code") == [("North", "10")]
 
 
-@pytest.mark.parametrize("position,value", [(8, "two"), (12, "yesterday"), (12, "10:30"), (8, "0.455"), (10, "11.999")])
+@pytest.mark.parametrize("position,value", [(8, "two"), (12, "yesterday"), (12, "10:30"), (8, "0.4550000000000000001"), (10, "1e-20"), (9, "123456789012345678901")])
 def test_strict_load_refuses_unreadable_values(spark, tmp_path, position, value):
     with pytest.raises(Exception, match="cannot read"):
         ingest.read_sales(spark, write(tmp_path, GOOD, changed(position, value))).collect()
@@ -96,11 +99,35 @@ def test_dates_in_several_formats(spark, tmp_path):
     assert rows_of(rejected) == [("invalid date", 1)]
 
 
+def test_numbers_keep_their_decimals(spark, tmp_path):
+    path = write(tmp_path, GOOD, changed(8, "0.455"), changed(8, "875.5"), changed(10, "11.999"), changed(9, "1e3"), changed(8, ""))
+    df = ingest.read_sales(spark, path)
+    assert [df.schema[c].dataType.simpleString() for c in ("Quantity", "Total_Sales", "RRP")] == ["decimal(28,3)", "decimal(18,2)", "decimal(28,3)"]
+    assert sorted(r[0] for r in df.filter("Quantity is not null").select("Quantity").collect()) == [Decimal(x) for x in ("0.455", "2", "2", "2", "875.5")]
+    ingest.load_sales(spark, path, str(tmp_path / "table"))
+    assert spark.read.parquet(str(tmp_path / "table")).schema == df.schema
+    wide = write(tmp_path, changed(8, "12345678901234567890.123456789012345678"), changed(8, "0.1"))
+    assert ingest.read_sales(spark, wide).agg(F.max("Quantity")).first()[0] == Decimal("12345678901234567890.123456789012345678")
+
+
+def test_more_decimals_in_a_file_change_no_key(spark, tmp_path, cfg):
+    def keys(*lines):
+        rows = staging.stage_sales(ingest.read_sales(spark, write(tmp_path, *lines)), cfg)
+        return {float(r["quantity"]): r["sales_record_id"] for r in rows.collect()}
+
+    plain = keys(changed(8, "875.5"), changed(8, "-3"), changed(8, "0"))
+    finer = keys(changed(8, "875.5"), changed(8, "-3"), changed(8, "0"), changed(8, "0.455"), changed(8, "100.1000"))
+    assert all(finer[q] == key for q, key in plain.items()) and len(set(finer.values())) == 5
+    parts = "-".join(["North", "10", "2025-09-22", "0.455", "20.50"])
+    assert finer[0.455] == hashlib.md5(parts.encode()).hexdigest()
+
+
 def test_cleaning_without_dates_and_with_too_many_decimals(spark, tmp_path):
-    path = write(tmp_path, GOOD[:12], changed(8, "0.455")[:12], changed(10, "11.999")[:12], header=HEADER[:12])
+    path = write(tmp_path, GOOD[:12], changed(8, "0.455")[:12], changed(10, "0.1234567890123456789")[:12], header=HEADER[:12])
     clean = ingest.clean_text_columns(ingest.read_csv_text(spark, path))
-    assert ingest.coerce_and_drop_invalid(clean)[0].count() == 1
-    assert rows_of(ingest.reject_counts(clean)) == [("inexact Quantity", 1), ("inexact RRP", 1)]
+    kept = ingest.coerce_and_drop_invalid(clean)[0]
+    assert sorted(str(r[0]) for r in kept.select("Quantity").collect()) == ["0.455", "2.000"]
+    assert rows_of(ingest.reject_counts(clean)) == [("inexact RRP", 1)]
 
 
 def test_a_failing_build_leaves_the_old_table(spark, tmp_path):
