@@ -70,11 +70,12 @@ def may_be_among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
         return F.pmod(place(value), F.lit(_MAP_PART))
 
     name = ids.columns[0]
-    marked = ids.groupBy(part(F.col(name)).alias("map_part")).agg(F.bitmap_construct_agg(bit(F.col(name))).alias("map_bits"))
+    marked = ids.groupBy(part(F.col(name)).alias("__map_part")).agg(F.bitmap_construct_agg(bit(F.col(name))).alias("__map_bits"))
     own = bit(F.col(column))
-    byte = F.conv(F.hex(F.substring("map_bits", F.floor(own / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring("__map_bits", F.floor(own / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     is_set = F.getbit(byte, F.pmod(own, F.lit(8)).cast("int")) == 1
-    return rows.join(F.broadcast(marked), part(F.col(column)) == F.col("map_part")).where(is_set).select(*rows.columns)
+    known = rows.where(F.col(column).isNotNull())
+    return known.join(F.broadcast(marked), part(F.col(column)) == F.col("__map_part")).where(is_set).select(*rows.columns)
 
 
 def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:

@@ -93,8 +93,8 @@ def _values(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(v, np.uint64) for v in column.to_pylist()]
 
 
-def value_counters(reps: DataFrame) -> np.ndarray:
-    """How common sketch values are, in a fixed number of counters that share values by hash.
+def value_counters(values: DataFrame) -> np.ndarray:
+    """How common the values in the one column are, in a fixed number of counters that share values by hash.
 
     Any order of the values is right as long as all texts use the same; the counters
     put common values last. 2 ** _COUNTER_BITS numbers reach the driver at any size.
@@ -119,7 +119,7 @@ def value_counters(reps: DataFrame) -> np.ndarray:
                 total += np.frombuffer(c, "<i8")
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([total.tobytes()])], ["block", "counts"])
 
-    summed = reps.select("sketch").mapInArrow(count, "block long, counts binary").groupBy("block").applyInArrow(add, "block long, counts binary")
+    summed = values.mapInArrow(count, "block long, counts binary").groupBy("block").applyInArrow(add, "block long, counts binary")
     out = np.zeros(size, np.int64)
     for row in summed.collect():
         out[row["block"] * _COUNTER_BLOCK :][:_COUNTER_BLOCK] = np.frombuffer(row["counts"], "<i8")
@@ -415,7 +415,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     usable = table.where("n > 0 and doc_id is not null")
     reps = _representatives(usable, scratch)
 
-    lists = scratch.write(_first_lists(reps, value_counters(reps), threshold), "lists")
+    lists = scratch.write(_first_lists(reps, value_counters(reps.select("sketch")), threshold), "lists")
     members = scratch.write(_members(lists, scratch), "members")
     scratch.drop(lists)
     pairs = scratch.write(_sketches_agree(_short_pairs(members, threshold), reps, threshold), "pairs")

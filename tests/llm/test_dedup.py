@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from shelfline.llm import near_dups, repeats
+from shelfline.llm.common import may_be_among
 
 
 def groups(texts, shingle, percent):
@@ -44,6 +45,39 @@ def test_near_duplicates_with_repeated_and_missing_ids(spark, texts, no_docs):
     assert near_dups.one_of_each_group(docs, 3, 85).count() == 3
 
 
+def passage_texts(n, own, rng):
+    """Texts that share 700 words and have ``own`` words each; every tenth group of three is copied with a few words changed."""
+    passage = [f"p{k}" for k in range(700)]
+    texts = []
+    for i in range(n):
+        words = [*passage, *(f"w{i}x{k}" for k in range(own))]
+        if i % 10 < 2 and i:
+            words = texts[i - 1].split(" ")
+            for at in rng.sample(range(len(words)), 8):
+                words[at] = f"e{i}x{at}"
+        texts.append(" ".join(words))
+    return texts
+
+
+def test_more_texts_with_one_passage_than_a_family_holds(spark):
+    """1,300 texts of ordinary length in one list, with the constants as they are."""
+    texts = passage_texts(1300, 500, random.Random(12))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(docs, 3, 85).collect()}
+    # Only a text and the copies made of it are near.
+    for i in range(1300):
+        assert got[i] == (i - i % 10 + (-1 if i >= 10 else 0) if i % 10 < 2 and i >= 10 else 0 if i < 2 else i), i
+
+
+def test_ids_that_may_be_wanted(spark):
+    docs = spark.range(-500, 500).selectExpr("if(id = 7, null, id) as doc_id", "string(id) as text", "'x' as map_part", "'y' as map_bits")
+    wanted = spark.createDataFrame([(i,) for i in (-500, -1, 0, 3, 499, 9999, None)], "doc_id long")
+    found = may_be_among(docs, "doc_id", wanted)
+    assert found.columns == docs.columns
+    assert sorted(r["doc_id"] for r in found.collect()) == [-500, -1, 0, 3, 499]
+    assert may_be_among(docs, "doc_id", wanted.limit(0)).count() == 0
+
+
 def removed(texts, length=100):
     data = {d: (t or "").encode() for d, t in texts}
     first = {}

@@ -49,6 +49,29 @@ def test_token_files(spark, docs, texts, no_docs):
     assert token_files.read_token_files(spark, empty).count() == 0
 
 
+def test_ids_equal_the_library_around_all_blanks():
+    """Blanks of every kind beside each other, letters, marks, digits and special tokens; the remembered pieces overflow on the way."""
+    rng = random.Random(7)
+    coder = token_files.Tokens(token_files.tokenizer_path(TOKENIZER))
+    blanks = [chr(c) for c in (*range(0x20), 0x20, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)]
+    letters = ["a", "the", "it's", "12", "é", "漢", "...", "#", "'", "\u0301", "😀"]
+    for k in range(200):
+        texts = ["".join(rng.choice((rng.choice(blanks), rng.choice(letters), " ")) for _ in range(rng.randint(0, 14))) for _ in range(100)]
+        texts += ["a <|endoftext|> b", " <|endoftext|>", "x" * 300 + " y"] if k % 10 == 0 else []
+        wanted = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [ids.tolist() for ids in coder.ids(texts)] == wanted
+    assert not any(len(piece) > token_files.LONG_PIECE for piece in coder.known)
+
+
+def test_trusted_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 100)
+    labels = spark.range(5000).selectExpr("id % 4000 as doc_id")
+    found = [r[0] for r in quality.trusted_ids(labels).collect()]
+    assert len(found) == len(set(found)) == 100
+    assert sorted(r[0] for r in quality.trusted_ids(labels.repartition(7)).collect()) == sorted(found)
+    assert quality.trusted_ids(labels.limit(60)).count() <= 60
+
+
 def test_language(spark, no_docs):
     rng = random.Random(4)
     parts = {"xx": "ba ko li mu ne".split(), "yy": "strö schü wenf ölk arz".split()}
@@ -98,13 +121,16 @@ def test_quality(spark, docs, texts, no_docs):
         np.add.at(raw, grams(t), 1)
         if d < 30:
             np.add.at(target, grams(t), 1)
-    ratio = np.log((target + 1) / (target.sum() + quality.BUCKETS)) - np.log((raw + 1) / (raw.sum() + quality.BUCKETS))
+    share = (raw + 1) / (raw.sum() + quality.BUCKETS)
+    ratio = np.log((target + quality.PRIOR * share) / (target.sum() + quality.PRIOR) / share)
     whole = np.round(ratio * 1e6)
     scores = {d: whole[grams(t)].sum() / max(1, len(grams(t))) / 1e6 for d, t in texts}
     for r in got:
         if r["doc_id"] < 500 and r["n_words"]:
             assert r["score"] == pytest.approx(scores[r["doc_id"]], abs=2e-6)
             assert r["kept"] == (not r["base_failed"] and r["score"] >= quality.MIN_SCORE)
+    unlabelled = quality.judge(docs, labels.limit(0)).where("n_words > 0")
+    assert unlabelled.where("score <> 0 or kept = base_failed").count() == 0
     assert quality.judge(no_docs, labels).count() == 0
     assert quality.judge(docs, labels.limit(0)).count() == len(texts)
 
