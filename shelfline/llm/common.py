@@ -49,6 +49,24 @@ class Scratch:
             target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Hashes that bounded_sample orders by lie below this.
+PLACES = 1 << 40
+
+
+def bounded_sample(rows: DataFrame, hashed: Column, limit: int) -> DataFrame:
+    """At most ``limit`` of the ``rows``, those with the smallest hashes; all of them if they are not more.
+
+    ``rows`` should be narrow and cheap to scan (a table). They are counted first, so only little more than the rows wanted are ordered
+    and no task holds more than these.
+    """
+    whole = rows.count()
+    if whole <= limit:
+        return rows
+    place = F.pmod(hashed, F.lit(PLACES))
+    wanted = limit + 8 * int(limit**0.5)
+    return rows.where(place < int(PLACES * min(1.0, wanted / whole))).orderBy(place, *rows.columns).limit(limit)
+
+
 #: Bits of the map that may_be_among broadcasts: 4 MB at any size of its tables.
 MAP_BITS = 1 << 25
 _MAP_PART = 1 << 15

@@ -18,19 +18,22 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfline.llm.common import map_arrow, prepare
+from shelfline.llm.common import Scratch, bounded_sample, map_arrow, prepare
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 #: Documents the field is trained on, and the most nodes one of them may have.
 SAMPLE, SAMPLE_NODES = 2000, 200
 FEATURE_BITS = 12
+#: Characters of the texts whose graphs are worked on together.
+GRAPH_CHARS = 1 << 20
 #: Messages have settled when none changes by more; they stop after ROUNDS if they never do.
 SETTLED, ROUNDS = 1e-3, 200
 #: Least marginal probability of an added span.
@@ -239,7 +242,10 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def marginals(field: Field, g: Graph, rounds: int = ROUNDS) -> np.ndarray:
-    """Label probabilities of every node by loopy belief propagation; base labels are given."""
+    """Label probabilities of every node by loopy belief propagation; base labels are given.
+
+    The messages of each text are passed until they have settled, whatever other texts the graph holds.
+    """
     n = len(LABELS)
     own = np.zeros((len(g.features), n))
     for i, f in enumerate(g.features):
@@ -248,18 +254,29 @@ def marginals(field: Field, g: Graph, rounds: int = ROUNDS) -> np.ndarray:
     own[given] = np.where(np.eye(n)[g.label[given]] > 0, 0.0, -1e3)
     one, two, kind = g.edges.T
     source, target = np.concatenate((one, two)), np.concatenate((two, one))
-    table = np.concatenate((field.pairs[kind], field.pairs[kind].transpose(0, 2, 1)))
     back = np.concatenate((np.arange(len(one)) + len(one), np.arange(len(one))))
+    text = np.array(g.owner, np.int64)[source] if len(g.owner) else np.zeros(len(source), np.int64)
+    # One table of label pairs for each kind of edge and direction.
+    tables = np.concatenate((field.pairs, field.pairs.transpose(0, 2, 1)))
+    which = np.concatenate((kind, kind + len(field.pairs)))
     message = np.zeros((len(source), n))
-    for _ in range(rounds if len(source) else 0):
+    moving = np.arange(len(source))
+    for _ in range(rounds):
+        if not len(moving):
+            break
         belief = own.copy()
         np.add.at(belief, target, message)
-        out = _log_sum((belief[source] - message[back])[:, :, None] + table, axis=1)
+        coming = belief[source[moving]] - message[back[moving]]
+        out = np.empty_like(coming)
+        for table in np.unique(which[moving]).tolist():
+            mine = which[moving] == table
+            for label in range(n):
+                out[mine, label] = _log_sum(coming[mine] + tables[table][:, label], axis=1)
         out -= out.max(axis=1, keepdims=True)
-        change = np.abs(out - message).max()
-        message = 0.5 * message + 0.5 * out
-        if change < SETTLED:
-            break
+        change = np.zeros(int(text.max()) + 1)
+        np.maximum.at(change, text[moving], np.abs(out - message[moving]).max(axis=1))
+        message[moving] = 0.5 * message[moving] + 0.5 * out
+        moving = moving[change[text[moving]] >= SETTLED]
     belief = own.copy()
     np.add.at(belief, target, message)
     belief -= belief.max(axis=1, keepdims=True)
@@ -268,16 +285,22 @@ def marginals(field: Field, g: Graph, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def learn(docs: DataFrame) -> Field:
-    """Train on SAMPLE documents with nodes (the first by a hash of id and text, at most SAMPLE_NODES nodes each)."""
-    prepare(docs.sparkSession)
+    """Train on at most SAMPLE different documents with nodes (the first by a hash of id and text, at most SAMPLE_NODES nodes each).
 
-    def candidates(batch: pa.RecordBatch) -> dict:
+    Their hashes are found first, without the texts; then the texts are fetched by the hashes.
+    """
+    scratch = Scratch(prepare(docs.sparkSession), "private-data")
+
+    def usable(batch: pa.RecordBatch) -> dict:
         texts = [t or "" for t in batch.column(1).to_pylist()]
-        marked = [len(_MARK.findall(t)) > 0 and sum(1 for w in _WORD.finditer(t) if _MARK.search(w.group())) for t in texts]
-        return {"text": batch.column(1), "order": batch.column(0), "use": [0 < n <= SAMPLE_NODES for n in marked]}
+        marked = [sum(1 for w in _WORD.finditer(t) if _MARK.search(w.group())) if _MARK.search(t) else 0 for t in texts]
+        return {"order": batch.column(0), "use": [0 < n <= SAMPLE_NODES for n in marked]}
 
     rows = docs.select(F.xxhash64("doc_id", "text").alias("order"), "text").where(F.col("text").rlike("[0-9@]"))
-    sample = map_arrow(rows, candidates, "text string, order long, use boolean").where("use").orderBy("order", "text").limit(SAMPLE)
+    orders = scratch.write(map_arrow(rows, usable, "order long, use boolean").where("use").select("order").distinct(), "orders")
+    chosen = scratch.write(bounded_sample(orders, F.col("order"), SAMPLE), "chosen")
+    # At most SAMPLE hashes are broadcast, and of copies of one row one is taken.
+    sample = rows.join(F.broadcast(chosen), "order", "left_semi").groupBy("order").agg(F.min("text").alias("text"))
     # Bounded: SAMPLE texts' graphs. They are built on the executors and only numbers come back.
     def numbers(batch: pa.RecordBatch) -> dict:
         g = graph_of([(t, base_spans(t)) for t in batch.column(0).to_pylist()])
@@ -294,6 +317,18 @@ def learn(docs: DataFrame) -> Field:
     return train(graphs)
 
 
+def _runs(sizes: list[int]) -> Iterator[range]:
+    """Runs of texts of about GRAPH_CHARS characters; a longer text stands alone, since its nodes depend on each other."""
+    start, size = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and size + n > GRAPH_CHARS:
+            yield range(start, i)
+            start, size = i, 0
+        size += n
+    if sizes:
+        yield range(start, len(sizes))
+
+
 def find_private(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
@@ -314,8 +349,8 @@ def find_private(docs: DataFrame, field: Field | None = None) -> DataFrame:
         whole = [{k: list(v) for k, v in b.items()} for b in base]
         marked = [i for i, t in enumerate(texts) if _MARK.search(t)]
         added = [0] * len(texts)
-        for first in range(0, len(marked), 200):
-            some = marked[first : first + 200]
+        for some in _runs([len(texts[i]) for i in marked]):
+            some = [marked[k] for k in some]
             g = graph_of([(texts[i], base[i]) for i in some])
             if not len(g.label) or (g.label > 0).all():
                 continue

@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfline.llm.common import Scratch, prepare
+from shelfline.llm.common import Scratch, bounded_sample, prepare
 
 BUCKETS = 1 << 14
 PRIOR = float(BUCKETS)
@@ -85,17 +85,9 @@ def grams(words: Column) -> Column:
 
 
 def trusted_ids(trusted: DataFrame) -> DataFrame:
-    """trusted_id: the distinct ids of ``trusted``, of more than ``SAMPLE`` those with the smallest hashes.
-
-    They are counted first, so that only little more than the ids wanted are ordered.
-    """
+    """trusted_id: the distinct ids of ``trusted``, of more than ``SAMPLE`` those with the smallest hashes."""
     ids = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct()
-    whole = ids.count()
-    if whole <= SAMPLE:
-        return ids
-    place = F.pmod(F.xxhash64("trusted_id"), F.lit(1 << 40))
-    wanted = SAMPLE + 8 * int(SAMPLE**0.5)
-    return ids.where(place < int((1 << 40) * min(1.0, wanted / whole))).orderBy(place, "trusted_id").limit(SAMPLE)
+    return bounded_sample(ids, F.xxhash64("trusted_id"), SAMPLE)
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, scratch: Scratch) -> DataFrame:

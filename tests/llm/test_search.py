@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 
 from shelfline.llm import decontaminate, licenses, private_data
@@ -159,3 +160,65 @@ def test_a_word_repeated_often_gets_one_label(spark):
         spans = {tuple(map(int, s.split(":")[1:])) for s in got[doc]["spans"].split(",") if s.startswith("phone:")}
         missed = [m.span() for m in re.finditer("010-7788", text) if not any(a <= m.start() and m.end() <= b for a, b in spans)]
         assert not missed and got[doc]["n_added"] >= 50
+
+
+def test_marginals_equal_enumeration_and_do_not_depend_on_neighbours():
+    """Trees of nodes with random weights, some labels given: belief propagation is exact on them."""
+    from itertools import product
+
+    rng = np.random.default_rng(4)
+    labels, features = len(private_data.LABELS), 6
+    field = private_data.Field(rng.normal(size=(features, labels)), rng.normal(size=(3, labels, labels)) * 1.5)
+    field.pairs += field.pairs.transpose(0, 2, 1)
+    graphs = []
+    for size in (1, 2, 3, 5, 6):
+        edges = [(int(rng.integers(0, i)), i, int(rng.integers(0, 3))) for i in range(1, size)]
+        label = np.where(rng.random(size) < 0.25, rng.integers(1, labels, size), 0)
+        own = [rng.integers(0, features, int(rng.integers(0, 4))).tolist() for _ in range(size)]
+        graphs.append(private_data.Graph([(0, 0)] * size, [0] * size, label, own, np.array(edges, np.int64).reshape(-1, 3)))
+    alone = [private_data.marginals(field, g, 400) for g in graphs]
+    for g, found in zip(graphs, alone, strict=True):
+        total = np.zeros((len(g.features), labels))
+        for states in product(range(labels), repeat=len(g.features)):
+            if any(known and known != s for known, s in zip(g.label, states, strict=True)):
+                continue
+            energy = sum(field.unary[f, s] for s, own, known in zip(states, g.features, g.label, strict=True) if not known for f in own)
+            energy += sum(field.pairs[k, states[a], states[b]] for a, b, k in g.edges.tolist())
+            total[np.arange(len(states)), list(states)] += np.exp(energy)
+        assert found == pytest.approx(total / total.sum(axis=1, keepdims=True), abs=2e-3)
+    # All texts in one graph: to the last bit the same.
+    at = np.cumsum([0, *(len(g.features) for g in graphs)])
+    whole = private_data.Graph(
+        [(0, 0)] * at[-1], [i for i, g in enumerate(graphs) for _ in g.features], np.concatenate([g.label for g in graphs]),
+        [f for g in graphs for f in g.features], np.concatenate([g.edges + [[a, a, 0]] for g, a in zip(graphs, at, strict=False)]),
+    )
+    assert (private_data.marginals(field, whole, 400) == np.concatenate(alone)).all()
+
+
+def test_spans_do_not_depend_on_batches(spark, monkeypatch):
+    rows = [(i, f"call +1 (555) 010-{1000 + i} or 010-{1000 + i}, mail x{i}@y.org, host 10.0.0.{i}, then 010-{900 + i} " * (1 + i % 3)) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (3, rows[3][1]), (None, "a@b.cc 1.2.3.4"), (7000, "1 " * 30_000)], "doc_id long, text string").selectExpr("*", "1 as n_ip", "'x' as spans")
+    field = private_data.learn(docs)
+    results = []
+    for parts, chars in ((1, 1 << 20), (5, 100)):
+        monkeypatch.setattr(private_data, "GRAPH_CHARS", chars)
+        results.append(sorted((tuple(r) for r in private_data.find_private(docs.repartition(parts), field).collect()), key=str))
+    assert results[0] == results[1]
+    again = private_data.learn(docs.repartition(4))
+    assert np.allclose(field.unary, again.unary) and np.allclose(field.pairs, again.pairs)
+    for doc_id, *counts, digest, spans, added in results[0]:
+        if doc_id is not None and doc_id < 100:
+            base = private_data.base_spans(rows[doc_id][1])
+            listed = ",".join(f"{k}:{a}:{b}" for k in private_data.KINDS for a, b in sorted(base[k]))
+            assert digest == hashlib.sha256(listed.encode()).hexdigest()
+            assert counts == [len(base[k]) for k in private_data.KINDS]
+            assert set(filter(None, listed.split(","))) <= set(spans.split(",")) and len(spans.split(",")) == sum(counts) + added
+
+
+def test_sample_of_a_field_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(private_data, "SAMPLE", 30)
+    rows = [(i, f"x{i}@y.org") for i in range(400)] + [(1, "x1@y.org")] * 200
+    seen = []
+    monkeypatch.setattr(private_data, "train", lambda graphs: seen.append(sum(len(g.features) for g in graphs)))
+    private_data.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert seen == [30]
