@@ -26,7 +26,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfline.llm.common import Scratch, prepare
+from shelfline.llm.common import Scratch, bounded_sample, prepare
 from shelfline.llm.quality import let, words_of
 
 # Formats of issued credentials, by kind; a hex value counts only behind a key that names a credential.
@@ -202,8 +202,8 @@ def labelled(findings: DataFrame) -> DataFrame:
 
 def train(rows: DataFrame, trees: int = 30, depth: int = 6, seed: int = 7) -> PipelineModel | None:
     """A forest from at most SAMPLE findings of each label (columns FEATURES and label), or None if a label is missing."""
-    order = F.xxhash64("value", "place")
-    parts = [rows.where(F.col("label") == label).orderBy(order, "value", "row", "place", "part").limit(SAMPLE) for label in (0.0, 1.0)]
+    order = F.xxhash64("doc_id", "value", "place", "part")
+    parts = [bounded_sample(rows.where(F.col("label") == label), order, SAMPLE) for label in (0.0, 1.0)]
     if any(part.limit(1).count() == 0 for part in parts):
         return None
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
