@@ -9,7 +9,7 @@ bound), which must lie inside the document (length bound). What is left is verif
 word by word.
 
 The benchmark is worked through in blocks of at most ``block_words`` words, so what
-is sent to the executors has a fixed bound; documents pass all blocks in one job.
+is sent to the executors has a fixed bound; between blocks the documents and what is known of them are written.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfline.llm.common import map_arrow, prepare
+from shelfline.llm.common import Scratch, map_arrow, prepare
 from shelfline.llm.text import ALNUM, HashIndex, Words, chunks, texts_of, words_of
 
 
@@ -173,12 +173,18 @@ def _marked(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int, co
     state = docs.select(
         F.struct("*").alias("row"), F.lit(None).cast("binary").alias("hits"), F.array().cast("array<string>").alias("found")
     )
+    scratch, written = Scratch(docs.sparkSession, "decontaminate"), None
     for block in range(n_blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect()
         windows = item_windows([(r["item_id"], r["text"]) for r in rows], window)
         if windows:
             prefixes = choose_prefixes(windows, shingle_counts(docs, windows, shingle), shingle, containment)
             state = _mark(state, windows, prefixes, shingle, containment)
+            if block < n_blocks - 1:
+                # Written, so that no task ever holds more than one block's windows.
+                state = scratch.write(state, "marked")
+                scratch.drop(written)
+                written = state
     return state
 
 
