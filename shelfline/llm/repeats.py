@@ -42,6 +42,8 @@ MER = 40
 #: Most windows of one piece, which bounds the rounds of the construction.
 PIECE = 64
 BLOCK = 1 << 19
+#: Bytes of text for which there is a bucket at least.
+BUCKET_BYTES = 128 << 20
 #: Documents sampled for hashes with very many pieces, and from how many pieces there a hash is dealt by window.
 SAMPLE, HOT = 20_000, 20
 _LAST = np.int64((1 << 63) - 1)
@@ -501,7 +503,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     sub = F.xxhash64("text") if repeated else F.lit(0).cast("long")
     keyed = docs.select("doc_id", "text", number.alias("doc"), sub.alias("sub"))
     hot = hot_hashes(keyed.select("doc", "sub", "text"))
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    # A task unpacks its bucket, so their number grows with the text.
+    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     dealt = _deal(keyed.select("doc", "sub", "text"), buckets, hot).repartitionById(buckets, "bucket")
     by_key = scratch.write(dealt.mapInArrow(_compare_keys, _SCHEMA).select("doc", "sub", "cuts", "wanted"), "keys")
     by_doc = by_key.groupBy("doc", "sub").agg(F.collect_list("cuts").alias("cuts"), F.collect_list("wanted").alias("wanted"))

@@ -99,6 +99,7 @@ def removed(texts, length=100):
 def test_repeats_equal_brute_force(monkeypatch, docs, texts, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
     monkeypatch.setattr(repeats, "BLOCK", 5000)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 3000 * hot)
     got = {r["doc_id"]: tuple(r)[1:] for r in repeats.remove_repeats(docs).drop("spans").collect()}
     assert got == removed(texts)
 
