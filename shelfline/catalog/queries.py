@@ -17,7 +17,7 @@ from shelfline.operators.table_diff import table_diff
 from shelfline.plans import pricing, promo, quality, reports, staging
 from shelfline.session import configure, scratch_path, stage_table
 from shelfline.sources import ingest, sinks
-from shelfline.sources.tpch_sales import sales_rows, sales_table, table
+from shelfline.sources.tpch_sales import SALES_TABLES, sales_rows, sales_table, state_of, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,19 +77,23 @@ def price_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pricing.build_price_mart(staged_sales(spark, sf_dir))
 
 
-@lru_cache(maxsize=None)
-def _written_mart(spark: SparkSession, application: str, sf_dir: str, build: Query) -> DataFrame:
+@lru_cache(maxsize=16)
+def _written_mart(spark: SparkSession, application: str, sf_dir: str, state: tuple, build: Query) -> DataFrame:
     return stage_table(build(spark, sf_dir), "mart")
 
 
+def _mart_table(spark: SparkSession, sf_dir: str, build: Query) -> DataFrame:
+    return _written_mart(spark, spark.sparkContext.applicationId, sf_dir, state_of(spark, sf_dir, SALES_TABLES), build)
+
+
 def promo_mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The promotions mart as summaries and reports find it: built once per application and read from then on."""
-    return _written_mart(spark, spark.sparkContext.applicationId, sf_dir, promo_mart)
+    """The promotions mart as summaries and reports find it: built once per application and content of the sources."""
+    return _mart_table(spark, sf_dir, promo_mart)
 
 
 def price_mart_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The price mart, likewise."""
-    return _written_mart(spark, spark.sparkContext.applicationId, sf_dir, price_mart)
+    return _mart_table(spark, sf_dir, price_mart)
 
 
 def issues(spark: SparkSession, sf_dir: str) -> DataFrame:

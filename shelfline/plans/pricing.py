@@ -47,6 +47,7 @@ def price_index_of(price: Column, benchmark: Column) -> Column:
     return F.when(benchmark > 0, half_up(price / benchmark * 100))
 
 
+# Limits and labels of a position.
 def price_positioning(index: Column) -> Column:
     return (
         F.when(index.isNull(), "unknown")
@@ -56,6 +57,7 @@ def price_positioning(index: Column) -> Column:
     )
 
 
+# Limits and labels of a tier.
 def price_tier(index: Column) -> Column:
     return (
         F.when(index.isNull(), "No Competition Data")
@@ -126,6 +128,7 @@ _TOTALS = [
 ]
 
 
+# Labels of the levels.
 def _level(name: str) -> Column:
     """Keys of one summary level; the columns a level leaves out are NULL."""
     kept = {
@@ -209,6 +212,7 @@ def _level_constant(name: str) -> Column:
     )
 
 
+# Labels of the dominant position.
 def dominant_positioning(discount: Column, at_market: Column, premium: Column) -> Column:
     """The position with strictly the most store SKUs."""
     return (

@@ -23,6 +23,7 @@ _FLAGS = {
 }
 
 
+# Limits and labels of the ratings.
 def health_rating(score: Column) -> Column:
     return (
         F.when(score >= 90, "Excellent")
@@ -33,6 +34,7 @@ def health_rating(score: Column) -> Column:
     )
 
 
+# Limits and labels of reliability.
 def reliability_status(low_pct: Column) -> Column:
     return (
         F.when(low_pct <= 5, "Reliable")
@@ -149,6 +151,7 @@ def outlier_stats(staged: DataFrame, cfg: Config) -> DataFrame:
     return stage_table(stats.select(*ordered), "outlier-stats")
 
 
+# The labels of its severities.
 class _Outliers:
     """Conditions and labels over the one-row statistics, read as a scalar subquery."""
 
@@ -183,6 +186,7 @@ class _Outliers:
         )
 
 
+# Labels of missing data.
 def missing_label() -> Column:
     no_rrp, no_barcode = F.col("has_missing_rrp") == 1, F.col("has_missing_barcode") == 1
     return (
@@ -243,6 +247,7 @@ def missing_fields(staged: DataFrame) -> DataFrame:
     return _issue_rows(staged, _missing_issue())
 
 
+# Priority by label.
 def issue_priority(severity: Column) -> Column:
     return (
         F.when(severity.like("Negative%"), 1)

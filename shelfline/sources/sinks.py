@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from shelfline.functions.numeric import finite_or_null
 from shelfline.operators.check_summary import Check, ChecksFailed, observed, require
 
+# Names of the layers.
 STAGING, MARTS, ANALYTICS = "retail_staging", "retail_marts", "retail_analytics"
 
 

@@ -6,6 +6,7 @@ keys, so every quality rule and label has rows to work on.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -103,11 +104,26 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=None)
-def _loaded(spark: SparkSession, application: str, sf_dir: str) -> DataFrame:
+def state_of(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> tuple:
+    """Name, length and time of every file of the tables, which change with their content."""
+    found = []
+    for name in names:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+        while files.hasNext():
+            file = files.next()
+            found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
+
+
+SALES_TABLES = ("lineitem", "orders", "customer", "nation", "part", "supplier")
+
+
+@lru_cache(maxsize=8)
+def _loaded(spark: SparkSession, application: str, sf_dir: str, state: tuple) -> DataFrame:
     return stage_table(sales_rows(spark, sf_dir), "retail-sales")
 
 
 def sales_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The base sales table, loaded once per application and read by every later query."""
-    return _loaded(spark, spark.sparkContext.applicationId, sf_dir)
+    """The base sales table, loaded once per application and content of its source files, and read by every later query."""
+    return _loaded(spark, spark.sparkContext.applicationId, sf_dir, state_of(spark, sf_dir, SALES_TABLES))

@@ -117,39 +117,36 @@ def test_staged_tables_live_under_the_checkpoint_folder(spark, skewed):
 
 
 def test_union_relations(spark):
-    one = spark.createDataFrame([(1, "drew", 7), (2, "bob", None)], "id int, name string, favorite_number int")
-    two = spark.createDataFrame([(1, "green", 3)], "id int, favorite_color string, favorite_number int")
-    both = relational.union_relations({"one": one, "two": two})
-    assert both.columns == ["source_relation", "id", "name", "favorite_number", "favorite_color"]
-    assert rows_of(both) == [
-        ("one", 1, "drew", 7, None), ("one", 2, "bob", None, None), ("two", 1, None, 3, "green"),
-    ]
-    excluded = relational.union_relations({"a": one, "b": two}, exclude=["NAME"], source_column=None, where="id = 1")
-    assert rows_of(excluded) == [(1, 3, "green"), (1, 7, None)]
-    included = relational.union_relations({"a": one, "b": two}, include=["Id"], column_override={"id": "string"})
-    assert included.dtypes == [("source_relation", "string"), ("id", "string")]
+    stalls = spark.createDataFrame([(11, "north gate", 4.5), (12, "pier", None)], "stall int, place string, rent double")
+    carts = spark.createDataFrame([(11, 2, 9.25)], "stall int, wheels int, rent double")
+    both = relational.union_relations({"stalls": stalls, "carts": carts})
+    assert both.columns == ["source_relation", "stall", "place", "rent", "wheels"]
+    assert rows_of(both) == [("carts", 11, None, 9.25, 2), ("stalls", 11, "north gate", 4.5, None), ("stalls", 12, "pier", None, None)]
+    excluded = relational.union_relations({"a": stalls, "b": carts}, exclude=["PLACE"], source_column=None, where="stall = 11")
+    assert rows_of(excluded) == [(11, 4.5, None), (11, 9.25, 2)]
+    included = relational.union_relations({"a": stalls, "b": carts}, include=["Stall"], column_override={"stall": "string"})
+    assert included.dtypes == [("source_relation", "string"), ("stall", "string")]
     with pytest.raises(ValueError):
-        relational.union_relations({"a": one}, include=["id"], exclude=["name"])
+        relational.union_relations({"a": stalls}, include=["stall"], exclude=["place"])
     with pytest.raises(ValueError):
-        relational.union_relations({"a": one}, include=["nothing"])
+        relational.union_relations({"a": stalls}, include=["nothing"])
 
 
 def test_deduplicate_keeps_null_keys(spark):
-    df = spark.createDataFrame([(1, "view", 1), (1, "play", 2), (None, "x", 1), (None, "y", 3)],
-                               "user_id int, event string, version int")
-    found = relational.deduplicate(df, ["user_id"], [F.col("version").desc()])
-    assert rows_of(found) == [(1, "play", 2), (None, "y", 3)]
+    prices = [("A7", 2.0, 5), ("A7", 3.5, 9), ("A7", 1.0, 1), (None, 4.0, 2), (None, 6.0, 7)]
+    df = spark.createDataFrame(prices, "item string, price double, day int")
+    assert rows_of(relational.deduplicate(df, ["item"], [F.col("day").desc()])) == [("A7", 3.5, 9), (None, 6.0, 7)]
 
 
 def test_pivot(spark):
-    df = spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")], "size string, color string")
-    values = relational.column_value_list(df, "color", 10, where="color <> 'blue''s'")
-    assert values == ["red", "blue"]
-    assert rows_of(relational.pivot(df, ["size"], "color", ["red", "blue", "blue's"])) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
-    named = relational.pivot(df, ["size"], "color", ["red"], prefix="N ", suffix="!", as_identifier=True)
-    assert named.columns == ["size", "n_red"]
-    distinct = relational.pivot(df, [], "size", ["S"], aggregate=F.count_distinct, then_value=F.col("color"),
-                                else_value=None)
+    sold = [("mon", "tea"), ("mon", "rye bread"), ("mon", "baker's mix"), ("tue", "tea"), ("tue", "tea")]
+    df = spark.createDataFrame(sold, "day string, goods string")
+    values = relational.column_value_list(df, "goods", 10, where="goods <> 'baker''s mix'")
+    assert values == ["tea", "rye bread"]
+    assert rows_of(relational.pivot(df, ["day"], "goods", ["tea", "rye bread", "baker's mix"])) == [("mon", 1, 1, 1), ("tue", 2, 0, 0)]
+    named = relational.pivot(df, ["day"], "goods", ["rye bread"], prefix="N ", suffix="!", as_identifier=True)
+    assert named.columns == ["day", "n_rye_bread"]
+    distinct = relational.pivot(df, [], "day", ["mon"], aggregate=F.count_distinct, then_value=F.col("goods"), else_value=None)
     assert rows_of(distinct) == [(3,)]
 
 
@@ -193,11 +190,11 @@ def test_scalar_or_default(spark):
 
 
 def test_union_by_pattern(spark):
-    for day in ("20180101", "20180102", "20180103"):
-        spark.createDataFrame([(int(day), "play")], "user_id int, event string").createOrReplaceTempView(f"ev_{day}")
-    found = relational.union_by_pattern(spark, "EV_2018%", exclude="%3")
-    assert rows_of(found) == [("ev_20180101", 20180101, "play"), ("ev_20180102", 20180102, "play")]
-    assert list(relational.relations_with_prefix(spark, "ev_201801")) == ["ev_20180101", "ev_20180102", "ev_20180103"]
+    for week in (31, 32, 33):
+        spark.createDataFrame([(week, 2.5 * week)], "week int, takings double").createOrReplaceTempView(f"till_week_{week}")
+    found = relational.union_by_pattern(spark, "TILL_Week%", exclude="%3")
+    assert rows_of(found) == [("till_week_31", 31, 77.5), ("till_week_32", 32, 80.0)]
+    assert list(relational.relations_with_prefix(spark, "till_week_3")) == [f"till_week_{w}" for w in (31, 32, 33)]
 
 
 def test_relations_of_several_databases(spark):
