@@ -165,7 +165,8 @@ def _members(lists: DataFrame, scratch: Scratch) -> DataFrame:
     sizes = lists.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"), F.max(F.col("open").cast("int")).alias("any_open"), *names)
     told = sizes.where("size > 1 and any_open = 1").groupBy("lead", "size", "name_0", "name_1").agg(F.min("value").alias("value"))
     shared = scratch.write(lists.join(told.select(*keys, "size"), keys), "shared")
-    leaders = shared.groupBy(*keys).agg(F.max_by("node", F.struct("heat", "node")).alias("leader"))
+    # Written, so that the join is one of two tables, in which Spark can split the rows of a long list.
+    leaders = scratch.write(shared.groupBy(*keys).agg(F.max_by("node", F.struct("heat", "node")).alias("leader")), "leaders")
     return shared.join(leaders, keys)
 
 
