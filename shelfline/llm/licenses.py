@@ -21,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfline.llm.common import map_arrow, prepare
+from shelfline.llm.license_texts import WHOLE_TEXTS
 from shelfline.llm.text import ALNUM, HashIndex, Words, chunks, texts_of, words_of
 
 # Phrases whose words must stand consecutively, and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 # Sentences by which licenses are usually named or granted, by label.
-TEMPLATES = [
+SENTENCES = [
     ("apache-2.0", "licensed under the apache license version 2.0"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
     ("mit", "released under the mit license"),
@@ -42,6 +43,7 @@ TEMPLATES = [
     ("cc0", "dedicated to the public domain under the cc0 1.0 universal dedication"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
+TEMPLATES = [*SENTENCES, *WHOLE_TEXTS]
 
 
 def _hashes(text: str) -> np.ndarray:

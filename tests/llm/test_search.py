@@ -93,7 +93,7 @@ def test_license_windows_equal_brute_force(spark):
     import random
 
     rng = random.Random(8)
-    parts = [WORD.findall(text) for _, text in licenses.TEMPLATES]
+    parts = [WORD.findall(lower(text)) for _, text in licenses.TEMPLATES]
     rows = []
     for i in range(200):
         words = [rng.choice(["the", "and", "to", "aa", "bb", "license", "of"]) for _ in range(rng.randint(0, 30))]
@@ -117,6 +117,43 @@ def test_license_windows_equal_brute_force(spark):
             assert any(b["containment"] == len(held & set(part)) / len(set(part)) for (label, _), part in zip(licenses.TEMPLATES, parts, strict=True) if label == b["label"])
 
 
+def test_base_places_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(11)
+    bits = ["cc", "by", "CC", "General", "public", "license", "all", "rights", "Reserved", "reserved", "x", "é", "cc by", "general public license", "GENERAL Public\nLicense", "All rights reserved"]
+    rows = [(i, "".join(rng.choice(bits) + rng.choice([" ", "\n", "-", ", ", "", "  "]) for _ in range(rng.randint(0, 40)))) for i in range(300)]
+    rows += [(900, None), (901, ""), (902, "cc by " * 5000), (3, "cc by"), (None, "all rights reserved cc")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n_words", "'x' as labels", "2 as score").repartition(3)
+    got = sorted((tuple(r)[:6] for r in licenses.scan_licenses(docs).drop("labels", "score", "blocks").collect()), key=str)
+    wanted = []
+    for doc_id, text in rows:
+        words = WORD.findall(lower(text))
+        places = sorted((k, label) for phrase, label in licenses.PHRASES.items() for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split())
+        first, last = (places[0][0], places[-1][0]) if places else (None, None)
+        wanted.append((doc_id, len(words), len(places), first, last, ",".join(sorted({label for _, label in places}))))
+    assert got == sorted(wanted, key=str)
+
+
+def test_whole_license_texts_are_found(spark):
+    """Each text under its label, wrapped anew, with a name and year before it and some words changed; not from half of it."""
+    import random
+
+    rng = random.Random(12)
+    rows, wanted = [], {}
+    for i, (label, text) in enumerate(licenses.WHOLE_TEXTS):
+        words = text.split()
+        changed = [w for w in words if rng.random() > 0.05]
+        rows.append((i, "copyright 1999 somebody\n" + "".join(w + rng.choice([" ", " ", "\n# "]) for w in changed)))
+        wanted[i] = label
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs, templates=licenses.WHOLE_TEXTS).collect()}
+    assert all(label in got[i]["labels"].split(",") for i, label in wanted.items())
+    half = [(i, " ".join(text.split()[: len(text.split()) // 3])) for i, (_, text) in enumerate(licenses.WHOLE_TEXTS)]
+    found = licenses.scan_licenses(spark.createDataFrame(half, "doc_id long, text string"), templates=licenses.WHOLE_TEXTS)
+    assert all(not r["blocks"] for r in found.collect())
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 PATTERNS = {"ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
