@@ -974,3 +974,18 @@ def promo_duration_by_category(spark, sf_dir):
 @query
 def uplift_by_depth_regression(spark, sf_dir):
     return promo.uplift_by_depth(promo_mart_table(spark, sf_dir))
+
+
+@query
+def effectiveness_by_category(spark, sf_dir):
+    return promo.effectiveness_by_category(promo_mart_table(spark, sf_dir))
+
+
+@query
+def store_promo_response(spark, sf_dir):
+    return promo.store_promo_response(promo_mart_table(spark, sf_dir))
+
+
+@query
+def promo_saturation_by_category(spark, sf_dir):
+    return promo.promo_saturation_by_category(promo_mart_table(spark, sf_dir))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.config import Config
 from shelfline.functions.numeric import flag, half_up, percent_of, stable
+from shelfline.operators.ordering import with_rank
 from shelfline.operators.percentiles import percentile_summary
 from shelfline.operators.regression import MOMENTS, merged, moments, solved
 from shelfline.session import stage_table
@@ -397,3 +398,75 @@ def uplift_by_depth(mart: DataFrame) -> DataFrame:
     )
     by_category = sums.select(F.lit("category").alias("level"), *category, *MOMENTS)
     return solved(by_category.unionByName(whole))
+
+
+# ---------------------------------------------------------------- effectiveness, response, saturation
+
+
+def effectiveness_by_category(mart: DataFrame) -> DataFrame:
+    """What each discount tier brings in a category; ``is_best`` marks the tier of highest average uplift.
+
+    Of tiers with the same uplift the one with more sales is best, then the first by name; without any uplift none is.
+    """
+    category = ["sub_department", "section"]
+    grouped = on_promo(mart).groupBy(*category, "discount_tier").agg(
+        F.count(F.lit(1)).alias("promo_skus"),
+        half_up(F.avg("promo_uplift_pct")).alias("avg_uplift_pct"),
+        half_up(F.avg("promo_discount_depth_pct")).alias("avg_discount_pct"),
+        F.sum("promo_units_sold").alias("promo_units"),
+        F.sum("promo_sales_value").alias("promo_sales"),
+    )
+    ratio = half_up(F.try_divide(F.col("avg_uplift_pct"), F.col("avg_discount_pct")))
+    # At most one row per tier.
+    best_first = Window.partitionBy(*category).orderBy(F.col("avg_uplift_pct").desc_nulls_last(), F.col("promo_sales").desc(), "discount_tier")
+    best = flag((F.row_number().over(best_first) == 1) & F.col("avg_uplift_pct").isNotNull())
+    return grouped.withColumn("uplift_per_discount_point", ratio).withColumn("is_best", best)
+
+
+def store_promo_response(mart: DataFrame) -> DataFrame:
+    """How stores answer to promotions: share of promoted items that sold better, uplift, share of sales, and their rank by uplift."""
+    promo = F.col("is_on_promo") == 1
+    uplift = F.when(promo, F.col("promo_uplift_pct"))
+    grouped = mart.groupBy("store_name").agg(
+        F.count_if(promo).alias("promo_skus"),
+        F.count_if(uplift > 0).alias("responding_skus"),
+        half_up(F.avg(uplift)).alias("avg_uplift_pct"),
+        half_up(F.avg(F.when(promo, F.col("promo_discount_depth_pct")))).alias("avg_discount_pct"),
+        F.sum("promo_sales_value").alias("promo_sales"),
+        F.sum("total_sales_value").alias("total_sales"),
+    )
+    shares = grouped.select(
+        "*",
+        percent_of(F.col("responding_skus"), F.col("promo_skus")).alias("responding_pct"),
+        percent_of(F.col("promo_sales"), F.col("total_sales")).alias("promo_sales_pct"),
+    )
+    return with_rank(stage_table(shares, "store-response"), "avg_uplift_pct", "uplift_rank")
+
+
+def promo_saturation_by_category(mart: DataFrame) -> DataFrame:
+    """How much of a category is on promotion, and how intense the focus supplier's promotions are against its rivals'.
+
+    Saturation is the share of items promoted anywhere; intensity the share of a side's days with sales that were promo days.
+    Rows are reduced to items before items are counted.
+    """
+    category, own = ["sub_department", "section"], F.col("is_focus") == 1
+    items = mart.groupBy(*category, "item_code", "is_focus").agg(
+        F.max("is_on_promo").alias("promoted"),
+        F.sum("promo_days").alias("promo_days"),
+        F.sum("total_days").alias("total_days"),
+        F.sum("promo_sales_value").alias("promo_sales"),
+        F.sum("total_sales_value").alias("total_sales"),
+    )
+
+    def intensity(side: Column) -> Column:
+        return percent_of(F.sum(F.when(side, F.col("promo_days"))), F.sum(F.when(side, F.col("total_days"))))
+
+    found = items.groupBy(*category).agg(
+        F.count(F.lit(1)).alias("items"),
+        F.sum("promoted").alias("promoted_items"),
+        percent_of(F.sum("promoted"), F.count(F.lit(1))).alias("saturation_pct"),
+        percent_of(F.sum("promo_sales"), F.sum("total_sales")).alias("promo_sales_pct"),
+        intensity(own).alias("focus_intensity_pct"),
+        intensity(~own).alias("competitor_intensity_pct"),
+    )
+    return found.withColumn("intensity_gap", half_up(F.col("focus_intensity_pct") - F.col("competitor_intensity_pct")))

@@ -387,6 +387,35 @@ def test_promo_duration_of_a_hot_item(spark):
     )
 
 
+def mart_of(spark, rows):
+    """(store, item, focus, section, on promo, tier, uplift, depth, promo days, days, promo units, promo sales, sales) as rows of the mart."""
+    schema = (
+        "store_name string, item_code string, is_focus int, section string, is_on_promo int, discount_tier string, promo_uplift_pct double,"
+        "promo_discount_depth_pct double, promo_days bigint, total_days bigint, promo_units_sold decimal(28,2), promo_sales_value decimal(28,2),"
+        "total_sales_value decimal(28,2)"
+    )
+    full = [(*r[:10], *map(Decimal, r[10:])) for r in rows]
+    return spark.createDataFrame(full, schema).withColumn("sub_department", F.lit("dept"))
+
+
+def test_effectiveness_response_and_saturation(spark):
+    mart = mart_of(
+        spark,
+        [
+            ("a", "1", 1, "tea", 1, "Light", 40.0, 8.0, 2, 4, 10, 50, 80), ("a", "2", 0, "tea", 1, "Deep", 40.0, 32.0, 1, 4, 5, 60, 90),
+            ("a", "3", 0, "tea", 0, "Light", None, None, 0, 5, 0, 0, 30), ("b", "1", 1, "tea", 0, "Light", None, None, 0, 6, 0, 0, 70),
+            ("b", "2", 0, "tea", 1, "Light", -10.0, 8.0, 3, 3, 7, 21, 21), ("c", "4", 0, "oil", 1, "Light", None, 7.0, 1, 1, 1, 2, 2),
+        ],
+    )
+    found = rows_of(promo.effectiveness_by_category(mart), "section", "discount_tier", "promo_skus", "avg_uplift_pct", "uplift_per_discount_point", "is_best")
+    assert found == sorted([("tea", "Light", 2, 15.0, 1.88, 0), ("tea", "Deep", 1, 40.0, 1.25, 1), ("oil", "Light", 1, None, None, 0)], key=str)
+    found = rows_of(promo.store_promo_response(mart), "store_name", "promo_skus", "responding_pct", "avg_uplift_pct", "promo_sales_pct", "uplift_rank")
+    assert found == sorted([("a", 2, 100.0, 40.0, 55.0, 1), ("b", 1, 0.0, -10.0, 23.08, 2), ("c", 1, 0.0, None, 100.0, 3)], key=str)
+    columns = ["section", "items", "promoted_items", "saturation_pct", "focus_intensity_pct", "competitor_intensity_pct", "intensity_gap"]
+    found = rows_of(promo.promo_saturation_by_category(mart), *columns)
+    assert found == sorted([("tea", 3, 2, 66.67, 20.0, 33.33, -13.33), ("oil", 1, 1, 100.0, None, 100.0, None)], key=str)
+
+
 def test_duration_labels(spark):
     df = spark.createDataFrame([(1,), (2,), (7,), (8,), (14,), (28,), (29,)], "days int").select(promo.duration_label(F.col("days")))
     assert [r[0] for r in df.collect()] == ["1 day", "2-7 days", "2-7 days", "8-14 days", "8-14 days", "15-28 days", "29+ days"]
