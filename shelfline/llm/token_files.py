@@ -34,32 +34,37 @@ WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 15
 SEGMENT_IDS = 1 << 20
 #: Most pieces of text whose ids a Python worker remembers, and pieces coded as one text.
-MEMORY, JOINED = 500_000, 500
+MEMORY, JOINED = 1_000_000, 2000
 #: Pieces of more characters are not remembered.
 LONG_PIECE = 100
-#: A blank that starts a new match, whatever follows; and texts in which some blank may not. A character that any Unicode version calls white space is taken for it.
-_WHITE = r"\s\u180E\u200B\uFEFF"
-_BORDER = re.compile(f"(?<=[^{_WHITE}]) ")
-_DOUBTFUL = re.compile(f"(?:^|[{_WHITE}]) ")
+#: Characters that any Unicode version calls white space, or may; a blank after another character starts a new match, whatever follows.
+_WHITE = frozenset(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
+_BORDER = re.compile(f"(?<=[^{''.join(map(re.escape, sorted(_WHITE)))}]) ")
+#: White space before a blank.
+_DOUBTFUL = [c + " " for c in sorted(_WHITE)]
+_DOUBTFUL_ASCII = [pair for pair in _DOUBTFUL if pair.isascii()]
 
 
 def encode(ids: np.ndarray) -> bytes:
     """Code one run of unsigned ids."""
     ids = np.asarray(ids, np.uint64)
     blocks = -(-len(ids) // BLOCK)
-    width = np.zeros(len(ids), np.int64)
-    for limit in WIDTHS:
-        width += ids >= np.uint64(1 << int(limit))
-    # width: the narrowest selector each id fits, len(WIDTHS) if none does.
-    end_of_block = np.minimum((np.arange(len(ids)) // BLOCK + 1) * BLOCK, len(ids))
     place = np.arange(len(ids))
-    choice = np.full(len(ids), -1)
+    left = np.minimum((place // BLOCK + 1) * BLOCK, len(ids)) - place
+    # The narrowest selector each id fits, len(WIDTHS) if none does; then the widest of that over the ids a word would hold.
+    width = np.searchsorted(np.uint64(1) << WIDTHS.astype(np.uint64), ids, "right").astype(np.int8)
+    choice = np.full(len(ids), -1, np.int8)
+    widest, length = width.copy(), 1
     for selector in range(len(WIDTHS) - 1, -1, -1):
-        # The first id from here on that is too wide for this selector.
-        too_wide = np.where(width > selector, place, len(ids))
-        stop = np.minimum.accumulate(too_wide[::-1])[::-1] if len(ids) else too_wide
-        fits = np.minimum(stop, end_of_block) - place >= COUNTS[selector]
-        choice[fits] = selector
+        count = int(COUNTS[selector])
+        while length < count:
+            # Two windows of this length side by side, or overlapping, make a longer one.
+            grow = min(length, count - length)
+            if grow < len(ids):
+                widest = np.append(np.maximum(widest[:-grow], widest[grow:]), widest[-grow:])
+            length += grow
+        choice[(widest <= selector) & (left >= count)] = selector
+    choice = choice.astype(np.int64)
     step = np.where(choice >= 0, COUNTS[choice], 1)
     # All blocks are walked side by side, one word of each at a time.
     at, number = np.arange(blocks) * BLOCK, np.arange(blocks)
@@ -124,8 +129,7 @@ class Tokens:
 
     The byte-level pre-tokenizer starts a new match at every blank that follows a character other than white space, so
     the pieces between such blanks can be coded one by one. The pieces of a batch of texts that are not
-    remembered are coded together, parted by a special token, before which and after which the tokenizer
-    codes separately. Texts that hold a special token themselves are coded whole.
+    remembered are coded together. Texts that hold a special token are coded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -135,39 +139,54 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
-        self.part_id, self.part = next(((i, t.content) for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word)), (None, None))
+        # A byte-level token has one character for each of its bytes.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.bytes_of[number] = len(token)
         self.known: dict[str, bytes] = {}
 
     def _code(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _code_pieces(self, pieces: list[str]) -> list[bytes]:
-        if self.part is None:
-            return self._code(pieces)
-        out = []
-        for runs in self._code([self.part.join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]):
-            ids = np.frombuffer(runs, "<u4")
-            out += [run.tobytes() if i == 0 else run[1:].tobytes() for i, run in enumerate(np.split(ids, np.flatnonzero(ids == self.part_id)))]
-        return out
+    def _code_pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The pieces and the ids of each with a blank before it.
+
+        Pieces that do not end in white space are joined to texts, in which the blanks start new matches; the lengths of the tokens in
+        bytes tell where a piece ends.
+        """
+        open_ended = [p for p in pieces if not p or p[-1] in _WHITE]
+        yield from zip(open_ended, self._code([" " + p for p in open_ended]), strict=True)
+        closed = [p for p in pieces if p and p[-1] not in _WHITE]
+        for i in range(0, len(closed), JOINED):
+            run = closed[i : i + JOINED]
+            raw = self._code([" " + " ".join(run)])[0]
+            upto = np.cumsum(self.bytes_of[np.frombuffer(raw, "<u4")])
+            ends = np.cumsum([len(p.encode()) + 1 for p in run])
+            places = [0, *(4 * (np.searchsorted(upto, ends) + 1)).tolist()]
+            yield from zip(run, [raw[a:b] for a, b in zip(places[:-1], places[1:], strict=True)], strict=True)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        cut: list[list[str] | None] = []
+        heads: list[str] = []
+        rests: list[list[str]] = []
+        seen: set[str] = set()
         for text in texts:
             if any(s in text for s in self.special):
-                cut.append(None)
-            else:
-                first, *rest = _BORDER.split(text) if _DOUBTFUL.search(text) else text.split(" ")
-                cut.append([first, *map(" ".__add__, rest)])
-        missing = {p for pieces in cut if pieces for p in pieces if p not in self.known}
-        if len(self.known) + len(missing) > MEMORY:
+                heads.append(text)
+                rests.append([])
+                continue
+            doubtful = text.startswith(" ") or any(pair in text for pair in (_DOUBTFUL_ASCII if text.isascii() else _DOUBTFUL))
+            first, *rest = _BORDER.split(text) if doubtful else text.split(" ")
+            heads.append(first)
+            rests.append(rest)
+            seen.update(rest)
+        if len(self.known) + len(seen) > MEMORY and len(self.known) + len(seen.difference(self.known)) > MEMORY:
             self.known = {}
-            missing = {p for pieces in cut if pieces for p in pieces}
-        new = list(missing)
         known = self.known
-        known.update(zip(new, self._code_pieces(new), strict=True))
-        whole = iter(self._code([text for text, pieces in zip(texts, cut, strict=True) if pieces is None]))
-        out = [np.frombuffer(next(whole) if pieces is None else b"".join(map(known.__getitem__, pieces)), "<u4") for pieces in cut]
+        new = list(seen.difference(known))
+        known.update(self._code_pieces(new))
+        out = [np.frombuffer(head + b"".join(map(known.__getitem__, rest)), "<u4") for head, rest in zip(self._code(heads), rests, strict=True)]
         for piece in new:
             if len(piece) > LONG_PIECE:
                 del known[piece]
