@@ -49,8 +49,10 @@ def test_token_files(spark, docs, texts, no_docs):
     assert token_files.read_token_files(spark, empty).count() == 0
 
 
-def test_ids_equal_the_library_around_all_blanks():
+def test_ids_equal_the_library_around_all_blanks(monkeypatch):
     """Blanks of every kind beside each other, letters, marks, digits and special tokens; the remembered pieces overflow on the way."""
+    monkeypatch.setattr(token_files, "MEMORY", 3000)
+    monkeypatch.setattr(token_files, "JOINED", 7)
     rng = random.Random(7)
     coder = token_files.Tokens(token_files.tokenizer_path(TOKENIZER))
     blanks = [chr(c) for c in (*range(0x20), 0x20, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)]
