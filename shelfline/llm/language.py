@@ -81,7 +81,9 @@ def count_grams(docs: DataFrame) -> DataFrame:
         for lang, (grams, counts) in total.items():
             part = (mix(grams) % np.uint64(_SLICES)).astype(np.int64)
             rows = [(lang, s, grams[part == s].tobytes(), counts[part == s].astype("<i8").tobytes()) for s in range(_SLICES) if (part == s).any()]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["lang", "slice", "grams", "counts"])
+            # Texts without a letter leave nothing to send.
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["lang", "slice", "grams", "counts"])
 
     return docs.select("lang", "text").mapInArrow(count, "lang string, slice long, grams binary, counts binary")
 
