@@ -57,5 +57,6 @@ def with_rank(df: DataFrame, column: str, name: str) -> DataFrame:
     """
     falling = [F.col(column).desc_nulls_last()]
     sliced = in_slices(counted(df.select(column), [column]), falling, "rank")
-    ranks = with_before(sliced, starts(sliced, []), [], falling).select(column, (F.col("before") + 1).alias(name))
+    beginnings = stage_table(starts(sliced, []), "rank-starts")
+    ranks = with_before(sliced, beginnings, [], falling).select(column, (F.col("before") + 1).alias(name))
     return keyed_join(df, ranks, [column])

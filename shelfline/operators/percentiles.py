@@ -43,16 +43,14 @@ def _selected(df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str,
     )
     long = df.select(*keys, values.alias("m")).select(*keys, "m.measure", "m.value").filter(F.col("value").isNotNull())
     sliced = in_slices(counted(long, [*group, "value"]), [F.col(c).asc_nulls_last() for c in (*group, "value")], "percentile")
-    begins = starts(sliced, group)
-    totals = stage_table(begins.groupBy(*group).agg(F.sum("size").alias("total")), "percentile-totals")
     ranks = {f: F.lit(f) * (F.col("total") - 1) for f in fractions}
 
     holds_any = F.lit(False)
     for rank in ranks.values():
         for wanted in (F.floor(rank), F.ceil(rank)):
             holds_any = holds_any | ((wanted >= F.col("start")) & (wanted < F.col("start") + F.col("size")))
-    chosen = stage_table(keyed_join(begins, totals, group).filter(holds_any).drop("total"), "percentile-chosen")
-    ranked = keyed_join(with_before(sliced, chosen, group, [F.col("value")]), totals, group)
+    chosen = stage_table(starts(sliced, group).filter(holds_any), "percentile-slices")
+    ranked = with_before(sliced, chosen, group, [F.col("value")])
 
     def value_at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("before")) & (rank < F.col("before") + F.col("copies")), F.col("value")))

@@ -32,20 +32,24 @@ def in_slices(distinct: DataFrame, order: list[Column], name: str) -> DataFrame:
 
 
 def starts(sliced: DataFrame, keys: list[str], copies: str = "copies") -> DataFrame:
-    """For every group and slice with rows of it: ``size``, the copies inside, and ``start``, those in slices before; written.
+    """For every group and slice with rows of it: ``size``, the copies inside, ``start``, those in slices before, and ``total``, those of the group.
 
     A window holds at most one row per slice.
     """
-    along = Window.partitionBy(*keys).orderBy("slice") if keys else Window.partitionBy(F.lit(0)).orderBy("slice")
+    group = Window.partitionBy(*(keys or [F.lit(0)]))
     sizes = sliced.groupBy(*keys, "slice").agg(F.sum(copies).alias("size"))
-    return stage_table(sizes.withColumn("start", F.sum("size").over(along) - F.col("size")), "slice-starts")
+    before = F.sum("size").over(group.orderBy("slice")) - F.col("size")
+    return sizes.withColumn("start", before).withColumn("total", F.sum("size").over(group))
 
 
 def with_before(sliced: DataFrame, beginnings: DataFrame, keys: list[str], order: list[Column], copies: str = "copies") -> DataFrame:
-    """Adds ``before``: the copies of the group's rows that come before the row. Rows of slices not in ``beginnings`` are left out."""
+    """Adds ``before``, the copies of the group's rows that come before the row, and ``total``. Rows of slices not in ``beginnings`` are left out.
+
+    ``beginnings`` are rows of ``starts`` and should be a table.
+    """
     inside = Window.partitionBy(*keys, "slice").orderBy(*order)
     return (
-        keyed_join(sliced, beginnings.select(*keys, "slice", "start"), [*keys, "slice"])
+        keyed_join(sliced, beginnings.select(*keys, "slice", "start", "total"), [*keys, "slice"])
         .withColumn("before", F.col("start") + F.sum(copies).over(inside) - F.col(copies))
         .drop("start")
     )

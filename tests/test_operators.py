@@ -72,7 +72,7 @@ def test_a_group_of_all_rows_is_spread_over_slices(spark, monkeypatch):
     many = slices.in_slices(slices.counted(df, ["g", "few", "many"]), [F.col(c).asc_nulls_last() for c in ("g", "few", "many")], "many")
     sizes = [r["count"] for r in many.groupBy("slice").count().collect()]
     assert len(sizes) >= 30 and max(sizes) <= 3 * 500
-    begins = slices.starts(many, ["g"])
+    begins = stage_table(slices.starts(many, ["g"]), "starts")
     assert begins.count() == len(sizes)
     placed = slices.with_before(many, begins, ["g"], [F.col("few"), F.col("many")])
     assert [r["before"] for r in placed.orderBy("few", "many").select("before").collect()] == list(range(20_000))
