@@ -73,7 +73,8 @@ def manifest(docs: DataFrame, tampered: Callable[[dict[str, Column]], tuple[Colu
 
     # One row per source; their order is that of their names.
     sliced = in_slices(tops.withColumn("copies", F.lit(1).cast("long")), [F.col("family")], "sources")
-    ordered = with_before(sliced, slice_starts(sliced, []), [], [F.col("family")])
+    beginnings = scratch.write(slice_starts(sliced, []), "source-starts")
+    ordered = with_before(sliced, beginnings, [], [F.col("family")])
     above = climb(scratch, ordered.select(F.lit("").alias("family"), F.col("before").alias("place"), F.col("subroot").alias("hash"), F.col("family").alias("of")), fan_out, ["of"], "table")
     root = _top_of(above).select("hash").scalar()
 
