@@ -34,7 +34,10 @@ def distinct_with_neighbour(
     edge = F.min_by if following else F.max_by
     edges = sliced.groupBy(*keys, "slice").agg(edge(F.struct(*carry), sort_key).alias("edge"))
     along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("slice")
-    beyond = stage_table(edges.select(*keys, "slice", step("edge").over(along).alias("edge")), "slice-edges")
+    beyond = edges.select(*keys, "slice", step("edge").over(along).alias("edge"))
+    if not keys:
+        # One row per slice; written, so that their window is no part of the plan over all rows.
+        beyond = stage_table(beyond, "slice-edges")
     joined = keyed_join(inside, beyond, [*keys, "slice"])
     return joined.select(*df.columns, "copies", F.coalesce("neighbour", "edge").alias("neighbour"))
 

@@ -9,7 +9,7 @@ and slice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from shelfline.operators.skew import keyed_join
 from shelfline.session import stage_table
@@ -26,8 +26,9 @@ def in_slices(distinct: DataFrame, order: list[Column], name: str) -> DataFrame:
     ``order`` should be a total order: rows equal in it stay in one slice.
     """
     spark = distinct.sparkSession
-    table = stage_table(distinct, f"{name}-rows")
-    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-table.count() // SLICE_ROWS))
+    written = Observation()
+    table = stage_table(distinct.observe(written, F.count(F.lit(1)).alias("rows")), f"{name}-rows")
+    slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-written.get["rows"] // SLICE_ROWS))
     return stage_table(table.repartitionByRange(slices, *order).withColumn("slice", F.spark_partition_id()), f"{name}-slices")
 
 
