@@ -64,9 +64,8 @@ def daily_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_table(promo.daily_sku_sales(staged_sales(spark, sf_dir)), "daily-sku-sales")
 
 
-def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = daily_table(spark, sf_dir)
-    return promo.promo_classification(daily, promo.sku_baselines(daily, CFG), CFG)
+def classified(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return promo.classified_parts(staged_sales(spark, sf_dir), CFG)
 
 
 def promo_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,12 +268,12 @@ def sku_baselines(spark, sf_dir):
 
 @query
 def promo_classification(spark, sf_dir):
-    return classified(spark, sf_dir)
+    return promo.of_parts(classified(spark, sf_dir))
 
 
 @query
 def store_sku_promo(spark, sf_dir):
-    return promo.store_sku_promo(classified(spark, sf_dir))
+    return promo.of_parts(classified(spark, sf_dir), promo.store_sku_promo)
 
 
 @query
@@ -968,7 +967,7 @@ def check_table_diff(spark, sf_dir):
 @query
 def promo_duration_by_category(spark, sf_dir):
     """Promo days of a store's item up to 400 days apart count as one promotion: sales are that sparse here."""
-    return promo.promo_duration_by_category(classified(spark, sf_dir), max_gap_days=400)
+    return promo.durations_by_category(promo.of_parts(classified(spark, sf_dir), lambda part: promo.promo_runs(part, max_gap_days=400)))
 
 
 @query

@@ -1,16 +1,17 @@
-"""Exact interpolated percentiles by distributed selection, for groups of any size.
+"""Exact interpolated percentiles, for groups of any size.
 
-The values of a group are counted, dealt out in slices of the total order (group,
-measure, value) and the counts summed per slice. The sums tell which slice holds a
-wanted rank; only those slices are ranked. No task holds more of a group than a slice,
-and there is one way for all sizes.
+Groups of up to ``WHOLE_ROWS`` rows meet in one task after a single shuffle of the measures.
+Larger ones, and the whole table, go by distributed selection: the values of a group are counted,
+dealt out in slices of the total order (group, measure, value) and the counts summed per slice. The
+sums tell which slice holds a wanted rank; only those slices are ranked. No task holds more of a
+group than that many rows or a slice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfline.operators.skew import keyed_join
+from shelfline.operators.skew import keyed_join, large_groups, whole_and_spread
 from shelfline.operators.slices import counted, in_slices, starts, with_before
 from shelfline.session import stage_table
 
@@ -24,6 +25,31 @@ def percentile_summary(
     scanned twice and should be a table. A group whose values are all NULL has NULL
     percentiles; without keys there is always one row.
     """
+    if not keys:
+        return _spread(df, keys, percentiles, aggregates)
+    large = large_groups(df, keys)
+    whole, spread = whole_and_spread(df, keys, large)
+    columns, found = percentile_columns(percentiles)
+    grouped = whole.groupBy(*keys).agg(*aggregates, *[c.alias(held) for held, c in columns.items()])
+    summary = grouped.withColumns(found).drop(*columns)
+    return summary if spread is None else summary.unionByName(_spread(spread, keys, percentiles, aggregates))
+
+
+def percentile_columns(percentiles: dict[str, tuple[str, float]]) -> tuple[dict[str, Column], dict[str, Column]]:
+    """For groups that fit a task: aggregates that find all fractions of a column at once, and the percentiles taken from them."""
+    fractions = {column: sorted({f for c, f in percentiles.values() if c == column}) for column, _ in percentiles.values()}
+    held = {
+        f"percentiles_of_{column}": F.percentile(F.col(column).cast("double"), F.array(*[F.lit(f) for f in wanted]))
+        for column, wanted in fractions.items()
+    }
+    found = {name: F.get(f"percentiles_of_{c}", F.lit(fractions[c].index(f))) for name, (c, f) in percentiles.items()}
+    return held, found
+
+
+def _spread(
+    df: DataFrame, keys: list[str], percentiles: dict[str, tuple[str, float]], aggregates: list[Column]
+) -> DataFrame:
+    """The same by selection."""
     grouped = df.groupBy(*keys).agg(*(aggregates or [F.count(F.lit(1)).alias("group_rows")]))
     found = _selected(df, keys, percentiles)
     if keys:

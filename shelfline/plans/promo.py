@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.config import Config
 from shelfline.functions.numeric import flag, half_up, percent_of, stable
 from shelfline.operators.ordering import with_rank
-from shelfline.operators.percentiles import percentile_summary
+from shelfline.operators.percentiles import percentile_columns, percentile_summary
 from shelfline.operators.regression import MOMENTS, merged, moments, solved
+from shelfline.operators.skew import large_groups, whole_and_spread
 from shelfline.session import stage_table
 
 SKU_KEYS = ["store_name", "item_code", "product_description", "supplier", "is_focus", "sub_department", "section"]
@@ -33,7 +37,11 @@ def promo_base(staged: DataFrame) -> DataFrame:
 
 def daily_sku_sales(staged: DataFrame) -> DataFrame:
     """Store x SKU x day; plain sums and averages, combined before the shuffle."""
-    daily = promo_base(staged).groupBy(*SKU_KEYS, "sale_date").agg(
+    return _daily(promo_base(staged))
+
+
+def _daily(usable: DataFrame) -> DataFrame:
+    daily = usable.groupBy(*SKU_KEYS, "sale_date").agg(
         F.avg("realized_unit_price").alias("avg_realized_price"),
         F.avg(F.col("rrp").cast("double")).alias("avg_rrp"),
         F.sum("quantity").alias("daily_quantity"),
@@ -44,29 +52,43 @@ def daily_sku_sales(staged: DataFrame) -> DataFrame:
     return daily.withColumn("discount_from_rrp_pct", percent_of(saved, F.col("avg_rrp")))
 
 
+ITEM_KEYS = ["item_code", "is_focus"]
+
+# Column and fraction of each baseline.
+BASELINES = {
+    "baseline_rrp": ("avg_rrp", 0.5),
+    "baseline_price": ("avg_realized_price", 0.5),
+    "p25_discount": ("discount_from_rrp_pct", 0.25),
+    "median_discount": ("discount_from_rrp_pct", 0.5),
+    "p75_discount": ("discount_from_rrp_pct", 0.75),
+    "baseline_daily_quantity": ("daily_quantity", 0.5),
+}
+
+
+def _spread_of_quantity() -> dict[str, Column]:
+    quantity = F.col("daily_quantity").cast("double")
+    return {"avg_daily_quantity": F.avg(quantity), "stddev_daily_quantity": F.stddev_samp(quantity)}
+
+
 def sku_baselines(daily: DataFrame, cfg: Config) -> DataFrame:
     """Typical price, discount and daily quantity per item, across stores and dates.
 
     Written out, so that the join with the daily rows is planned by its real size.
     """
-    quantity = F.col("daily_quantity").cast("double")
-    baselines = percentile_summary(
-        daily,
-        keys=["item_code", "is_focus"],
-        percentiles={
-            "baseline_rrp": ("avg_rrp", 0.5),
-            "baseline_price": ("avg_realized_price", 0.5),
-            "p25_discount": ("discount_from_rrp_pct", 0.25),
-            "median_discount": ("discount_from_rrp_pct", 0.5),
-            "p75_discount": ("discount_from_rrp_pct", 0.75),
-            "baseline_daily_quantity": ("daily_quantity", 0.5),
-        },
-        aggregates=[
-            F.avg(quantity).alias("avg_daily_quantity"),
-            F.stddev_samp(quantity).alias("stddev_daily_quantity"),
-        ],
-    )
-    return stage_table(baselines, "sku-baselines")
+    aggregates = [column.alias(name) for name, column in _spread_of_quantity().items()]
+    return stage_table(percentile_summary(daily, ITEM_KEYS, BASELINES, aggregates), "sku-baselines")
+
+
+def with_baselines(daily: DataFrame) -> DataFrame:
+    """Daily rows with the baselines of their item, for items whose rows fit a task; an item without code has none.
+
+    A window over rows that already lie together by item moves none of them.
+    """
+    columns, found = percentile_columns(BASELINES)
+    of_item = Window.partitionBy(*ITEM_KEYS)
+    named = F.col("item_code").isNotNull() & F.col("is_focus").isNotNull()
+    inside = {name: F.when(named, c.over(of_item)) for name, c in {**columns, **_spread_of_quantity()}.items()}
+    return daily.withColumns(inside).withColumns(found).drop(*columns)
 
 
 def promo_classification(daily: DataFrame, baselines: DataFrame, cfg: Config) -> DataFrame:
@@ -75,11 +97,15 @@ def promo_classification(daily: DataFrame, baselines: DataFrame, cfg: Config) ->
     The baseline is one row per item. Spark broadcasts it when its file size is
     under the broadcast limit; beyond that the adaptive skew join splits hot items.
     """
+    return _judged(daily.join(baselines, ITEM_KEYS, "left"), daily.columns, cfg)
+
+
+def _judged(compared: DataFrame, columns: list[str], cfg: Config) -> DataFrame:
     quantity = F.col("daily_quantity").cast("double")
     baseline, spread = F.col("baseline_daily_quantity"), F.col("stddev_daily_quantity")
     discount = F.col("discount_from_rrp_pct")
-    return daily.join(baselines, ["item_code", "is_focus"], "left").select(
-        *daily.columns,
+    return compared.select(
+        *columns,
         "baseline_rrp",
         "baseline_price",
         "median_discount",
@@ -193,14 +219,32 @@ def promo_order(mart: DataFrame) -> DataFrame:
     )
 
 
-def build_promo_mart(staged: DataFrame, cfg: Config) -> DataFrame:
-    """Staging rows to promotions mart.
+def classified_parts(staged: DataFrame, cfg: Config) -> list[DataFrame]:
+    """Staging rows to classified daily rows, in one part or two.
 
-    The daily table feeds the baselines and the classification, so it is written
-    once instead of being derived from the raw rows twice.
+    The usable rows are dealt out by item once, and the daily sums, baselines, classification and whatever follows by item
+    are made where they lie. Items of more rows than a task should take are the second part: their sums are combined before
+    the shuffle, their baselines found by selection, and their daily rows stay apart. An item is in one part only.
     """
-    daily = stage_table(daily_sku_sales(staged), "daily-sku-sales")
-    return promo_detection(promo_classification(daily, sku_baselines(daily, cfg), cfg))
+    used = promo_base(staged).select(*SKU_KEYS, "sale_date", "realized_unit_price", "rrp", "quantity", "total_sales")
+    whole, spread = whole_and_spread(used, ITEM_KEYS, large_groups(staged, ITEM_KEYS))
+    daily = _daily(whole)
+    parts = [_judged(with_baselines(daily), daily.columns, cfg)]
+    if spread is not None:
+        # This daily table feeds the baselines and the classification, so it is written once.
+        daily = stage_table(_daily(spread), "daily-sku-sales")
+        parts.append(promo_classification(daily, sku_baselines(daily, cfg), cfg))
+    return parts
+
+
+def of_parts(parts: list[DataFrame], step: Callable[[DataFrame], DataFrame] = lambda part: part) -> DataFrame:
+    """A step that works by item, done on every part."""
+    return reduce(DataFrame.unionByName, map(step, parts))
+
+
+def build_promo_mart(staged: DataFrame, cfg: Config) -> DataFrame:
+    """Staging rows to promotions mart."""
+    return of_parts(classified_parts(staged, cfg), promo_detection)
 
 
 # ---------------------------------------------------------------- summaries
@@ -374,8 +418,13 @@ def promo_duration_by_category(classified: DataFrame, max_gap_days: int = 1) ->
 
     Of durations with the same uplift the shorter one is best; without any uplift none is.
     """
+    return durations_by_category(promo_runs(classified, max_gap_days))
+
+
+def durations_by_category(runs: DataFrame) -> DataFrame:
+    """The same, of runs."""
     category = ["sub_department", "section"]
-    grouped = promo_runs(classified, max_gap_days).groupBy(*category, duration_label(F.col("duration_days")).alias("duration")).agg(
+    grouped = runs.groupBy(*category, duration_label(F.col("duration_days")).alias("duration")).agg(
         F.count(F.lit(1)).alias("promotions"),
         half_up(F.avg("duration_days")).alias("avg_days"),
         half_up(F.avg("uplift_pct")).alias("avg_uplift_pct"),
