@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline.functions.numeric import half_up, percent_of
-from shelfline.plans.promo import SKU_KEYS
+from shelfline.operators.skew import large_groups, whole_and_spread
+from shelfline.plans.promo import ITEM_KEYS, SKU_KEYS
 from shelfline.session import stage_table
 
 SECTION_KEYS = ["store_name", "sub_department", "section"]
@@ -138,27 +139,14 @@ def _level(name: str) -> Column:
     return F.struct(F.lit(name).alias("view_level"), *keys)
 
 
-def positioning_by_level(mart: DataFrame, levels: list[str]) -> DataFrame:
-    """Measures per level member in two aggregations.
-
-    The first has one row per level member and item, so that distinct SKUs
-    become plain counts in the second and each row is expanded once per level
-    only. The level's name is part of the key: a member whose store is really
-    NULL stays apart from the rolled-up NULL of a coarser level.
-    """
-    located = mart.select(
-        F.explode(F.array(*[_level(name) for name in levels])).alias("at"),
-        "item_code",
-        "is_focus",
-        "price_index_vs_competitors",
-        "own_discount_pct",
-        "price_positioning",
-    )
+def _per_item(measured: DataFrame, levels: list[str]) -> DataFrame:
+    """Totals per level member and item."""
+    located = measured.withColumn("at", F.explode(F.array(*[_level(name) for name in levels]))).drop(*SECTION_KEYS)
 
     def positioned(label: str) -> Column:
         return F.count(F.when(F.col("price_positioning") == label, 1))
 
-    per_item = located.groupBy("at", "item_code", "is_focus").agg(
+    return located.groupBy("at", *ITEM_KEYS).agg(
         F.sum("price_index_vs_competitors").alias("index_sum"),
         F.count("price_index_vs_competitors").alias("index_n"),
         F.sum("own_discount_pct").alias("discount_sum"),
@@ -167,6 +155,22 @@ def positioning_by_level(mart: DataFrame, levels: list[str]) -> DataFrame:
         positioned("at_market").alias("at_market_count"),
         positioned("premium").alias("premium_count"),
     )
+
+
+def positioning_by_level(mart: DataFrame, levels: list[str]) -> DataFrame:
+    """Measures per level member in two aggregations.
+
+    The first has one row per level member and item, so that distinct SKUs
+    become plain counts in the second. Rows are dealt out by item once and expanded, once per
+    level, where they lie; those of items with more rows than a task should take are expanded
+    and combined before the shuffle. The level's name is part of the key: a member whose store is really
+    NULL stays apart from the rolled-up NULL of a coarser level. ``mart`` should be a table.
+    """
+    measured = mart.select(*SECTION_KEYS, *ITEM_KEYS, "price_index_vs_competitors", "own_discount_pct", "price_positioning")
+    whole, spread = whole_and_spread(measured, ITEM_KEYS, large_groups(mart, ITEM_KEYS))
+    per_item = _per_item(whole, levels)
+    if spread is not None:
+        per_item = per_item.unionByName(_per_item(spread, levels))
     if "Overall" in levels:
         # The overall line exists even when the mart is empty.
         nothing = mart.sparkSession.range(1).select(

@@ -48,9 +48,9 @@ def spread(df: DataFrame) -> DataFrame:
 def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sales row per line item.
 
-    Only equality joins, each against a plain table scan whose size Spark knows:
-    it broadcasts what is under the broadcast limit and shuffles the rest, where
-    the adaptive skew join splits hot keys.
+    Only equality joins. Orders meet their customers and parts their suppliers first, so that
+    the lines are joined twice only, whatever the size of the other tables: Spark broadcasts
+    what is under the broadcast limit and shuffles the rest, where the adaptive skew join splits hot keys.
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"
@@ -62,14 +62,18 @@ def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     supplier_count = suppliers.agg(F.count(F.lit(1)).alias("n")).scalar()
 
+    stores = (
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("o_orderkey", "n_name")
+    )
+    # A line's owner follows from its part.
+    owned = parts.withColumn("owner_key", F.col("p_partkey") % supplier_count)
+    items = owned.join(suppliers, F.col("owner_key") == F.col("s_suppkey")).drop("owner_key", "s_suppkey")
     joined = (
         spread(lines)
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("owner_key", F.col("l_partkey") % supplier_count)
-        .join(suppliers, F.col("owner_key") == F.col("s_suppkey"))
+        .join(stores, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(items, F.col("l_partkey") == F.col("p_partkey"))
     )
 
     order_key, part_key = F.col("l_orderkey"), F.col("l_partkey")

@@ -11,7 +11,8 @@ from helpers import rows_of, sale, sales_frame
 from shelfline import stage_table
 from shelfline.operators import percentiles, skew
 from shelfline.operators.percentiles import percentile_summary
-from shelfline.plans import promo, staging
+from shelfline.plans import pricing, promo, staging
+from shelfline.sources.tpch_sales import sales_rows
 
 WANTED = {"a25": ("a", 0.25), "a50": ("a", 0.5), "b99": ("b", 0.99)}
 
@@ -91,3 +92,36 @@ def test_promotions_move_rows_once(sold, cfg):
     for made in (promo.build_promo_mart(sold, cfg), promo.promo_runs(part)):
         plan = plan_of(made)
         assert (plan.count("Exchange"), plan.count("Join")) == (1, 0)
+
+
+def test_price_levels(sold, monkeypatch):
+    mart = stage_table(pricing.build_price_mart(sold), "prices")
+    plans, found = [], []
+    for most in (10**6, 2, 0):
+        monkeypatch.setattr(skew, "WHOLE_ROWS", most)
+        summary = pricing.pricing_summary(mart)
+        plans.append(plan_of(summary))
+        found.append(rows_of(summary))
+    assert found[0] == found[1] == found[2] and {r[0] for r in found[0]} == set(pricing.LEVEL_ORDER)
+    # One exchange of the mart's rows and one of the totals; rows are expanded after the first.
+    assert plans[0].count("Exchange") == 2
+    assert plans[0].index("Generate explode") < plans[0].index("Exchange hashpartitioning(item_code")
+
+
+def test_base_sales_join_the_lines_twice(spark):
+    """Without broadcasts the lines pass two exchanges, whatever joins there are."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(sales_rows(spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    above, depth = [], None
+    for line in reversed(plan.split("\n")):
+        at = next((i for i, c in enumerate(line) if c.isalnum()), 0)
+        if depth is None and "FileScan" in line and "l_extendedprice" in line:
+            depth = at
+        elif depth is not None and at < depth:
+            above.append(line)
+            depth = at
+    assert len([line for line in above if "Exchange hashpartitioning" in line]) == 2
