@@ -12,8 +12,8 @@ NULL_KEY_TOKEN = "_dbt_utils_surrogate_key_null_"
 
 
 def collapse_spaces(value: Column) -> Column:
-    """Every run of Unicode white space becomes one blank."""
-    return F.regexp_replace(value, r"(?U)\s+", " ")
+    """Every run of Unicode white space becomes one blank; text of printable ASCII and single blanks, as most is, stays as it is."""
+    return F.when(value.rlike("[^!-~ ]|  "), F.regexp_replace(value, r"(?U)\s+", " ")).otherwise(value)
 
 
 def tidy(value: Column) -> Column:

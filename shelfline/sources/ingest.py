@@ -48,12 +48,21 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> D
 def _parsed_date(name: str, date_formats: Sequence[str]) -> Column:
     """The date of an ISO date or timestamp, or else by the first format that fits; a bare time is no date."""
     text = F.trim(F.col(name).cast("string"))
+    # A bare day, as most are, is read without the detour over a timestamp.
+    day = F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
     iso = F.when(text.rlike("^[0-9]{4}-"), text.try_cast("timestamp"))
-    return F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)) for f in date_formats]).cast("date")
+    return F.coalesce(day, F.coalesce(iso, *[F.try_to_timestamp(text, F.lit(f)) for f in date_formats]).cast("date"))
 
 
 #: What any number is read as to find out the type its column needs.
 _WIDEST = T.DecimalType(38, 18)
+#: Numbers that decimal(18,2) holds as they are written, as nearly all do.
+_PLAIN = r"^[+-]?[0-9]{1,16}(\.[0-9]{1,2})?$"
+
+
+def _with_digit(text: Column) -> Column:
+    """NULL for text that cannot be a number: a failing cast costs far more than the look at it."""
+    return F.when(text.rlike("[0-9]"), text)
 
 
 def number_types(df: DataFrame) -> dict[str, T.DecimalType]:
@@ -67,10 +76,14 @@ def number_types(df: DataFrame) -> dict[str, T.DecimalType]:
         return {}
     found = []
     for c in names:
-        digits = F.split_part(F.abs(F.trim(F.col(c)).try_cast(_WIDEST)).cast("string"), F.lit("."), F.lit(2))
-        decimals = F.length(F.rtrim(digits, F.lit("0")))
-        whole = F.length(F.split_part(F.abs(F.trim(F.col(c)).try_cast(_WIDEST)).cast("string"), F.lit("."), F.lit(1)))
-        found += [F.max(decimals).alias(f"decimals_{c}"), F.max(whole).alias(f"whole_{c}")]
+        text = F.trim(F.col(c))
+        plain = text.rlike(_PLAIN)
+        odd = F.abs(F.when(~plain, _with_digit(text)).try_cast(_WIDEST)).cast("string")
+        decimals = F.length(F.rtrim(F.split_part(odd, F.lit("."), F.lit(2)), F.lit("0")))
+        whole = F.length(F.split_part(odd, F.lit("."), F.lit(1)))
+        largest = F.max(F.abs(F.when(plain, text).try_cast(MONEY)))
+        plain_whole = F.length(F.split_part(largest.cast("string"), F.lit("."), F.lit(1)))
+        found += [F.max(decimals).alias(f"decimals_{c}"), F.greatest(F.max(whole), plain_whole).alias(f"whole_{c}")]
     most = df.agg(*found).first()
     types = {}
     for c in names:
@@ -90,13 +103,13 @@ def _parsed(name: str, date_formats: Sequence[str] = (), numbers: dict[str, T.De
         return F.col(name)
     if isinstance(dtype, T.DateType):
         return _parsed_date(name, date_formats)
-    return F.when(~_inexact(name), F.trim(F.col(name)).try_cast((numbers or {}).get(name, dtype)))
+    return F.when(~_inexact(name), _with_digit(F.trim(F.col(name))).try_cast((numbers or {}).get(name, dtype)))
 
 
 def _inexact(name: str) -> Column:
     """Whether a number has more than 18 decimals that are not zero; false where the text is no number."""
     text = F.trim(F.col(name))
-    value = text.try_cast(_WIDEST)
+    value = F.when(~text.rlike(_PLAIN), _with_digit(text)).try_cast(_WIDEST)
     beyond = F.regexp_extract(text, r"\.[0-9]{18}([0-9]+)$", 1).rlike("[1-9]")
     small = text.rlike("[eE]") & (text.try_cast("double") != value.cast("double"))
     return F.coalesce(value.isNotNull() & (beyond | small), F.lit(False))
