@@ -25,6 +25,11 @@ def stable(value: Column) -> Column:
     return F.when(_too_large(value), value).otherwise(F.rint(value * _EIGHT_DECIMALS) / _EIGHT_DECIMALS)
 
 
+def below(value: Column, limit: int) -> Column:
+    """Whether the stable form of a double is below a whole number; both are compared as multiples of the eighth decimal."""
+    return F.rint(value * _EIGHT_DECIMALS) < float(limit) * _EIGHT_DECIMALS
+
+
 def _too_large(value: Column) -> Column:
     """Whether a double has no eight exact decimals; true for NaN and the infinities."""
     return F.abs(value) >= float(1 << 53) / _EIGHT_DECIMALS

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.config import Config
-from shelfline.functions.numeric import flag, half_up, percent_of, stable
+from shelfline.functions.numeric import below, flag, half_up, percent_of, stable
 from shelfline.operators.ordering import with_rank
 from shelfline.operators.percentiles import percentile_columns, percentile_summary
 from shelfline.operators.regression import MOMENTS, merged, moments, solved
@@ -104,7 +104,12 @@ def _judged(compared: DataFrame, columns: list[str], cfg: Config) -> DataFrame:
     quantity = F.col("daily_quantity").cast("double")
     baseline, spread = F.col("baseline_daily_quantity"), F.col("stddev_daily_quantity")
     discount = F.col("discount_from_rrp_pct")
-    return compared.select(
+    # Rounding names its value several times, so it gets a column and not an expression (see ``promo_detection``).
+    unrounded = compared.withColumns({
+        "uplift": F.when(baseline > 0, (quantity - baseline) / baseline * 100),
+        "zscore": F.when(spread > 0, (quantity - F.col("avg_daily_quantity")) / spread).otherwise(F.lit(0.0)),
+    })
+    return unrounded.select(
         *columns,
         "baseline_rrp",
         "baseline_price",
@@ -114,10 +119,8 @@ def _judged(compared: DataFrame, columns: list[str], cfg: Config) -> DataFrame:
         "avg_daily_quantity",
         flag(discount >= cfg.promo_threshold_pct).alias("is_on_promo"),
         flag(stable(discount) > stable(F.col("p75_discount"))).alias("is_strong_promo"),
-        F.when(baseline > 0, half_up((quantity - baseline) / baseline * 100)).alias("quantity_uplift_pct"),
-        F.when(spread > 0, half_up((quantity - F.col("avg_daily_quantity")) / spread))
-        .otherwise(F.lit(0.0))
-        .alias("quantity_zscore"),
+        half_up(F.col("uplift")).alias("quantity_uplift_pct"),
+        half_up(F.col("zscore")).alias("quantity_zscore"),
     )
 
 
@@ -154,11 +157,12 @@ def store_sku_promo(classified: DataFrame) -> DataFrame:
         F.avg(F.when(promo, F.col("quantity_uplift_pct"))).alias("promo_quantity_uplift_pct"),
         F.max("quantity_zscore").alias("max_quantity_zscore"),
     )
-    return grouped.withColumn("promo_coverage_pct", percent_of(F.col("promo_days"), F.col("total_days")))
+    coverage = F.try_divide(F.col("promo_days").cast("double"), F.col("total_days").cast("double")) * 100
+    return grouped.withColumn("coverage", coverage).withColumn("promo_coverage_pct", half_up(F.col("coverage"))).drop("coverage")
 
 
 def promo_uplift() -> Column:
-    """Promo days against the store's other days, or against the item's baseline if all days are promo."""
+    """Promo days against the store's other days, or against the item's baseline if all days are promo; not rounded."""
     promo_rate = F.try_divide(F.col("promo_units_sold").cast("double"), F.col("promo_days"))
     other_days = F.col("total_days") - F.col("promo_days")
     other_rate = F.try_divide(F.col("non_promo_units_sold").cast("double"), other_days)
@@ -166,20 +170,25 @@ def promo_uplift() -> Column:
     on_promo = F.col("promo_days") > 0
     return F.when(
         (F.col("non_promo_units_sold") > 0) & on_promo & (other_days > 0),
-        half_up((promo_rate - other_rate) / other_rate * 100),
-    ).when((baseline > 0) & on_promo, half_up((promo_rate - baseline) / baseline * 100))
+        (promo_rate - other_rate) / other_rate * 100,
+    ).when((baseline > 0) & on_promo, (promo_rate - baseline) / baseline * 100)
 
 
 def discount_tier(discount: Column) -> Column:
     tier = F.when(discount.isNull(), UNKNOWN_TIER)
     for limit, label in DISCOUNT_TIERS:
-        tier = tier.when(stable(discount) < limit, label)
+        tier = tier.when(below(discount, limit), label)
     return tier.otherwise(DEEPEST_TIER)
 
 
 def promo_detection(classified: DataFrame) -> DataFrame:
-    """The promotions mart."""
-    return store_sku_promo(classified).select(
+    """The promotions mart.
+
+    The Java runtime does not compile a method of more than 8,000 bytes, and Spark makes one of the totals and all that is
+    computed from them: what is rounded is a column before, so that its expression stands in that method once.
+    """
+    totals = store_sku_promo(classified).withColumn("uplift", promo_uplift())
+    return totals.select(
         *SKU_KEYS,
         "first_sale_date",
         "last_sale_date",
@@ -204,7 +213,7 @@ def promo_detection(classified: DataFrame) -> DataFrame:
         "non_promo_units_sold",
         "promo_sales_value",
         "non_promo_sales_value",
-        promo_uplift().alias("promo_uplift_pct"),
+        half_up(F.col("uplift")).alias("promo_uplift_pct"),
         "promo_quantity_uplift_pct",
         "max_quantity_zscore",
     )

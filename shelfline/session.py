@@ -15,6 +15,9 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The Java runtime never compiles a method of more bytes. Where the code of a whole
+    # stage would hold one, the stage runs operator by operator, in compiled methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

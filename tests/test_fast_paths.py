@@ -4,6 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F, types as T
 
+from shelfline.functions.numeric import below, stable
 from shelfline.functions.text import collapse_spaces
 from shelfline.sources import ingest
 
@@ -48,3 +49,10 @@ def test_types_of_long_numbers(spark):
     assert types("1234567890123456", "0." + "1" * 12) == T.DecimalType(28, 12)
     assert types("1234567890123456", "0." + "1" * 13) == T.DecimalType(38, 13)
     assert types("0000000000000001", "0." + "1" * 18) == T.DecimalType(28, 18)
+
+
+def test_below(spark):
+    values = [5.0, 4.999999999, 4.99999999, 4.9999999951, 4.9999999949, 5.000000001, 0.0, -0.0, -1e12, 1e12, float("nan"), float("inf"), float("-inf"), None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    found = rows.select("v", below(F.col("v"), 5).alias("found"), (stable(F.col("v")) < 5.0).alias("wanted")).collect()
+    assert len({r["found"] for r in found}) == 3 and all(r["found"] == r["wanted"] for r in found)

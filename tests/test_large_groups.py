@@ -1,6 +1,7 @@
 """Groups that one task takes whole, and larger ones, give the same results; rows are moved once."""
 
 import random
+import re
 from datetime import date, timedelta
 
 import numpy as np
@@ -94,6 +95,20 @@ def test_promotions_move_rows_once(sold, cfg):
         assert (plan.count("Exchange"), plan.count("Join")) == (1, 0)
 
 
+def test_promotions_are_compiled(spark, sold, cfg):
+    """No method of the mart's stages is too long for the Java runtime to compile; longer stages run operator by operator."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        (part,) = promo.classified_parts(sold, cfg)
+        code = [debug.codegenString(df._jdf.queryExecution().executedPlan()) for df in (part, promo.build_promo_mart(sold, cfg))]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(size) for text in code for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert len(sizes) >= 6 and 0 < max(sizes) <= 8000
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
 def test_price_levels(sold, monkeypatch):
     mart = stage_table(pricing.build_price_mart(sold), "prices")
     plans, found = [], []
