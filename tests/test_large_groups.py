@@ -109,6 +109,11 @@ def test_promotions_are_compiled(spark, sold, cfg):
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
 
 
+def test_written_tables_are_packed(mixed):
+    files = mixed[0].inputFiles()
+    assert files and all(".zstd." in file for file in files)
+
+
 def test_price_levels(sold, monkeypatch):
     mart = stage_table(pricing.build_price_mart(sold), "prices")
     plans, found = [], []
