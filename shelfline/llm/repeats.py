@@ -41,7 +41,7 @@ LENGTH = 100
 MER = 40
 #: Most windows of one piece, which bounds the rounds of the construction.
 PIECE = 64
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 #: Bytes of text for which there is a bucket at least.
 BUCKET_BYTES = 128 << 20
 #: Documents sampled for hashes with very many pieces, and from how many pieces there a hash is dealt by window.
@@ -183,49 +183,58 @@ def transform(strings: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     last = np.cumsum(size, dtype=np.int32)
     first = last - size
     n = len(size)
-    owner = np.arange(n, dtype=np.int32)
-    left = size.copy()  # start of each suffix in its string
-    prefix = np.zeros(n, np.int32)
-    before = np.where(size > 0, data[last - 1], _DONE)  # symbol before each suffix
+    # One record per suffix, so that a round moves them once: where it starts, the common prefix, the symbol before it.
+    record = np.dtype([("at", np.int32), ("prefix", np.uint16), ("before", np.uint8), ("", np.uint8)])
+    suffixes = np.zeros(n, record)
+    suffixes["at"] = last
+    suffixes["before"] = np.where(size > 0, data[last - 1], _DONE)
     newest = np.arange(n, dtype=np.int32)  # place of each string's latest suffix
     active = np.flatnonzero(size > 0).astype(np.int32)
+    whole = n - len(active)
+    numbers = np.arange(n + len(data) - 1, dtype=np.int32)
+    rank = np.empty_like(numbers)
     while len(active):
-        # Suffixes that start with a symbol, in order of symbol and of the suffix behind it.
+        before = np.ascontiguousarray(suffixes["before"])
+        # Suffixes that start with a symbol, in order of symbol and of the suffix behind it; whole strings, without one, come last.
         order = np.argsort(before, kind="stable")
-        order = order[: len(before) - np.count_nonzero(before == _DONE)]
-        rank = np.empty(len(before), np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
+        kept = len(order) - whole
+        rank[order] = numbers[: len(order)]
         new = rank[newest[active]]
         by_rank = np.argsort(new)
         active, new = active[by_rank], new[by_rank]
+        places = newest[active]
         # A new suffix and the one after it have a new neighbour before them.
-        is_touched = np.zeros(len(order) + 1, bool)
-        is_touched[new] = True
-        is_touched[new + 1] = True
-        touched = np.flatnonzero(is_touched[:-1])
+        after = new[np.append(new[1:] != new[:-1] + 1, new[-1] + 1 < kept)] + 1
+        touched = np.sort(np.concatenate((new, after)))
         behind = order[np.maximum(touched - 1, 0)]
         here = order[touched]
-        inner = (touched > 0) & (before[here] == before[behind])
-        value = np.zeros(len(touched), np.int32)
-        if inner.any():
+        inner = np.flatnonzero((touched > 0) & (before[here] == before[behind]))
+        value = np.zeros(len(touched), np.uint16)
+        if len(inner):
+            # From the last range to the first: what lies between two of them is then no range of its own.
+            inner = inner[np.argsort(-behind[inner])]
             bounds = np.stack((behind[inner] + 1, here[inner] + 1), axis=1).ravel()
-            value[inner] = 1 + np.minimum.reduceat(np.append(prefix, np.int32(0)), bounds)[::2]
+            value[inner] = 1 + np.minimum.reduceat(np.append(suffixes["prefix"], np.uint16(0)), bounds)[::2]
         place = n + new
-        old = np.ones(len(before) + len(new), bool)
+        old = np.ones(len(suffixes) + len(new), bool)
         old[place] = False
-        at = left[newest[active]] - 1
-        symbol = np.where(at > 0, data[first[active] + at - 1], _DONE)
-        grown = []
-        for array, added in ((owner, active), (left, at), (prefix, 0), (before, symbol)):
-            out = np.empty(len(old), array.dtype)
-            out[old] = array
-            out[place] = added
-            grown.append(out)
-        owner, left, prefix, before = grown
-        prefix[n + touched] = value
+        added = np.zeros(len(new), record)
+        added["at"] = suffixes["at"][places] - 1
+        goes_on = added["at"] > first[active]
+        added["before"] = np.where(goes_on, data[added["at"] - 1], _DONE)
+        # Moved as plain numbers, which NumPy copies fastest.
+        grown = np.empty(len(old), np.uint64)
+        grown[old] = suffixes.view(np.uint64)
+        grown[place] = added.view(np.uint64)
+        suffixes = grown.view(record)
+        suffixes["prefix"][n + touched] = value
         newest[active] = place
-        active = active[at > 0]
-    return owner, left, prefix
+        whole += len(active) - np.count_nonzero(goes_on)
+        active = active[goes_on]
+    # Ends of strings come first, by string; every other suffix starts inside its string.
+    owner = np.repeat(np.arange(n, dtype=np.int32), size)[np.minimum(suffixes["at"], len(data) - 2)] if len(data) > 1 else np.zeros(n, np.int32)
+    owner[:n] = np.arange(n)
+    return owner, suffixes["at"] - first[owner], suffixes["prefix"].astype(np.int32)
 
 
 def repeated_windows(pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:

@@ -128,3 +128,30 @@ def test_transform_sorts_all_suffixes():
             a, b = (strings[owner[y]][left[y] :] for y in (x - 1, x))
             same = next((n for n, (c, d) in enumerate(zip(a, b, strict=False)) if c != d), min(len(a), len(b)))
             assert prefix[x] == same
+
+
+def test_transform_reads_only_the_prefixes_between_neighbours(monkeypatch):
+    """A round of the construction takes range minima between equal symbols, not between all of them."""
+    letters = np.random.default_rng(5).integers(97, 123, 64 * 120).astype(np.uint8)
+    end = np.arange(1, 65) * 120
+    none = np.zeros(64, np.int64)
+    read = []
+
+    class Minimum:
+        def __call__(self, *args):
+            return np.minimum(*args)
+
+        def reduceat(self, values, bounds):
+            covered = np.maximum(np.diff(np.append(bounds, len(values))), 1)
+            read.append(int(covered.sum()) / len(values))
+            return np.minimum.reduceat(values, bounds)
+
+    class Numpy:
+        minimum = Minimum()
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+    monkeypatch.setattr(repeats, "np", Numpy())
+    repeats.transform(repeats.Pieces(letters, end - 120, end, none, none, none))
+    assert sum(read) / len(read) < 6
