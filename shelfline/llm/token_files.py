@@ -19,6 +19,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 15
 SEGMENT_IDS = 1 << 20
-#: Most pieces of text whose ids a Python worker remembers, and pieces coded as one text.
-MEMORY, JOINED = 1_000_000, 2000
+#: Most pieces of text whose ids a Python worker remembers, pieces coded as one text, and such texts coded in one call.
+MEMORY, JOINED, CALLED = 1_000_000, 200, 100
 #: Pieces of more characters are not remembered.
 LONG_PIECE = 100
 #: Characters that any Unicode version calls white space, or may; a blank after another character starts a new match, whatever follows.
@@ -129,7 +130,8 @@ class Tokens:
 
     The byte-level pre-tokenizer starts a new match at every blank that follows a character other than white space, so
     the pieces between such blanks can be coded one by one. The pieces of a batch of texts that are not
-    remembered are coded together. Texts that hold a special token are coded whole.
+    remembered are coded together. When the memory is full, the half of it that was met first stays: frequent
+    pieces are met early. Texts that hold a special token are coded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -147,7 +149,8 @@ class Tokens:
         self.known: dict[str, bytes] = {}
 
     def _code(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        # The fast call differs in leaving out the places of the tokens in the text.
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _code_pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
@@ -159,13 +162,13 @@ class Tokens:
         open_ended = [p for p in pieces if not p or p[-1] in _WHITE]
         yield from zip(open_ended, self._code([" " + p for p in open_ended]), strict=True)
         closed = [p for p in pieces if p and p[-1] not in _WHITE]
-        for i in range(0, len(closed), JOINED):
-            run = closed[i : i + JOINED]
-            raw = self._code([" " + " ".join(run)])[0]
+        for i in range(0, len(closed), JOINED * CALLED):
+            some = closed[i : i + JOINED * CALLED]
+            raw = b"".join(self._code([" " + " ".join(some[j : j + JOINED]) for j in range(0, len(some), JOINED)]))
             upto = np.cumsum(self.bytes_of[np.frombuffer(raw, "<u4")])
-            ends = np.cumsum([len(p.encode()) + 1 for p in run])
+            ends = np.cumsum([len(p.encode()) + 1 for p in some])
             places = [0, *(4 * (np.searchsorted(upto, ends) + 1)).tolist()]
-            yield from zip(run, [raw[a:b] for a, b in zip(places[:-1], places[1:], strict=True)], strict=True)
+            yield from zip(some, [raw[a:b] for a, b in pairwise(places)], strict=True)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         heads: list[str] = []
@@ -182,7 +185,7 @@ class Tokens:
             rests.append(rest)
             seen.update(rest)
         if len(self.known) + len(seen) > MEMORY and len(self.known) + len(seen.difference(self.known)) > MEMORY:
-            self.known = {}
+            self.known = dict(islice(self.known.items(), max(0, min(MEMORY // 2, MEMORY - len(seen)))))
         known = self.known
         new = list(seen.difference(known))
         known.update(self._code_pieces(new))

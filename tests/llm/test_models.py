@@ -65,6 +65,20 @@ def test_ids_equal_the_library_around_all_blanks(monkeypatch):
     assert not any(len(piece) > token_files.LONG_PIECE for piece in coder.known)
 
 
+def test_pieces_met_first_stay_remembered(monkeypatch):
+    monkeypatch.setattr(token_files, "MEMORY", 100)
+    coder = token_files.Tokens(token_files.tokenizer_path(TOKENIZER))
+    common = [f"often{i}" for i in range(20)]
+    coder.ids(["head " + " ".join(common)])
+    coded, code = [], coder._code
+    monkeypatch.setattr(coder, "_code", lambda texts: coded.extend(texts) or code(texts))
+    for turn in range(10):
+        text = "head " + " ".join([*common, *(f"rare{turn}x{i}" for i in range(20))])
+        assert coder.ids([text])[0].tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(coder.known) <= token_files.MEMORY
+    assert not any("often" in text for text in coded)
+
+
 def test_trusted_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(quality, "SAMPLE", 100)
     labels = spark.range(5000).selectExpr("id % 4000 as doc_id")
