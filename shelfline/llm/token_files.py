@@ -14,15 +14,15 @@ block a u64 offset in words, one more for the end, and the words.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice, pairwise
+from itertools import chain, islice, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfline.llm.common import prepare
@@ -36,22 +36,67 @@ ESCAPE = 15
 SEGMENT_IDS = 1 << 20
 #: Most pieces of text whose ids a Python worker remembers, pieces coded as one text, and such texts coded in one call.
 MEMORY, JOINED, CALLED = 1_000_000, 200, 100
-#: Pieces of more characters are not remembered.
+#: Pieces of more bytes are not remembered.
 LONG_PIECE = 100
-#: Characters that any Unicode version calls white space, or may; a blank after another character starts a new match, whatever follows.
+#: Characters that any Unicode version calls white space, or may.
 _WHITE = frozenset(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)))
-_BORDER = re.compile(f"(?<=[^{''.join(map(re.escape, sorted(_WHITE)))}]) ")
-#: White space before a blank.
-_DOUBTFUL = [c + " " for c in sorted(_WHITE)]
-_DOUBTFUL_ASCII = [pair for pair in _DOUBTFUL if pair.isascii()]
+_WHITE_BYTE = np.array([b < 0x80 and chr(b) in _WHITE for b in range(256)])
+#: The longer ones, their bytes read as a number.
+_WHITE_LONG = np.array(sorted(int.from_bytes(c.encode()) for c in _WHITE if not c.isascii()))
+#: What may start a match: 1 white space (as every version has it), 2 signs but the apostrophe, which also starts endings.
+_STARTS = np.array([1 if b in b"\t\n\r " else 2 if 0x20 < b < 0x7F and b != 0x27 and not chr(b).isalnum() else 0 for b in range(256)], np.int8)
+_WORD_BYTE = np.array([b < 0x80 and chr(b).isalnum() for b in range(256)])
+
+
+def _after_white(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends before a place may be white space."""
+    first = raw[at - 1]
+    white = _WHITE_BYTE[first]
+    wide = np.flatnonzero(first >= 0x80)
+    third, second, first = (raw[at[wide] - k].astype(np.int64) for k in (3, 2, 1))
+    pair = second << 8 | first
+    white[wide] = np.isin(pair, _WHITE_LONG) | np.isin(third << 16 | pair, _WHITE_LONG)
+    return white
+
+
+def _borders(raw: np.ndarray) -> np.ndarray:
+    """Marks places in UTF-8 texts where a new match starts, whatever follows.
+
+    They are white space after another character, and signs after a letter or digit of ASCII or a letter of Latin-1.
+    """
+    border = np.zeros(len(raw), bool)
+    kind = _STARTS[raw]
+    white = np.flatnonzero(kind == 1)
+    border[white[~_after_white(raw, white)]] = True
+    sign = np.flatnonzero(kind == 2)
+    last = raw[sign - 1]
+    border[sign[_WORD_BYTE[last] | ((raw[sign - 2] == 0xC3) & (last != 0x97) & (last != 0xB7))]] = True
+    return border
+
+
+def _parts(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the texts, and where each starts in them, with the end."""
+    _, places, data = texts.buffers()
+    bounds = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    return bounds - bounds[0], np.frombuffer(data or b"", np.uint8)[bounds[0] : bounds[-1]]
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def _holds(texts: pa.Array, parts: list[str]) -> np.ndarray:
+    """Whether a text holds any of the parts."""
+    found = [np.asarray(pc.match_substring(texts, part)) for part in parts]
+    return np.logical_or.reduce(found) if found else np.zeros(len(texts), bool)
 
 
 def encode(ids: np.ndarray) -> bytes:
     """Code one run of unsigned ids."""
     ids = np.asarray(ids, np.uint64)
     blocks = -(-len(ids) // BLOCK)
-    place = np.arange(len(ids))
-    left = np.minimum((place // BLOCK + 1) * BLOCK, len(ids)) - place
+    left = np.tile(np.arange(BLOCK, 0, -1, dtype=np.int16), blocks)[: len(ids)]
+    left[(blocks - 1) * BLOCK :] -= blocks * BLOCK - len(ids)
     # The narrowest selector each id fits, len(WIDTHS) if none does; then the widest of that over the ids a word would hold.
     width = np.searchsorted(np.uint64(1) << WIDTHS.astype(np.uint64), ids, "right").astype(np.int8)
     choice = np.full(len(ids), -1, np.int8)
@@ -64,9 +109,9 @@ def encode(ids: np.ndarray) -> bytes:
             if grow < len(ids):
                 widest = np.append(np.maximum(widest[:-grow], widest[grow:]), widest[-grow:])
             length += grow
-        choice[(widest <= selector) & (left >= count)] = selector
-    choice = choice.astype(np.int64)
-    step = np.where(choice >= 0, COUNTS[choice], 1)
+        np.copyto(choice, selector, where=(widest <= selector) & (left >= count))
+    # Without a selector, -1, it is the last of these.
+    step = np.append(COUNTS, 1).astype(np.int16)[choice]
     # All blocks are walked side by side, one word of each at a time.
     at, number = np.arange(blocks) * BLOCK, np.arange(blocks)
     ends = np.minimum(at + BLOCK, len(ids))
@@ -126,12 +171,12 @@ def decode(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
 
 
 class Tokens:
-    """Ids of texts by a tokenizers file, remembering the ids of pieces between blanks.
+    """Ids of texts by a tokenizers file, remembering the ids of pieces of text.
 
-    The byte-level pre-tokenizer starts a new match at every blank that follows a character other than white space, so
-    the pieces between such blanks can be coded one by one. The pieces of a batch of texts that are not
-    remembered are coded together. When the memory is full, the half of it that was met first stays: frequent
-    pieces are met early. Texts that hold a special token are coded whole.
+    Texts are cut where the byte-level pre-tokenizer starts a new match whatever follows (``_borders``), so that the pieces can be
+    coded one by one. The pieces of a batch are numbered and put together again as Arrow columns; Python sees each distinct
+    piece once, and the library those that are not remembered. When the memory is full, the half of it that was met
+    first stays: frequent pieces are met early. Texts that hold a special token are coded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -146,54 +191,77 @@ class Tokens:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.bytes_of[number] = len(token)
-        self.known: dict[str, bytes] = {}
+        #: The place of each remembered piece, whose ids are flat[ends[place] : ends[place + 1]].
+        self.known: dict[str, int] = {}
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _code(self, texts: list[str]) -> list[bytes]:
+    def _code(self, texts: list[str]) -> list[list[int]]:
         # The fast call differs in leaving out the places of the tokens in the text.
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _code_pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
-        """The pieces and the ids of each with a blank before it.
+    def _learn(self, pieces: pa.LargeStringArray) -> tuple[np.ndarray, int]:
+        """Code the pieces and add them to the known ones; returns their places, and how many places are to be remembered.
 
-        Pieces that do not end in white space are joined to texts, in which the blanks start new matches; the lengths of the tokens in
-        bytes tell where a piece ends.
+        Pieces that begin with white space and do not end in it are joined to texts, in which they start new matches; the lengths of the
+        tokens in bytes tell where a piece ends.
         """
-        open_ended = [p for p in pieces if not p or p[-1] in _WHITE]
-        yield from zip(open_ended, self._code([" " + p for p in open_ended]), strict=True)
-        closed = [p for p in pieces if p and p[-1] not in _WHITE]
-        for i in range(0, len(closed), JOINED * CALLED):
-            some = closed[i : i + JOINED * CALLED]
-            raw = b"".join(self._code([" " + " ".join(some[j : j + JOINED]) for j in range(0, len(some), JOINED)]))
-            upto = np.cumsum(self.bytes_of[np.frombuffer(raw, "<u4")])
-            ends = np.cumsum([len(p.encode()) + 1 for p in some])
-            places = [0, *(4 * (np.searchsorted(upto, ends) + 1)).tolist()]
-            yield from zip(some, [raw[a:b] for a, b in pairwise(places)], strict=True)
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        heads: list[str] = []
-        rests: list[list[str]] = []
-        seen: set[str] = set()
-        for text in texts:
-            if any(s in text for s in self.special):
-                heads.append(text)
-                rests.append([])
-                continue
-            doubtful = text.startswith(" ") or any(pair in text for pair in (_DOUBTFUL_ASCII if text.isascii() else _DOUBTFUL))
-            first, *rest = _BORDER.split(text) if doubtful else text.split(" ")
-            heads.append(first)
-            rests.append(rest)
-            seen.update(rest)
-        if len(self.known) + len(seen) > MEMORY and len(self.known) + len(seen.difference(self.known)) > MEMORY:
-            self.known = dict(islice(self.known.items(), max(0, min(MEMORY // 2, MEMORY - len(seen)))))
-        known = self.known
-        new = list(seen.difference(known))
-        known.update(self._code_pieces(new))
-        out = [np.frombuffer(head + b"".join(map(known.__getitem__, rest)), "<u4") for head, rest in zip(self._code(heads), rests, strict=True)]
-        for piece in new:
-            if len(piece) > LONG_PIECE:
-                del known[piece]
-        return out
+        bounds, raw = _parts(pieces)
+        length = np.diff(bounds)
+        alone = (_STARTS[raw[bounds[:-1]]] != 1) | _after_white(raw, bounds[1:]) | (length > LONG_PIECE) | _holds(pieces, self.special)
+        # Joined ones first, long ones last.
+        order = np.argsort(alone.astype(np.int8) + (length > LONG_PIECE), kind="stable")
+        pieces, length = pieces.take(pa.array(order)), length[order]
+        bounds, raw = _parts(pieces)
+        joined = len(pieces) - int(alone.sum())
+        ids, sizes = [self.flat[: self.ends[-1]]], [np.zeros(0, np.int64)]
+        for i in range(0, joined, JOINED * CALLED):
+            upto = min(i + JOINED * CALLED, joined)
+            cuts = [*bounds[i:upto:JOINED].tolist(), int(bounds[upto])]
+            coded = self._code([raw[a:b].tobytes().decode() for a, b in pairwise(cuts)])
+            ids.append(np.concatenate([np.array(c, np.uint32) for c in coded]))
+            tokens_end = np.cumsum(self.bytes_of[ids[-1]])
+            sizes.append(np.diff(np.searchsorted(tokens_end, np.cumsum(length[i:upto])) + 1, prepend=0))
+        names = _strings(pieces)
+        for i in range(joined, len(pieces), CALLED):
+            coded = self._code(names[i : i + CALLED])
+            ids.append(np.fromiter(chain.from_iterable(coded), np.uint32))
+            sizes.append(np.fromiter(map(len, coded), np.int64))
+        places = np.empty(len(pieces), np.int64)
+        places[order] = np.arange(len(self.known), len(self.known) + len(pieces))
+        self.flat = np.concatenate(ids)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))])
+        remembered = len(pieces) - int((length > LONG_PIECE).sum())
+        self.known.update(zip(names[:remembered], range(len(self.known), len(self.known) + remembered), strict=True))
+        return places, len(self.known)
+
+    def _keep(self, count: int) -> None:
+        """Only the first places stay."""
+        if count < len(self.known):
+            self.known = dict(islice(self.known.items(), count))
+        if count + 1 < len(self.ends):
+            self.ends = self.ends[: count + 1].copy()
+            self.flat = self.flat[: self.ends[-1]].copy()
+
+    def ids(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        texts = (pa.array(texts, pa.string()) if isinstance(texts, list) else texts).cast(pa.large_string())
+        bounds, raw = _parts(texts)
+        if not len(raw):
+            return [np.zeros(0, np.uint32)] * len(texts)
+        border = _borders(raw)
+        for number in np.flatnonzero(_holds(texts, self.special)).tolist():
+            border[bounds[number] : bounds[number + 1]] = False
+        border[bounds[:-1][np.diff(bounds) > 0]] = True
+        starts = np.flatnonzero(border)
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(raw)).dictionary_encode()
+        places = np.fromiter(map(self.known.get, _strings(pieces.dictionary), repeat(-1)), np.int64, len(pieces.dictionary))
+        new, keep = np.flatnonzero(places < 0), len(self.known)
+        if len(new):
+            places[new], keep = self._learn(pieces.dictionary.take(pa.array(new)))
+        coded = pa.LargeListArray.from_arrays(pa.array(self.ends), pa.array(self.flat)).take(pa.array(places).take(pieces.indices))
+        upto, ids = np.asarray(coded.offsets), np.asarray(coded.values)
+        ends = upto[np.searchsorted(starts, bounds)]
+        self._keep(keep if keep <= MEMORY else MEMORY // 2)
+        return [ids[a:b] for a, b in pairwise(ends.tolist())]
 
 
 @lru_cache(maxsize=1)
@@ -220,24 +288,24 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iter
     part, number = TaskContext.get().partitionId(), 0
     docs: list[int | None] = []
     runs: list[np.ndarray] = []
-    size = 0
+    size, end = 0, np.array([end_id], np.uint32)
 
     def flush() -> pa.RecordBatch:
         missing = np.array([d is None for d in docs], np.uint8)
         values = np.array([0 if d is None else d for d in docs], "<i8")
-        ends = np.cumsum([len(r) for r in runs]).astype("<u8")
-        row = [part, number, int(ends[-1]), missing.tobytes(), values.tobytes(), ends.tobytes(), encode(np.concatenate(runs))]
+        ends = np.cumsum([len(r) + 1 for r in runs]).astype("<u8")
+        ids = np.concatenate([x for r in runs for x in (r, end)])
+        row = [part, number, int(ends[-1]), missing.tobytes(), values.tobytes(), ends.tobytes(), encode(ids)]
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
         names = [c.split()[0] for c in SEGMENT_SCHEMA.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
     for batch in batches:
-        coded = _tokens(path).ids([text or "" for text in batch.column(1).to_pylist()])
+        coded = _tokens(path).ids(pc.fill_null(batch.column(1), ""))
         for doc, run in zip(batch.column(0).to_pylist(), coded, strict=True):
-            ids = np.append(run, np.uint32(end_id))
             docs.append(doc)
-            runs.append(ids)
-            size += len(ids)
+            runs.append(run)
+            size += len(run) + 1
             if size >= SEGMENT_IDS:
                 yield flush()
                 docs, runs, size, number = [], [], 0, number + 1
@@ -296,4 +364,5 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
                 yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
-    return segments.drop("n_ids").join(starts, ["part", "segment"]).mapInArrow(documents, schema)
+    # One row per segment, a million ids: sent to the tasks, so that the payloads need not be shuffled.
+    return segments.drop("n_ids").join(F.broadcast(starts), ["part", "segment"]).mapInArrow(documents, schema)

@@ -79,6 +79,37 @@ def test_pieces_met_first_stay_remembered(monkeypatch):
     assert not any("often" in text for text in coded)
 
 
+def test_words_are_coded_once_whatever_sign_follows(monkeypatch):
+    coder = token_files.Tokens(token_files.tokenizer_path(TOKENIZER))
+    coder.ids(["head garden\nété ..."])
+    coded, code = [], coder._code
+    monkeypatch.setattr(coder, "_code", lambda texts: coded.extend(texts) or code(texts))
+    text = "head garden, garden. garden;\nété\nété! garden: garden\nété..."
+    assert coder.ids([text])[0].tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert coded and not any("garden" in text or "été" in text for text in coded)
+
+
+def test_ids_equal_the_library_around_signs():
+    """Signs, apostrophes and line ends beside letters of Latin-1 and beyond, digits and blanks; long pieces and empty texts."""
+    rng = random.Random(11)
+    coder = token_files.Tokens(token_files.tokenizer_path(TOKENIZER))
+    signs = [chr(c) for c in range(0x21, 0x7F)]
+    latin = [chr(c) for c in range(0xA0, 0x180)]
+    parts = ["the", "12", "it's", "'ll", "'", "\u0301", "漢", "😀", " ", " ", "\n", "\n\n", "\r\n", "\t", "  "]
+    for _ in range(100):
+        texts = ["".join(rng.choice(rng.choice((signs, latin, parts))) for _ in range(rng.randint(0, 20))) for _ in range(100)]
+        texts += ["a.<|endoftext|>,b", "x" * 300 + ", y.", ". " * 200]
+        wanted = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [ids.tolist() for ids in coder.ids(texts)] == wanted
+
+
+def test_token_files_are_read_without_shuffling_the_payloads(spark, docs):
+    target = scratch_path(spark, "test-tokens")
+    token_files.write_token_files(docs, target, TOKENIZER)
+    plan = token_files.read_token_files(spark, target)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "rightHint=(strategy=broadcast)" in plan
+
+
 def test_trusted_sample_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(quality, "SAMPLE", 100)
     labels = spark.range(5000).selectExpr("id % 4000 as doc_id")
