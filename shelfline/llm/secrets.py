@@ -209,7 +209,8 @@ def train(rows: DataFrame, trees: int = 30, depth: int = 6, seed: int = 7) -> Pi
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label")
     sample = vectors.transform(parts[0].unionByName(parts[1])).select("features", "label")
-    return PipelineModel([vectors, forest.fit(sample)])
+    # A fitted forest holds its training summary and by it the session, which no task can take along once the session has observed a query; a copy has none.
+    return PipelineModel([vectors, forest.fit(sample).copy()])
 
 
 def scan(docs: DataFrame, min_score: float = 0.5, own_labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
