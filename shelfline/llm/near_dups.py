@@ -14,7 +14,8 @@ with changes, or a very common passage) is never paired out. Its texts are compa
 with a leader, the text with the most common values. Let D be the largest symmetric
 difference two linked sets can have. From their differences from the leader alone the similarity of any two of its texts
 follows exactly, so a family of up to ``FAMILY`` texts is settled in one task without
-making pairs. In a larger one, a text that differs from the leader in more than D hashes
+making pairs, and a larger one by comparing blocks of it with each other, if its differences fill no more than ``BLOCKS``
+blocks. In a still larger one, a text that differs from the leader in more than D hashes
 can only be linked to texts that share more than half of *their* difference with it, so
 the family is listed again by the rarest part of the differences, and the same steps are
 applied to these lists (of lists with the same members to one). Texts linked to the leader are in one group already and need
@@ -44,6 +45,10 @@ K = 32
 MISS = 1e-9
 #: Most texts of a first list that is paired out, and of a family that one task settles.
 SHORT, FAMILY = 12, 1024
+#: Bytes of differences in a block of a larger family, and most blocks of a family that are compared with each other.
+BLOCK, BLOCKS = 4 << 20, 16
+#: Looking two differences through for common hashes takes as long as counting so many texts that hold one.
+_PAIR = 4096
 _COUNTER_BITS = 20
 _COUNTER_BLOCK = 1 << 12
 
@@ -240,7 +245,7 @@ def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _families(compared: DataFrame) -> DataFrame:
-    """lead, node, n, open, delta, length, size: texts around leaders that have unlinked ones.
+    """lead, node, n, open, delta, length, size, bytes: texts around leaders that have unlinked ones.
 
     delta holds the hashes added to and removed from the leader's set (of different
     kinds, so an added one never equals a removed one). With c = (1 - t) / (1 + t), linked
@@ -248,6 +253,7 @@ def _families(compared: DataFrame) -> DataFrame:
     (dx + dy - D) / 2. An unlinked y has dy > c (|y| + |leader|): a linked x shares more
     than (dx - c (|x| - |leader|)) / 2 with it, an unlinked one at least dy - D and one at
     all. ``length`` is how many of the rarest hashes of delta must be listed for that.
+    size and bytes are those of the leader's texts and of their deltas.
     """
 
     def describe(batch: pa.RecordBatch) -> dict:
@@ -267,19 +273,42 @@ def _families(compared: DataFrame) -> DataFrame:
             "open": pa.compute.invert(batch.column(2)), "delta": delta, "length": length,
         }
 
-    sizes = compared.groupBy("a").agg(F.count(F.lit(1)).alias("size"), F.max((~F.col("linked")).cast("int")).alias("any_open")).where("any_open = 1")
-    around = compared.join(sizes.drop("any_open"), "a")
-    described = map_arrow(around.drop("size"), describe, "lead long, node long, n long, open boolean, delta binary, length long")
-    return described.join(sizes.select(F.col("a").alias("lead"), "size"), "lead")
+    sizes = (
+        compared.groupBy("a")
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.sum(F.octet_length("added") + F.octet_length("removed")).alias("bytes"),
+            F.max((~F.col("linked")).cast("int")).alias("any_open"),
+        )
+        .where("any_open = 1")
+    )
+    around = compared.join(sizes.select("a"), "a")
+    described = map_arrow(around, describe, "lead long, node long, n long, open boolean, delta binary, length long")
+    return described.join(sizes.select(F.col("a").alias("lead"), "size", "bytes"), "lead")
+
+
+def _too_large() -> F.Column:
+    """Families that are listed again."""
+    return (F.col("size") > FAMILY) & (F.col("bytes") > BLOCK * BLOCKS)
 
 
-def _lists(families: DataFrame) -> DataFrame:
-    """Large families listed by the rarest hashes of their differences; leaders are texts that differ by what many share.
+def _blocks(families: DataFrame) -> DataFrame:
+    """lead, one, two, side, ...: two blocks of a family each time, every pair of them once, and each alone; small families are one block.
+
+    A text goes once with every block of its family, so what is sent grows with the families' texts while these are below ``BLOCKS`` blocks.
+    """
+    blocks = F.when(F.col("size") > FAMILY, F.greatest(F.ceil(F.col("bytes") / BLOCK), F.lit(1))).otherwise(1)
+    dealt = families.where(~_too_large()).withColumn("side", F.pmod(F.xxhash64("node"), blocks))
+    beside = dealt.withColumn("beside", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return beside.withColumn("one", F.least("side", "beside")).withColumn("two", F.greatest("side", "beside"))
+
+
+def _lists(large: DataFrame) -> DataFrame:
+    """Families listed by the rarest hashes of their differences; leaders are texts that differ by what many share.
 
     As for the first lists, counters of fixed number say how common a hash is, and only the hashes listed leave a task, without the differences.
     """
-    large = families.where(F.col("size") > FAMILY)
-    shared = families.sparkSession.sparkContext.broadcast(value_counters(large.select("delta")))
+    shared = large.sparkSession.sparkContext.broadcast(value_counters(large.select("delta")))
 
     def rarest(batch: pa.RecordBatch) -> dict:
         value, times, heat = [], [], []
@@ -297,14 +326,16 @@ def _lists(families: DataFrame) -> DataFrame:
 
 
 def _settle(groups: DataFrame, keys: list[str], percent: int) -> DataFrame:
-    """Links of bounded groups (columns node, n, open, delta, length) with an open text; enough of them to join what is linked.
+    """Links of bounded groups (columns node, n, open, delta, length, side) with an open text; enough of them to join what is linked.
 
     An open text is compared with those that hold one of the ``length`` rarest hashes of its difference, which all texts linked with it do.
+    Where a group has two sides, texts of one side are compared in a group of their own.
     """
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
-        node, n, is_open, length = (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts]) for c in ("node", "n", "open", "length"))
+        columns = ("node", "n", "open", "length", "side")
+        node, n, is_open, length, side = (np.concatenate([p.column(c).to_numpy(zero_copy_only=False) for p in parts]) for c in columns)
         deltas = [d for p in parts for d in _values(p.column("delta"))]
         size = np.array([len(d) for d in deltas])
         starts = np.cumsum(size) - size
@@ -312,27 +343,41 @@ def _settle(groups: DataFrame, keys: list[str], percent: int) -> DataFrame:
         order = np.argsort(token, kind="stable")
         bounds = np.concatenate(([0], np.cumsum(copies)))
         by_token = np.repeat(np.arange(len(deltas)), size)[order]
+        across = side.min() != side.max()
         group = np.arange(len(deltas))  # texts joined so far share a number
         group[~is_open] = -1  # those linked to the leader are one group already
         found: list[tuple[int, int]] = []
+
+        def holders(tokens: np.ndarray) -> np.ndarray:
+            return np.concatenate([by_token[a:b] for a, b in zip(bounds[tokens].tolist(), bounds[tokens + 1].tolist(), strict=True)])
+
         for i in np.flatnonzero(is_open).tolist():
             mine = token[starts[i] : starts[i] + size[i]]
             rare = mine[np.lexsort((mine, copies[mine]))[: length[i]]]
             rare = rare[copies[rare] > 1]
             if not len(rare):
                 continue
-            near = np.unique(np.concatenate([by_token[bounds[t] : bounds[t + 1]] for t in rare]))
-            for j in near[group[near] != group[i]].tolist():
-                if group[j] == group[i]:
-                    continue
-                both = len(np.intersect1d(deltas[i], deltas[j], assume_unique=True))
-                twice = n[i] + n[j] - (size[i] + size[j] - 2 * both)  # twice the common hashes
-                if 100 * twice >= percent * (2 * (n[i] + n[j]) - twice):
-                    found.append((int(node[i]), int(node[j])))
-                    group[group == group[j]] = group[i]
+            held = np.zeros(len(deltas), bool)
+            held[holders(rare)] = True
+            held &= group != group[i]
+            if across:
+                held &= side != side[i]
+            near = np.flatnonzero(held)
+            if not len(near):
+                continue
+            if copies[mine].sum() < _PAIR * len(near):
+                both = np.bincount(holders(mine), minlength=len(deltas))[near]
+            else:
+                both = np.array([len(np.intersect1d(deltas[i], deltas[j], assume_unique=True)) for j in near.tolist()])
+            twice = n[i] + n[near] - (size[i] + size[near] - 2 * both)  # twice the common hashes
+            linked = near[100 * twice >= percent * (2 * (n[i] + n[near]) - twice)]
+            for j in linked[np.unique(group[linked], return_index=True)[1]].tolist():
+                found.append((int(node[i]), int(node[j])))
+                group[group == group[j]] = group[i]
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-    return groups.select(*keys, "node", "n", "open", "delta", "length").groupBy(*keys).applyInArrow(lambda table: _whole(settle, table), "a long, b long")
+    wanted = groups.select(*keys, "node", "n", "open", "delta", "length", "side")
+    return wanted.groupBy(*keys).applyInArrow(lambda table: _whole(settle, table), "a long, b long")
 
 
 def _whole(function, table: pa.Table) -> pa.Table:
@@ -434,10 +479,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     around = compared.where("star")
     while not around.isEmpty():
         families = scratch.write(_families(around.drop("star").withColumn("t", F.lit(threshold))), "families")
-        links = links.union(scratch.write(_settle(families.where(F.col("size") <= FAMILY), ["lead"], percent), "links"))
-        members = scratch.write(_members(_lists(families), scratch), "members")
-        inner = members.where(F.col("size") <= FAMILY).select("lead", "value", "node", "n", "open").join(families.select("lead", "node", "delta", "length"), ["lead", "node"])
-        links = links.union(scratch.write(_settle(inner, ["lead", "value"], percent), "links"))
+        links = links.union(scratch.write(_settle(_blocks(families), ["lead", "one", "two"], percent), "links"))
+        large = families.where(_too_large())
+        if large.isEmpty():
+            scratch.drop(families)
+            break
+        members = scratch.write(_members(_lists(large), scratch), "members")
+        inner = members.where(F.col("size") <= FAMILY).select("lead", "value", "node", "n", "open").join(large.select("lead", "node", "delta", "length"), ["lead", "node"])
+        links = links.union(scratch.write(_settle(inner.withColumn("side", F.lit(0).cast("long")), ["lead", "value"], percent), "links"))
         stars = scratch.write(_star_pairs(members, FAMILY), "stars")
         scratch.drop(families, members)
         if stars.isEmpty():

@@ -69,6 +69,47 @@ def test_more_texts_with_one_passage_than_a_family_holds(spark):
         assert got[i] == (i - i % 10 + (-1 if i >= 10 else 0) if i % 10 < 2 and i >= 10 else 0 if i < 2 else i), i
 
 
+@pytest.mark.parametrize(("short", "family", "block", "blocks"), [(2, 4, 1 << 11, 1 << 20), (2, 4, 1 << 11, 0), (2, 40, 1 << 20, 16), (12, 1024, 4 << 20, 16)])
+@pytest.mark.parametrize("pair", [0, 4096])
+def test_blocks_and_lists_equal_brute_force(monkeypatch, docs, texts, short, family, block, blocks, pair):
+    for name, value in {"SHORT": short, "FAMILY": family, "BLOCK": block, "BLOCKS": blocks, "_PAIR": pair}.items():
+        monkeypatch.setattr(near_dups, name, value)
+    got = {r["doc_id"]: tuple(r)[1:] for r in near_dups.near_duplicates(docs, 3, 85).collect()}
+    assert got == groups(texts, 3, 85)
+
+
+def near_copies(n, words, rng):
+    """Copies of one text with some words replaced, left out or put in, so that about half of them are no near duplicates of it; every fifth is one of the copy before."""
+    base = [f"b{k}" for k in range(words)]
+    texts = [base]
+    for i in range(1, n):
+        rate, out = rng.uniform(0.0, 0.01 if i % 5 == 4 else 0.07), []
+        for word in texts[-1] if i % 5 == 4 else base:
+            kind = rng.random() / rate if rate else 9
+            out += [word] if kind > 1 else [[], [f"r{rng.randrange(300)}"], [word, f"r{rng.randrange(300)}"]][int(kind * 3) % 3]
+        texts.append(out)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_a_large_family_of_near_copies_is_not_listed_again(monkeypatch, spark):
+    """The groups settled hold some rows a text, though the family is five times what one task settles."""
+    monkeypatch.setattr(near_dups, "FAMILY", 80)
+    monkeypatch.setattr(near_dups, "BLOCK", 120_000, raising=False)
+    made = []
+
+    def settled(groups, keys, percent, settle=near_dups._settle):
+        made.append(groups.count())
+        return settle(groups, keys, percent)
+
+    monkeypatch.setattr(near_dups, "_settle", settled)
+    texts = near_copies(400, 300, random.Random(3))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: tuple(r)[1:] for r in near_dups.near_duplicates(docs, 5, 80).collect()}
+    assert got == groups(texts, 5, 80)
+    assert 1 < len({c for _, c, _ in got.values()}) < 400
+    assert 2 * len(texts) < sum(made) < 10 * len(texts)
+
+
 def test_ids_that_may_be_wanted(spark):
     docs = spark.range(-500, 500).selectExpr("if(id = 7, null, id) as doc_id", "string(id) as text", "'x' as map_part", "'y' as map_bits")
     wanted = spark.createDataFrame([(i,) for i in (-500, -1, 0, 3, 499, 9999, None)], "doc_id long")
