@@ -18,8 +18,8 @@ making pairs, and a larger one by comparing blocks of it with each other, if its
 blocks. In a still larger one, a text that differs from the leader in more than D hashes
 can only be linked to texts that share more than half of *their* difference with it, so
 the family is listed again by the rarest part of the differences, and the same steps are
-applied to these lists (of lists with the same members to one). Texts linked to the leader are in one group already and need
-nothing among themselves. No link is lost.
+applied to these lists (of lists with the same members to one), unless a text stands in more of them than the family has blocks. Texts
+linked to the leader are in one group already and need nothing among themselves. No link is lost.
 
 Pairs are dropped if the union of their sketches contradicts the threshold, the rest
 is confirmed on the full sets, and groups are the connected components of the links.
@@ -45,7 +45,7 @@ K = 32
 MISS = 1e-9
 #: Most texts of a first list that is paired out, and of a family that one task settles.
 SHORT, FAMILY = 12, 1024
-#: Bytes of differences in a block of a larger family, and most blocks of a family that are compared with each other.
+#: Bytes of differences in a block of a larger family, and most blocks of a family that is not listed again.
 BLOCK, BLOCKS = 4 << 20, 16
 #: Looking two differences through for common hashes takes as long as counting so many texts that hold one.
 _PAIR = 4096
@@ -287,22 +287,29 @@ def _families(compared: DataFrame) -> DataFrame:
     return described.join(sizes.select(F.col("a").alias("lead"), "size", "bytes"), "lead")
 
 
+def _block_count() -> F.Column:
+    return F.when(F.col("size") > FAMILY, F.greatest(F.ceil(F.col("bytes") / BLOCK), F.lit(1))).otherwise(1)
+
+
 def _too_large() -> F.Column:
     """Families that are listed again."""
     return (F.col("size") > FAMILY) & (F.col("bytes") > BLOCK * BLOCKS)
 
 
 def _blocks(families: DataFrame) -> DataFrame:
-    """lead, one, two, side, ...: two blocks of a family each time, every pair of them once, and each alone; small families are one block.
-
-    A text goes once with every block of its family, so what is sent grows with the families' texts while these are below ``BLOCKS`` blocks.
-    """
-    blocks = F.when(F.col("size") > FAMILY, F.greatest(F.ceil(F.col("bytes") / BLOCK), F.lit(1))).otherwise(1)
-    dealt = families.where(~_too_large()).withColumn("side", F.pmod(F.xxhash64("node"), blocks))
-    beside = dealt.withColumn("beside", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    """lead, one, two, side, ...: two blocks of a family each time, every pair of them once, and each alone; small families are one block."""
+    dealt = families.withColumn("side", F.pmod(F.xxhash64("node"), _block_count()))
+    beside = dealt.withColumn("beside", F.explode(F.sequence(F.lit(0).cast("long"), _block_count() - 1)))
     return beside.withColumn("one", F.least("side", "beside")).withColumn("two", F.greatest("side", "beside"))
 
 
+def _crowded(members: DataFrame, families: DataFrame) -> DataFrame:
+    """lead: families whose texts stand in more lists on average than the family has blocks."""
+    sizes = families.groupBy("lead").agg(F.first("size").alias("size"), F.first("bytes").alias("bytes"))
+    listed = members.groupBy("lead").agg(F.count(F.lit(1)).alias("rows"))
+    return listed.join(sizes, "lead").where(F.col("rows") > F.col("size") * _block_count()).select("lead")
+
+
 def _lists(large: DataFrame) -> DataFrame:
     """Families listed by the rarest hashes of their differences; leaders are texts that differ by what many share.
 
@@ -479,16 +486,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     around = compared.where("star")
     while not around.isEmpty():
         families = scratch.write(_families(around.drop("star").withColumn("t", F.lit(threshold))), "families")
-        links = links.union(scratch.write(_settle(_blocks(families), ["lead", "one", "two"], percent), "links"))
+        links = links.union(scratch.write(_settle(_blocks(families.where(~_too_large())), ["lead", "one", "two"], percent), "links"))
         large = families.where(_too_large())
         if large.isEmpty():
             scratch.drop(families)
             break
-        members = scratch.write(_members(_lists(large), scratch), "members")
+        listed = scratch.write(_members(_lists(large), scratch), "members")
+        crowded = scratch.write(_crowded(listed, large), "crowded")
+        links = links.union(scratch.write(_settle(_blocks(large.join(crowded, "lead", "left_semi")), ["lead", "one", "two"], percent), "links"))
+        members = listed.join(crowded, "lead", "left_anti")
         inner = members.where(F.col("size") <= FAMILY).select("lead", "value", "node", "n", "open").join(large.select("lead", "node", "delta", "length"), ["lead", "node"])
         links = links.union(scratch.write(_settle(inner.withColumn("side", F.lit(0).cast("long")), ["lead", "value"], percent), "links"))
         stars = scratch.write(_star_pairs(members, FAMILY), "stars")
-        scratch.drop(families, members)
+        scratch.drop(families, listed, crowded)
         if stars.isEmpty():
             break
         around = scratch.write(_compare(stars.withColumn("star", F.lit(True)), sets, percent), "compared")

@@ -69,9 +69,10 @@ def test_more_texts_with_one_passage_than_a_family_holds(spark):
         assert got[i] == (i - i % 10 + (-1 if i >= 10 else 0) if i % 10 < 2 and i >= 10 else 0 if i < 2 else i), i
 
 
-@pytest.mark.parametrize(("short", "family", "block", "blocks"), [(2, 4, 1 << 11, 1 << 20), (2, 4, 1 << 11, 0), (2, 40, 1 << 20, 16), (12, 1024, 4 << 20, 16)])
+@pytest.mark.parametrize(("short", "family", "block", "blocks"), [(2, 4, 1 << 11, 1 << 20), (2, 4, 1 << 14, 0), (2, 4, 1, 0)])
 @pytest.mark.parametrize("pair", [0, 4096])
 def test_blocks_and_lists_equal_brute_force(monkeypatch, docs, texts, short, family, block, blocks, pair):
+    """Families cut into blocks at once, after they were listed, and lists alone."""
     for name, value in {"SHORT": short, "FAMILY": family, "BLOCK": block, "BLOCKS": blocks, "_PAIR": pair}.items():
         monkeypatch.setattr(near_dups, name, value)
     got = {r["doc_id"]: tuple(r)[1:] for r in near_dups.near_duplicates(docs, 3, 85).collect()}
@@ -91,10 +92,12 @@ def near_copies(n, words, rng):
     return [(i, " ".join(t)) for i, t in enumerate(texts)]
 
 
-def test_a_large_family_of_near_copies_is_not_listed_again(monkeypatch, spark):
+@pytest.mark.parametrize("blocks", [0, 16])
+def test_a_large_family_of_near_copies_is_settled_in_blocks(monkeypatch, spark, blocks):
     """The groups settled hold some rows a text, though the family is five times what one task settles."""
     monkeypatch.setattr(near_dups, "FAMILY", 80)
     monkeypatch.setattr(near_dups, "BLOCK", 120_000, raising=False)
+    monkeypatch.setattr(near_dups, "BLOCKS", blocks, raising=False)
     made = []
 
     def settled(groups, keys, percent, settle=near_dups._settle):
