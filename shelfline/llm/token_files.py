@@ -36,6 +36,8 @@ ESCAPE = 15
 SEGMENT_IDS = 1 << 20
 #: Most pieces of text whose ids a Python worker remembers, pieces coded as one text, and such texts coded in one call.
 MEMORY, JOINED, CALLED = 1_000_000, 200, 100
+#: Bytes of texts that are cut and put together at once, or one longer text; the arrays for that take several times as many.
+CUT = 1 << 20
 #: Pieces of more bytes are not remembered.
 LONG_PIECE = 100
 #: Characters that any Unicode version calls white space, or may.
@@ -244,6 +246,11 @@ class Tokens:
 
     def ids(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         texts = (pa.array(texts, pa.string()) if isinstance(texts, list) else texts).cast(pa.large_string())
+        bounds, _ = _parts(texts)
+        cuts = np.flatnonzero(np.diff(bounds[:-1] // CUT, prepend=-1)).tolist()
+        return [run for a, b in pairwise([*cuts, len(texts)]) for run in self._ids(texts.slice(a, b - a))]
+
+    def _ids(self, texts: pa.LargeStringArray) -> list[np.ndarray]:
         bounds, raw = _parts(texts)
         if not len(raw):
             return [np.zeros(0, np.uint32)] * len(texts)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import Observation, functions as F
@@ -103,6 +104,19 @@ def test_ids_equal_the_library_around_signs():
         assert [ids.tolist() for ids in coder.ids(texts)] == wanted
 
 
+def test_texts_are_cut_in_bounded_runs(monkeypatch):
+    """Batches of long texts do not make arrays for all their bytes at once, wherever the runs end."""
+    coder = token_files.Tokens(token_files.tokenizer_path(TOKENIZER))
+    texts = ["", "", "one two, three " * 40, "", "a<|endoftext|>b", "long " * 3000, "x", " y", "", "words (and) signs. " * 100, ""] * 3
+    runs, borders = [], token_files._borders
+    monkeypatch.setattr(token_files, "_borders", lambda raw: runs.append(len(raw)) or borders(raw))
+    monkeypatch.setattr(token_files, "CUT", 1000, raising=False)
+    got = coder.ids(pa.array([*texts, None, "end"]).fill_null("")[1:])
+    assert [x.tolist() for x in got] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in [*texts[1:], "", "end"]]
+    assert sum(runs) == sum(len(t) for t in texts) + 3 and max(runs) < 1000 + max(map(len, texts))
+    assert coder.ids([]) == [] and [len(x) for x in coder.ids(["", ""])] == [0, 0]
+
+
 def test_token_files_are_read_without_shuffling_the_payloads(spark, docs):
     target = scratch_path(spark, "test-tokens")
     token_files.write_token_files(docs, target, TOKENIZER)
